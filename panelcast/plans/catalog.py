@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.operators import assemble as A
+from panelcast.operators import metrics as M
+from panelcast.operators.scoring import MODEL_SPEC
 from panelcast.operators import external as X
 from panelcast.operators import panel as P
 from panelcast.operators import static as S
@@ -205,3 +207,90 @@ _FULL_D = (["Sales_QTY", "Returns_QTY"] + _CAL_D + _LAGS + _ROLLS + _NAT + _WEAT
                             doubles=_FULL_D))
 def q_panel_full(spark, sf):
     return rounded(full_panel(spark, sf))
+
+
+# ---------------------------------------------------------------- stage 3: holdout + metrics
+
+def model_spec(family: str | None = None) -> dict:
+    """(family, role) -> model; the same two linear artifacts serve both families."""
+    return MODEL_SPEC
+
+
+def holdout(spark, sf):
+    """(timeline, train, val, validation predictions for every role)."""
+    s = sales(spark, sf)
+    tl = timeline(s)
+    fp = full_panel(spark, sf, tl.train_cutoff)
+    train, val = M.split(fp, tl.train_cutoff, tl.val_start, tl.val_end)
+    roles = F.explode(F.array(*[
+        F.struct(F.lit(role).alias("role"), F.lit(m.name).alias("name"),
+                 F.greatest(m.score(), F.lit(0.0)).alias("pred"))
+        for role, m in model_spec().items()])).alias("r")
+    preds = val.select("FIPS", "County_Name", "State", "date", "Family",
+                       F.col("Sales_QTY").alias("Actual_QTY"), roles).select(
+        "FIPS", "County_Name", "State", "date", "Actual_QTY",
+        F.col("r.pred").alias("Predicted_QTY"), "Family",
+        F.col("r.role").alias("ModelRole"), F.col("r.name").alias("ModelName"))
+    return tl, train, val, preds
+
+
+@register("split_counts")
+def q_split_counts(spark, sf):
+    tl, train, val, _ = holdout(spark, sf)
+    t = train.groupBy("Family").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    v = val.groupBy("Family").agg(F.count(F.lit(1)).alias("n_rows"),
+                                  F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return rounded(t.withColumn("split", F.lit("train")).unionByName(
+        v.withColumn("split", F.lit("validation"))))
+
+
+ORACLES["split_counts"] = fin(sql_with(["train", "val"], """SELECT Family, count(*) AS n_rows,
+  min(date) AS first_date, max(date) AS last_date, 'train' AS split FROM train GROUP BY Family
+UNION ALL
+SELECT Family, count(*), min(date), max(date), 'validation' FROM val GROUP BY Family"""),
+    dates=["first_date", "last_date"])
+
+_PRED_D = ["Actual_QTY", "Predicted_QTY"]
+
+
+@register("validation_predictions", fin(sql_with("val_pred", "SELECT * FROM val_pred"), doubles=_PRED_D))
+def q_validation_predictions(spark, sf):
+    return rounded(holdout(spark, sf)[3])
+
+
+_MET = ["r2", "rmse", "mae", "wmape"]
+
+
+@register("holdout_metrics", fin(sql_with("eval_records", "SELECT * FROM eval_records"),
+                                 doubles=_MET, dates=()))
+def q_holdout_metrics(spark, sf):
+    tl, train, val, preds = holdout(spark, sf)
+    met = M.national_metrics(preds)
+    return rounded(M.evaluation_records(met, train, val, cutoff=tl.train_cutoff,
+                                        val_start=tl.val_start, val_end=tl.val_end))
+
+
+@register("county_accuracy", fin(sql_with("entity_acc", "SELECT * FROM entity_acc"),
+                                 doubles=["R2", "WMAPE", "Actual_Total"], dates=()))
+def q_county_accuracy(spark, sf):
+    return rounded(M.entity_accuracy(holdout(spark, sf)[3]))
+
+
+@register("metrics_rollup", fin(sql_with("eval_records", """SELECT lower(Family) || '_' || ModelRole AS key,
+  ModelName AS model_type, r2, rmse, mae, wmape, train_size, val_size,
+  coalesce(train_cutoff, 'N/A') AS train_cutoff, coalesce(val_start, 'N/A') AS val_start,
+  coalesce(val_end, 'N/A') AS val_end FROM eval_records"""), doubles=_MET, dates=()))
+def q_metrics_rollup(spark, sf):
+    tl, train, val, preds = holdout(spark, sf)
+    rec = M.evaluation_records(M.national_metrics(preds), train, val, cutoff=tl.train_cutoff,
+                               val_start=tl.val_start, val_end=tl.val_end)
+    return rounded(M.metrics_rollup(rec))
+
+
+@register("quality_gate", fin(sql_with("nat_metrics", """SELECT Family, ModelRole, ModelName, r2,
+  coalesce(r2 >= 0.7, false) AS approved FROM nat_metrics"""), doubles=["r2"], dates=()))
+def q_quality_gate(spark, sf):
+    preds = holdout(spark, sf)[3]
+    return rounded(M.quality_gate(M.national_metrics(preds)).select(
+        "Family", "ModelRole", "ModelName", "r2", "approved"))

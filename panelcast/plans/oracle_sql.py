@@ -196,3 +196,57 @@ WINDOW w AS (PARTITION BY i.Family, i.FIPS ORDER BY i.date)""")
 register_sql("full_panel", ("merged", "static", "names"), """SELECT m.*, s.county_alltime_share,
   s.county_recent_share, s.state_share, s.county_active_months, s.county_is_sparse, n.County_Name
 FROM merged m JOIN static s USING (Family, FIPS, State) LEFT JOIN names n USING (FIPS)""")
+
+# ---------------------------------------------------------------- stage 3: holdout + metrics
+
+from panelcast.operators.scoring import CHALLENGER, CHAMPION  # noqa: E402
+
+register_sql("val", ("full_panel", "tl"), """SELECT f.* FROM full_panel f, tl
+WHERE f.date >= tl.val_start AND f.date <= tl.last_month""")
+register_sql("train", ("full_panel", "tl"), """SELECT f.* FROM full_panel f, tl WHERE f.date <= tl.cutoff""")
+
+register_sql("val_pred", ("val",), f"""SELECT FIPS, County_Name, State, date, Sales_QTY AS Actual_QTY,
+  greatest({CHAMPION.sql()}, 0.0) AS Predicted_QTY, Family, 'champion' AS ModelRole, '{CHAMPION.name}' AS ModelName
+FROM val
+UNION ALL
+SELECT FIPS, County_Name, State, date, Sales_QTY AS Actual_QTY,
+  greatest({CHALLENGER.sql()}, 0.0) AS Predicted_QTY, Family, 'challenger' AS ModelRole, '{CHALLENGER.name}' AS ModelName
+FROM val""")
+
+_R2 = """CASE WHEN n < 2 THEN NULL WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END
+  ELSE 1 - sse / sst END"""
+
+register_sql("nat_metrics", ("val_pred",), f"""SELECT Family, ModelRole, ModelName, {_R2} AS r2,
+  sqrt(sse / n) AS rmse, sabs / n AS mae, CASE WHEN say > 0 THEN sabs / say END AS wmape,
+  CAST(n AS INTEGER) AS n_months
+FROM (SELECT Family, ModelRole, ModelName, count(*) AS n, sum(pow(a - p, 2)) AS sse,
+             var_pop(a) * count(*) AS sst, sum(abs(a - p)) AS sabs, sum(abs(a)) AS say
+      FROM (SELECT Family, ModelRole, ModelName, date, sum(Actual_QTY) AS a, sum(Predicted_QTY) AS p
+            FROM val_pred GROUP BY ALL) m GROUP BY ALL) g""")
+
+register_sql("eval_records", ("nat_metrics", "train", "val", "tl"), """SELECT m.*, t.train_size, v.val_size,
+  strftime(tl.cutoff, '%Y-%m-%d') AS train_cutoff, strftime(tl.val_start, '%Y-%m-%d') AS val_start,
+  strftime(tl.last_month, '%Y-%m-%d') AS val_end
+FROM nat_metrics m
+LEFT JOIN (SELECT Family, count(*) AS train_size FROM train GROUP BY 1) t USING (Family)
+LEFT JOIN (SELECT Family, count(*) AS val_size FROM val GROUP BY 1) v USING (Family), tl""")
+
+register_sql("entity_acc", ("val_pred",), f"""SELECT FIPS, County_Name, State, Family, ModelRole,
+  R2, WMAPE, Actual_Total, Volume_Tier, R2_Category,
+  CASE WHEN Volume_Tier IN ('Near-zero', 'Low') THEN 'Directional Only (Low Volume)'
+       WHEN R2_Category = 'Good' THEN 'High Confidence'
+       WHEN R2_Category = 'Poor' THEN 'Moderate Confidence' ELSE 'Low Confidence' END AS Confidence_Tier
+FROM (SELECT *,
+  CASE WHEN Actual_Total < 10 THEN 'Near-zero' WHEN Actual_Total < 100 THEN 'Low'
+       WHEN Actual_Total < 1000 THEN 'Moderate' ELSE 'Established' END AS Volume_Tier,
+  CASE WHEN R2 < -1 THEN 'Edge Case' WHEN R2 < 0.3 THEN 'Poor' ELSE 'Good' END AS R2_Category
+  FROM (SELECT FIPS, County_Name, State, Family, ModelRole, round({_R2}, 4) AS R2,
+               round(CASE WHEN say > 0 THEN sabs / say END, 4) AS WMAPE, round(sy, 2) AS Actual_Total
+        FROM (SELECT FIPS, County_Name, State, Family, ModelRole, count(*) AS n, sum(Actual_QTY) AS sy,
+                     sum(pow(Actual_QTY - Predicted_QTY, 2)) AS sse, var_pop(Actual_QTY) * count(*) AS sst,
+                     sum(abs(Actual_QTY - Predicted_QTY)) AS sabs, sum(abs(Actual_QTY)) AS say
+              FROM val_pred
+              WHERE FIPS IS NOT NULL AND County_Name IS NOT NULL AND State IS NOT NULL
+                AND Family IS NOT NULL AND ModelRole IS NOT NULL
+              GROUP BY ALL) g
+        WHERE sy <> 0 AND n >= 2) r) t""")
