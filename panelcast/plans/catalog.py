@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.functions.features import discover_features, extension_columns
 from panelcast.operators import assemble as A
+from panelcast.operators import forecast as FC
+from panelcast.operators import lookups as L
 from panelcast.operators import metrics as M
 from panelcast.operators.scoring import MODEL_SPEC
 from panelcast.operators import external as X
@@ -294,3 +297,100 @@ def q_quality_gate(spark, sf):
     preds = holdout(spark, sf)[3]
     return rounded(M.quality_gate(M.national_metrics(preds)).select(
         "Family", "ModelRole", "ModelName", "r2", "approved"))
+
+
+# ---------------------------------------------------------------- stage 4: lookups + forecast
+
+class ForecastInputs:
+    """Everything the batch forecast needs, derived once from the full panel."""
+
+    def __init__(self, spark, sf):
+        s = sales(spark, sf)
+        self.tl = tl = timeline(s)
+        self.panel = fp = full_panel(spark, sf, tl.train_cutoff)
+        self.features = feats = discover_features(fp.columns)
+        self.history = L.trailing_history(fp)
+        self.state = FC.history_state(self.history)
+        ext = L.external_lookup(fp, feats)
+        avail = [c for c in ext.columns if c not in ("Family", "FIPS", "date")]
+        self.ext_cols = cols = extension_columns(avail, feats)
+        self.econ_cols = [c for c in cols if f"{c}_lag1" in feats or f"{c}_chg3m" in feats]
+        extended = FC.extend_external(ext.select("Family", "FIPS", "date", *cols), cols,
+                                      tl.forecast_end)
+        self.ext = FC.serving_derivatives(extended, self.econ_cols)
+        self.static = L.entity_static(fp)
+        self.national = FC.national_frozen(L.national_trailing(fp))
+        self.bounds = L.guardrail_bounds(fp)
+
+    def rows(self, targets):
+        return FC.serving_rows(targets, self.ext, self.static, self.national, self.bounds)
+
+    def forecast(self, models=None):
+        targets = FC.horizon_targets(self.state, self.tl.forecast_end)
+        fc = FC.forecast_linear(self.state, self.rows(targets), models or model_spec(),
+                                start=self.tl.forecast_start, end=self.tl.forecast_end)
+        names = self.static.select("Family", "FIPS", "County_Name", "State")
+        return fc.join(names, ["Family", "FIPS"], "left").select(
+            "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
+            F.initcap("ModelRole").alias("ModelRole"), "ModelName")
+
+
+from panelcast.plans import oracle_sql as O  # noqa: E402
+
+
+def _fc_oracle() -> str:
+    """The recursive forecast in DuckDB, in the chunk shape."""
+    body = O.FORECAST_SQL.replace("WITH RECURSIVE ", "", 1)
+    ctes = sql_with(["state", "steps", "static_l", "tl"], "SELECT 1")
+    ctes = ctes[len("WITH "):ctes.rindex("\nSELECT 1")]
+    final = body[body.index("\nSELECT Family, FIPS, ModelRole"):]
+    rec_def = body[:body.index("\nSELECT Family, FIPS, ModelRole")]
+    inner = f"WITH RECURSIVE {ctes},\n{rec_def},\nfc AS ({final})\n"
+    return inner + """SELECT fc.FIPS, s.County_Name, s.State, fc.date, fc.Predicted_QTY, fc.Family,
+  upper(substr(fc.ModelRole, 1, 1)) || lower(substr(fc.ModelRole, 2)) AS ModelRole, fc.ModelName
+FROM fc LEFT JOIN static_l s ON fc.Family = s.Family AND fc.FIPS = s.FIPS"""
+
+
+_EXT_BASE = O.EXT_BASE
+_EXT_DER = [f"{c}_{k}" for c in O.ECON for k in ("lag1", "chg3m")]
+
+
+@register("trailing_history", fin(sql_with("hist", "SELECT * FROM hist"),
+                                  doubles=["Sales_QTY", "Returns_QTY"]))
+def q_trailing_history(spark, sf):
+    return rounded(L.trailing_history(full_panel(spark, sf)))
+
+
+@register("guardrail_bounds", fin(sql_with("bounds", "SELECT * FROM bounds"), doubles=["max_qty"],
+                                  dates=()))
+def q_guardrail_bounds(spark, sf):
+    return rounded(L.guardrail_bounds(full_panel(spark, sf)))
+
+
+@register("entity_static", fin(sql_with("static_l", "SELECT * FROM static_l"), digits=9, dates=(),
+                               doubles=["county_alltime_share", "county_recent_share", "state_share",
+                                        "county_active_months"]))
+def q_entity_static(spark, sf):
+    return rounded(L.entity_static(full_panel(spark, sf)), 9)
+
+
+@register("national_serving", fin(sql_with("nat_f", "SELECT * FROM nat_f"), dates=("base_date",),
+                                  doubles=["national_lag_1", "national_lag_12", "national_rollmean_3"]))
+def q_national_serving(spark, sf):
+    return rounded(FC.national_frozen(L.national_trailing(full_panel(spark, sf))))
+
+
+@register("extend_external", fin(sql_with("ext_s", "SELECT Family, FIPS, date, "
+                                         + ", ".join(_EXT_BASE + _EXT_DER)
+                                         + " FROM ext_s WHERE is_extended"),
+                                 doubles=_EXT_BASE + _EXT_DER))
+def q_extend_external(spark, sf):
+    fi = ForecastInputs(spark, sf)
+    base = [c for c in fi.ext_cols if not c.endswith(("_lag1", "_chg3m"))]
+    deriv = [f"{c}_{k}" for c in fi.econ_cols for k in ("lag1", "chg3m")]
+    return rounded(fi.ext.filter("is_extended").select("Family", "FIPS", "date", *base, *deriv))
+
+
+@register("forecast_recursive_linear", fin(_fc_oracle(), doubles=["Predicted_QTY"]))
+def q_forecast_recursive_linear(spark, sf):
+    return rounded(ForecastInputs(spark, sf).forecast())

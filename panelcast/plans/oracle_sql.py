@@ -44,6 +44,8 @@ _panel("sp_", "raw_sales_sparse")
 
 # Timeline scalars of the dense panel.
 register_sql("tl", ("sales",), """SELECT max(date) AS last_month,
+  CAST(max(date) + INTERVAL 1 MONTH AS DATE) AS fc_start,
+  CAST(max(date) + INTERVAL 24 MONTH AS DATE) AS fc_end,
   CAST(max(date) - INTERVAL 12 MONTH AS DATE) AS cutoff,
   CAST(max(date) - INTERVAL 11 MONTH AS DATE) AS val_start,
   min(date) AS first_month
@@ -250,3 +252,134 @@ FROM (SELECT *,
                 AND Family IS NOT NULL AND ModelRole IS NOT NULL
               GROUP BY ALL) g
         WHERE sy <> 0 AND n >= 2) r) t""")
+
+# ---------------------------------------------------------------- stage 4: lookups + forecast
+
+from panelcast.operators.forecast import RECURSIVE  # noqa: E402
+from panelcast.operators.scoring import MODEL_SPEC, LinearModel  # noqa: E402
+
+STATIC_COLS = ["county_alltime_share", "county_recent_share", "state_share",
+               "county_active_months", "county_is_sparse"]
+EXT_BASE = WEATHER_COLS + ACRE_COLS + ECON
+
+register_sql("hist", ("full_panel",), """SELECT Family, FIPS, date, Sales_QTY, Returns_QTY FROM (
+  SELECT *, row_number() OVER (PARTITION BY Family, FIPS ORDER BY date DESC) AS rn FROM full_panel) x
+WHERE rn <= 24""")
+register_sql("state", ("hist",), """SELECT Family, FIPS, list(Sales_QTY ORDER BY date) AS h,
+  max(date) AS last_date, arg_max(Returns_QTY, date) AS last_returns FROM hist GROUP BY Family, FIPS""")
+register_sql("bounds", ("full_panel",), """SELECT Family, FIPS, CAST(month(date) AS INTEGER) AS calendar_month,
+  max(Sales_QTY) AS max_qty FROM full_panel GROUP BY ALL""")
+register_sql("static_l", ("full_panel",), "SELECT Family, FIPS, "
+             + ", ".join(f"arg_min({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+                         for c in ["County_Name", "State"] + STATIC_COLS)
+             + " FROM full_panel GROUP BY Family, FIPS")
+register_sql("nat_f", ("full_panel",), """SELECT Family, min(date) AS base_date,
+  coalesce(max(CASE WHEN rd = 1 THEN s END), 0.0) AS national_lag_1,
+  CASE WHEN count(*) >= 12 THEN max(CASE WHEN rd = 12 THEN s END)
+       ELSE coalesce(max(CASE WHEN ru = 1 THEN s END), 0.0) END AS national_lag_12,
+  coalesce(avg(CASE WHEN rd <= 3 THEN s END), 0.0) AS national_rollmean_3
+FROM (SELECT Family, date, s, row_number() OVER (PARTITION BY Family ORDER BY date DESC) AS rd,
+             row_number() OVER (PARTITION BY Family ORDER BY date) AS ru
+      FROM (SELECT Family, date, sum(Sales_QTY) AS s FROM full_panel GROUP BY ALL) a) b
+GROUP BY Family""")
+
+register_sql("ext", ("full_panel",), "SELECT Family, FIPS, date, " + ", ".join(EXT_BASE)
+             + " FROM full_panel")
+register_sql("ext_fut", ("ext", "tl"), "SELECT f.Family, f.FIPS, f.date, "
+             + ", ".join(f"CASE WHEN s.n_{c} >= 2 THEN s.m_{c} END AS {c}" for c in EXT_BASE)
+             + """ FROM (SELECT Family, FIPS, CAST(d AS DATE) AS date FROM (
+    SELECT l.Family, l.FIPS, unnest(generate_series(CAST(l.last + INTERVAL 1 MONTH AS TIMESTAMP),
+                                                    CAST(tl.fc_end AS TIMESTAMP), INTERVAL 1 MONTH)) AS d
+    FROM (SELECT Family, FIPS, max(date) AS last FROM ext GROUP BY ALL) l, tl WHERE l.last < tl.fc_end) g) f
+LEFT JOIN (SELECT Family, FIPS, month(date) AS cm, """
+             + ", ".join(f"avg({c}) AS m_{c}, count({c}) AS n_{c}" for c in EXT_BASE)
+             + " FROM ext GROUP BY ALL) s ON f.Family = s.Family AND f.FIPS = s.FIPS AND month(f.date) = s.cm")
+register_sql("ext_x", ("ext", "ext_fut"), "SELECT Family, FIPS, date, "
+             + ", ".join(f"CASE WHEN is_extended THEN last_value({c} IGNORE NULLS) OVER w ELSE {c} END AS {c}"
+                         for c in EXT_BASE)
+             + """, is_extended FROM (SELECT *, false AS is_extended FROM ext
+  UNION ALL BY NAME SELECT *, true AS is_extended FROM ext_fut) u
+WINDOW w AS (PARTITION BY Family, FIPS ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+register_sql("ext_s", ("ext_x",), "SELECT *, "
+             + ", ".join(
+                 f"CASE WHEN coalesce(lag(date, 1) OVER w = date - INTERVAL 1 MONTH, false) THEN lag({c}, 1) OVER w ELSE {c} END AS {c}_lag1, "
+                 f"CASE WHEN coalesce(lag(date, 3) OVER w = date - INTERVAL 3 MONTH, false) AND {c} IS NOT NULL "
+                 f"THEN {c} - lag({c}, 3) OVER w ELSE 0.0 END AS {c}_chg3m" for c in ECON)
+             + " FROM ext_x WINDOW w AS (PARTITION BY Family, FIPS ORDER BY date)")
+
+_DEFAULTS = {"county_alltime_share": "0.0", "county_recent_share": "0.0", "state_share": "0.0",
+             "county_active_months": "0.0", "county_is_sparse": "1"}
+
+
+def serving_rows_sql(name: str, targets: str, deps: tuple[str, ...]) -> None:
+    """Serving features for a targets CTE with columns (Family, FIPS, date)."""
+    register_sql(name, deps + ("ext_s", "static_l", "nat_f", "bounds"), f"""SELECT *, {CAL_SQL},
+  CAST(floor(date_diff('day', base_date, date) / 30) AS INTEGER) AS time_idx,
+  CASE WHEN max_qty IS NULL OR max_qty = 0 THEN NULL ELSE max_qty * 1.15 END AS _hi
+FROM (SELECT t.Family, t.FIPS, t.date, e.* EXCLUDE (Family, FIPS, date, is_extended),
+  {", ".join(f"coalesce(st.{c}, {v}) AS {c}" for c, v in _DEFAULTS.items())},
+  n.base_date, n.national_lag_1, n.national_lag_12, n.national_rollmean_3, b.max_qty
+  FROM {targets} t
+  LEFT JOIN ext_s e ON t.Family = e.Family AND t.FIPS = e.FIPS AND t.date = e.date
+  LEFT JOIN static_l st ON t.Family = st.Family AND t.FIPS = st.FIPS
+  LEFT JOIN nat_f n ON t.Family = n.Family
+  LEFT JOIN bounds b ON t.Family = b.Family AND t.FIPS = b.FIPS AND month(t.date) = b.calendar_month) r""")
+
+
+register_sql("targets", ("state", "tl"), """SELECT Family, FIPS, CAST(d AS DATE) AS date FROM (
+  SELECT s.Family, s.FIPS, unnest(generate_series(CAST(s.last_date + INTERVAL 1 MONTH AS TIMESTAMP),
+                                                  CAST(tl.fc_end AS TIMESTAMP), INTERVAL 1 MONTH)) AS d
+  FROM state s, tl) g""")
+serving_rows_sql("srows", "targets", ("targets",))
+
+REC_FEATS = sorted({f for m in MODEL_SPEC.values() for f, c in m.coefs.items()
+                    if f in RECURSIVE and c != 0.0})
+
+
+def _fixed(m: LinearModel) -> LinearModel:
+    return LinearModel(m.name, {f: c for f, c in m.coefs.items() if f not in RECURSIVE}, m.intercept)
+
+
+def steps_sql(rows: str) -> str:
+    parts = []
+    for role, m in MODEL_SPEC.items():
+        rc = ", ".join(f"{float(m.coefs.get(f, 0.0))!r} AS rc_{f}" for f in REC_FEATS)
+        parts.append(f"SELECT Family, FIPS, date, _hi AS hi, '{role}' AS ModelRole, '{m.name}' AS ModelName, "
+                     f"{_fixed(m).sql()} AS off" + (f", {rc}" if rc else "") + f" FROM {rows}")
+    return "\nUNION ALL\n".join(parts)
+
+
+register_sql("steps", ("srows",), steps_sql("srows"))
+
+
+def rec_feature_sql(f: str, h: str = "r.h", ret: str = "r.ret") -> str:
+    if f.startswith("fips_lag_"):
+        k = int(f.rsplit("_", 1)[1])
+        return f"(CASE WHEN len({h}) >= {k} THEN {h}[-{k}] ELSE 0.0 END)"
+    if f == "returns_lag_1":
+        return ret
+    kind, w = f[len("fips_roll"):].split("_")
+    tail = f"list_slice({h}, greatest(len({h}) - {w} + 1, 1), len({h}))"
+    if kind == "mean":
+        return f"(CASE WHEN len({h}) >= 1 THEN list_avg({tail}) ELSE 0.0 END)"
+    return f"(CASE WHEN len({tail}) > 1 THEN list_stddev_samp({tail}) ELSE 0.0 END)"
+
+
+def _pred_sql() -> str:
+    raw = "st.off" + "".join(f" + st.rc_{f} * {rec_feature_sql(f)}" for f in REC_FEATS)
+    return (f"(CASE WHEN st.hi IS NULL THEN greatest({raw}, 0.0) "
+            f"ELSE least(greatest({raw}, 0.0), st.hi) END)")
+
+
+FORECAST_SQL = f"""WITH RECURSIVE rec(Family, FIPS, ModelRole, ModelName, step, h, ret, last_date, date, pred) AS (
+  SELECT s.Family, s.FIPS, r.ModelRole, r.ModelName, 0, s.h, s.last_returns, s.last_date,
+         CAST(NULL AS DATE), CAST(NULL AS DOUBLE)
+  FROM state s JOIN (SELECT DISTINCT ModelRole, ModelName FROM steps) r ON true
+  UNION ALL
+  SELECT r.Family, r.FIPS, r.ModelRole, r.ModelName, r.step + 1, list_append(r.h, {_pred_sql()}), 0.0,
+         r.last_date, st.date, {_pred_sql()}
+  FROM rec r JOIN steps st ON st.Family = r.Family AND st.FIPS = r.FIPS AND st.ModelRole = r.ModelRole
+   AND st.date = CAST(r.last_date + to_months(CAST(r.step + 1 AS INTEGER)) AS DATE)
+)
+SELECT Family, FIPS, ModelRole, ModelName, date, pred AS Predicted_QTY FROM rec, tl
+WHERE step > 0 AND date >= tl.fc_start AND date <= tl.fc_end"""
