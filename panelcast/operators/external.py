@@ -41,7 +41,8 @@ def weather_pivot(long: DataFrame, *, types=WEATHER_TYPES, order_col: str | None
     Grouped on the raw date, then truncated to month (as the source does):
     two readings in one month stay two rows.
     """
-    df = long.withColumn(ENTITY, zfill_id(F.col(ENTITY)))
+    # entity partitioning serves the pivot, the normal window and the panel join
+    df = long.withColumn(ENTITY, zfill_id(F.col(ENTITY))).repartition(ENTITY)
     piv = df.groupBy(ENTITY, MONTH).pivot("datatype", list(types)).agg(_first("value", order_col))
     return piv.withColumn(MONTH, month_start(F.col(MONTH)))
 

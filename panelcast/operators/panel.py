@@ -39,21 +39,33 @@ def load_raw(raw: DataFrame, *, year: str = "Year", month: str = "Month",
 
 def monthly_panel(sales: DataFrame, *, measures: dict[str, str] | None = None,
                   attrs: tuple[str, ...] = ("State",), family: str = FAMILY,
-                  entity: str = ENTITY, month: str = MONTH) -> DataFrame:
+                  entity: str = ENTITY, month: str = MONTH,
+                  combine_first: bool = True) -> DataFrame:
     """Dense grid: every (family, entity, attrs) x every month of the family's span.
 
     Actuals are summed per (family, entity, month) (attributes are *not* in
     that key, like the source), left-joined onto the grid and zero-filled.
     The family span comes from a one-row-per-family aggregate that is
     broadcast: its size is the number of families.
+
+    Partitioning: everything after this step is keyed by the entity.
+    ``combine_first=True`` (default) aggregates first (map-side combine, so
+    a hot entity never crosses the shuffle unaggregated) and then
+    repartitions the small aggregate by entity. ``combine_first=False``
+    shuffles ``sales`` by entity once and aggregates inside that partitioning
+    — one exchange instead of two, right when ``sales`` rows are already
+    about one per (family, entity, month), as a pre-aggregated source is.
     """
     measures = measures or {"Sales_QTY": "Sales QTY", "Returns_QTY": "Returns/Credits QTY"}
     keys = [family, entity]
-    actual = (sales.groupBy(*keys, month)
-              .agg(*[F.sum(F.col(src)).alias(dst) for dst, src in measures.items()])
-              .repartition(entity))
     span = sales.groupBy(family).agg(F.min(month).alias("_d0"), F.max(month).alias("_d1"))
-    members = sales.select(*keys, *attrs).distinct().repartition(entity)
+    if not combine_first:
+        sales = sales.repartition(entity)
+    actual = (sales.groupBy(*keys, month)
+              .agg(*[F.sum(F.col(src)).alias(dst) for dst, src in measures.items()]))
+    members = sales.select(*keys, *attrs).distinct()
+    if combine_first:
+        actual, members = actual.repartition(entity), members.repartition(entity)
     grid = (members.join(F.broadcast(span), family)
             .select(*keys, *attrs,
                     F.explode(F.sequence("_d0", "_d1", F.expr("INTERVAL 1 MONTH"))).alias(month)))
@@ -90,6 +102,17 @@ def add_rolling(df: DataFrame, col: str = "Sales_QTY", ws=ROLL_WINDOWS,
     return df.withColumns(out)
 
 
+def entity_state_years(sales: DataFrame, *, family: str = FAMILY, entity: str = ENTITY,
+                       month: str = MONTH) -> DataFrame:
+    """Distinct (entity, State, Year) of the dense grid, from members x family span years."""
+    span = sales.groupBy(family).agg(F.year(F.min(month)).alias("_y0"),
+                                     F.year(F.max(month)).alias("_y1"))
+    members = sales.select(family, entity, "State").distinct()
+    return (members.join(F.broadcast(span), family)
+            .select(entity, "State", F.explode(F.sequence("_y0", "_y1")).alias("Year"))
+            .distinct())
+
+
 def national_series(sales: DataFrame, *, measure: str = "Sales QTY", family: str = FAMILY,
                     month: str = MONTH) -> DataFrame:
     """National monthly total per family from raw rows (months without sales are absent)."""

@@ -23,6 +23,7 @@ from panelcast.operators import panel as P
 from panelcast.operators import static as S
 from panelcast.plans.common import fin, rounded, rsql, timeline
 from panelcast.plans.oracle_sql import sql_with
+from panelcast.session import materialize
 from panelcast.sources import bindings as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,17 +42,22 @@ def register(name: str, oracle: str | None = None):
 # ---------------------------------------------------------------- shared builders
 
 def sales(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
+    """Parsed sales rows, materialised: every later step reads them several times.
+
+    The binding already aggregated line items to one row per (family,
+    entity, month), so the panel shuffles these rows by entity directly.
+    """
     raw = B.raw_sales_sparse(spark, sf) if sparse else B.raw_sales(spark, sf)
-    return P.load_raw(raw)
+    return materialize(P.load_raw(raw))
 
 
 def panel(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
-    return P.monthly_panel(sales(spark, sf, sparse))
+    return P.monthly_panel(sales(spark, sf, sparse), combine_first=False)
 
 
-def internal(spark: SparkSession, sf: str) -> DataFrame:
-    s = sales(spark, sf)
-    return P.internal_features(P.monthly_panel(s), P.national_series(s))
+def internal(spark: SparkSession, sf: str, s: DataFrame | None = None) -> DataFrame:
+    s = s if s is not None else sales(spark, sf)
+    return P.internal_features(P.monthly_panel(s, combine_first=False), P.national_series(s))
 
 
 # ---------------------------------------------------------------- stage 1: panel
@@ -146,9 +152,9 @@ def weather(spark, sf):
     return X.weather_features(B.weather_long(spark, sf))
 
 
-def acreage(spark, sf, internal_df=None):
-    internal_df = internal_df if internal_df is not None else internal(spark, sf)
-    return X.acreage_prior_year(B.acreage_long(spark, sf), A.entity_state_years(internal_df),
+def acreage(spark, sf, s=None):
+    s = s if s is not None else sales(spark, sf)
+    return X.acreage_prior_year(B.acreage_long(spark, sf), P.entity_state_years(s),
                                 commodities=_CROPS)
 
 
@@ -163,9 +169,9 @@ def econ(spark, sf):
 def full_panel(spark, sf, cutoff=None):
     s = sales(spark, sf)
     tl = timeline(s)
-    inner = P.internal_features(P.monthly_panel(s), P.national_series(s))
-    return A.assemble(inner, weather(spark, sf), acreage(spark, sf, inner), econ(spark, sf),
-                      names(spark, sf), cutoff or tl.train_cutoff)
+    inner = internal(spark, sf, s)
+    return materialize(A.assemble(inner, weather(spark, sf), acreage(spark, sf, s),
+                                  econ(spark, sf), names(spark, sf), cutoff or tl.train_cutoff))
 
 
 @register("weather_pivot", fin(sql_with("wpiv", "SELECT * FROM wpiv"),

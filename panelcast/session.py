@@ -72,3 +72,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(local)
         return local
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used for tables that several later steps read (the aggregated sales
+    binding, the feature panel): they are computed once, and a lost executor
+    re-reads the checkpoint instead of recomputing from the raw scan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
