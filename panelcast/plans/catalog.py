@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.features import discover_features, extension_columns
 from panelcast.operators import assemble as A
+from panelcast.operators import attribution as AT
+from panelcast.operators import reporting as R
 from panelcast.operators import forecast as FC
 from panelcast.operators import lookups as L
 from panelcast.operators import metrics as M
@@ -340,6 +342,76 @@ class ForecastInputs:
             "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
             F.initcap("ModelRole").alias("ModelRole"), "ModelName")
 
+    # ---- attribution at the first forecast month
+    def first_month_x(self):
+        """Full feature rows at the first forecast month (history not yet extended)."""
+        start = F.lit(self.tl.forecast_start).cast("date")
+        tgt = self.state.select("Family", "FIPS", F.add_months("last_date", 1).alias("date")) \
+            .filter(F.col("date") == start)
+        rec = FC.recursive_features(F.col("h"), F.col("last_returns"))
+        hist_feats = self.state.select("Family", "FIPS", *[c.alias(f) for f, c in rec.items()])
+        return self.rows(tgt).join(hist_feats, ["Family", "FIPS"])
+
+    def ranked(self):
+        long = AT.contributions_long(self.first_month_x(), ["Family", "FIPS", "date"],
+                                     model_spec(), self.features)
+        return AT.rank_external(long, ["Family", "FIPS", "date"], self.features)
+
+    def chunk(self):
+        """Forecast chunk: all months; the first one carries share and Top-5 drivers."""
+        fc = self.forecast()
+        wide = AT.top_k_wide(self.ranked(), ["Family", "FIPS", "date"]).withColumn(
+            "ModelRole", F.initcap("ModelRole")).drop("ModelName")
+        j = fc.join(wide, ["Family", "FIPS", "date", "ModelRole"], "left")
+        return j.withColumns({
+            "External_Factors_Share_Pct": F.coalesce("External_Factors_Share_Pct", F.lit(0.0)),
+            **{f"Top{i}_Feature": F.coalesce(f"Top{i}_Feature", F.lit("")) for i in range(1, 6)},
+            **{f"Top{i}_SHAP": F.coalesce(f"Top{i}_SHAP", F.lit(0.0)) for i in range(1, 6)}})
+
+    def county_importance(self):
+        names = self.static.select("Family", "FIPS", "County_Name", "State")
+        return AT.county_importance(self.ranked(), names)
+
+    def national_importance(self):
+        top = AT.top_volume_entities(self.history)
+        # top-n ids per family: bounded by n x families
+        sample = self.first_month_x().join(F.broadcast(top), ["Family", "FIPS"], "left_semi")
+        return AT.global_importance_linear(sample, model_spec(), self.features)
+
+
+def reporting_inputs(spark, sf):
+    fi = ForecastInputs(spark, sf)
+    fi.chunk_df = materialize(fi.chunk())
+    return fi
+
+
+def validation_of(fi):
+    _, _, preds = holdout_from(fi)
+    return preds
+
+
+def holdout_from(fi):
+    train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+    roles = F.explode(F.array(*[
+        F.struct(F.lit(role).alias("role"), F.lit(m.name).alias("name"),
+                 F.greatest(m.score(), F.lit(0.0)).alias("pred"))
+        for role, m in model_spec().items()])).alias("r")
+    preds = val.select("FIPS", "County_Name", "State", "date", "Family",
+                       F.col("Sales_QTY").alias("Actual_QTY"), roles).select(
+        "FIPS", "County_Name", "State", "date", "Actual_QTY",
+        F.col("r.pred").alias("Predicted_QTY"), "Family",
+        F.col("r.role").alias("ModelRole"), F.col("r.name").alias("ModelName"))
+    return train, val, preds
+
+
+def fact_of(spark, sf, fi):
+    val = validation_of(fi)
+    lookup = R.external_weather_lookup(fi.panel)
+    weather = R.universal_weather(lookup, ["F", "O"])
+    hist = R.historical_rows(sales(spark, sf), val)
+    return R.fact_table(hist, R.validation_rows(val), R.forecast_rows(fi.chunk_df), weather,
+                        fi.static, fi.bounds)
+
 
 from panelcast.plans import oracle_sql as O  # noqa: E402
 
@@ -400,3 +472,143 @@ def q_extend_external(spark, sf):
 @register("forecast_recursive_linear", fin(_fc_oracle(), doubles=["Predicted_QTY"]))
 def q_forecast_recursive_linear(spark, sf):
     return rounded(ForecastInputs(spark, sf).forecast())
+
+
+# ---------------------------------------------------------------- stage 5: reporting
+
+_TOPS = [f"Top{i}_{k}" for i in range(1, 6) for k in ("Feature", "SHAP")]
+_TOP_D = [f"Top{i}_SHAP" for i in range(1, 6)]
+_LOOKUP_D = list(R.EXTERNAL_LOOKUP_COLUMNS)
+_FACT_D = (["Actual_QTY", "Predicted_QTY", "External_Factors_Share_Pct"] + _TOP_D + _LOOKUP_D
+           + ["county_alltime_share", "county_recent_share", "state_share", "county_active_months",
+              "max_qty"])
+
+
+@register("forecast_chunk", fin(sql_with("chunk", "SELECT * FROM chunk"), doubles=["Predicted_QTY", "External_Factors_Share_Pct"] + _TOP_D))
+def q_forecast_chunk(spark, sf):
+    return rounded(reporting_inputs(spark, sf).chunk_df)
+
+
+@register("linear_attribution", fin(sql_with("ranked", 'SELECT Family, FIPS, ModelRole, ModelName, Feature, SHAP_Value, External_Factors_Share_Pct, CAST("Rank" AS INTEGER) AS "Rank" FROM ranked'), doubles=["SHAP_Value", "External_Factors_Share_Pct"], dates=()))
+def q_linear_attribution(spark, sf):
+    fi = ForecastInputs(spark, sf)
+    return rounded(fi.ranked().drop("date"))
+
+
+@register("top5_drivers", fin(sql_with("wide", "SELECT * FROM wide"), doubles=["External_Factors_Share_Pct"] + _TOP_D))
+def q_top5_drivers(spark, sf):
+    fi = ForecastInputs(spark, sf)
+    return rounded(AT.top_k_wide(fi.ranked(), ["Family", "FIPS", "date"]))
+
+
+@register("importance_global", fin(sql_with("imp_national", "SELECT * FROM imp_national"), doubles=["SHAP_Value"], dates=()))
+def q_importance_global(spark, sf):
+    return rounded(ForecastInputs(spark, sf).national_importance())
+
+
+@register("importance_state", fin(sql_with("imp_state", "SELECT * FROM imp_state"), doubles=["SHAP_Value"], dates=()))
+def q_importance_state(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(AT.state_importance(fi.county_importance(), fi.chunk_df, fi.tl.forecast_start))
+
+
+@register("importance_all_levels", fin(sql_with(["imp_national", "imp_county", "imp_state"], "SELECT * REPLACE (CAST(\"Rank\" AS DOUBLE) AS \"Rank\") FROM (SELECT * FROM imp_national UNION ALL SELECT * FROM imp_county UNION ALL SELECT * FROM imp_state) u"), doubles=["SHAP_Value", "Rank"], dates=()))
+def q_importance_all_levels(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    county = fi.county_importance()
+    state = AT.state_importance(county, fi.chunk_df, fi.tl.forecast_start)
+    out = AT.all_levels(fi.national_importance(), county, state)
+    # Rank is null on National / State rows: presented as double on both sides
+    return rounded(out.withColumn("Rank", F.col("Rank").cast("double")))
+
+
+@register("weather_universal", fin(sql_with("uweather", "SELECT * FROM uweather"), doubles=_LOOKUP_D))
+def q_weather_universal(spark, sf):
+    fp = ForecastInputs(spark, sf).panel
+    return rounded(R.universal_weather(R.external_weather_lookup(fp), ["F", "O"]))
+
+
+@register("missing_weather", sql_with(["uweather", "full_panel"], """SELECT n_entities, n_missing,
+  round(n_missing * 100.0 / n_entities, 1) + 0.0 AS pct_missing FROM
+  (SELECT count(*) AS n_entities FROM (SELECT DISTINCT FIPS FROM full_panel WHERE Family = 'O') e) a,
+  (SELECT count(*) AS n_missing FROM (SELECT DISTINCT FIPS FROM full_panel WHERE Family = 'O') e
+   WHERE FIPS NOT IN (SELECT FIPS FROM uweather WHERE TAVG IS NOT NULL)) b"""))
+def q_missing_weather(spark, sf):
+    fp = ForecastInputs(spark, sf).panel
+    w = R.universal_weather(R.external_weather_lookup(fp), ["F", "O"])
+    return rounded(R.missing_weather(w, fp.filter(F.col("Family") == "O")))
+
+
+@register("fact_table", fin(sql_with("fact_full", "SELECT * FROM fact_full"), doubles=_FACT_D))
+def q_fact_table(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(fact_of(spark, sf, fi))
+
+
+@register("fact_grain_check", sql_with("fact_full", """SELECT count(*) AS n_keys,
+  count(*) FILTER (WHERE c > 1) AS n_duplicated, max(c) AS max_rows_per_key FROM (
+  SELECT FIPS, date, Family, ModelRole, DataType, count(*) AS c FROM fact_full GROUP BY ALL) g"""))
+def q_fact_grain_check(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return R.grain_check(fact_of(spark, sf, fi))
+
+
+@register("future_fill", fin(sql_with("ff", "SELECT * FROM ff"), doubles=[c for c in _FACT_D if c != "has_temperature_data"]))
+def q_future_fill(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(R.fill_future(fact_of(spark, sf, fi)))
+
+
+@register("national_table", fin(sql_with(["sales", "chunk"], """SELECT date, Family, sum("Sales QTY") AS Sales_QTY,
+  'Historical' AS DataType, CAST(NULL AS VARCHAR) AS ModelRole FROM sales GROUP BY date, Family
+UNION ALL
+SELECT date, Family, sum(Predicted_QTY), 'Forecast', ModelRole FROM chunk GROUP BY date, Family, ModelRole"""),
+    doubles=["Sales_QTY"]))
+def q_national_table(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(R.national_table(sales(spark, sf), fi.chunk_df))
+
+
+@register("demand_spikes", fin(sql_with("chunk", """SELECT FIPS, County_Name, State, Family, ModelRole, ModelName,
+  strftime(date, '%Y-%m-%d') AS Spike_Month, round(prev, 2) AS Baseline_Before_Spike,
+  round(Predicted_QTY, 2) AS Predicted_At_Spike, round(chg, 2) AS Absolute_Increase,
+  CASE WHEN prev > 0.5 THEN round(chg / prev * 100, 1) END AS Percentage_Increase
+FROM (SELECT *, row_number() OVER (PARTITION BY FIPS, Family, ModelRole ORDER BY round(chg, 9) DESC, date ASC) AS rn
+      FROM (SELECT *, lag(Predicted_QTY) OVER w AS prev, Predicted_QTY - lag(Predicted_QTY) OVER w AS chg
+            FROM chunk WINDOW w AS (PARTITION BY FIPS, Family, ModelRole ORDER BY date)) a
+      WHERE chg IS NOT NULL) b WHERE rn = 1"""), dates=(),
+    doubles=["Baseline_Before_Spike", "Predicted_At_Spike", "Absolute_Increase", "Percentage_Increase"]))
+def q_demand_spikes(spark, sf):
+    return rounded(R.demand_spikes(reporting_inputs(spark, sf).chunk_df))
+
+
+@register("importance_long", fin(sql_with("chunk", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT FIPS, County_Name, State, date, Family, ModelRole, ModelName, External_Factors_Share_Pct, "
+    f"CAST({i} AS INTEGER) AS \"Rank\", Top{i}_Feature AS Feature, Top{i}_SHAP AS SHAP_Value FROM chunk"
+    for i in range(1, 6)) + ") u WHERE Feature IS NOT NULL AND Feature <> ''"),
+    doubles=["External_Factors_Share_Pct", "SHAP_Value"]))
+def q_importance_long(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(R.importance_long(R.forecast_rows(fi.chunk_df)))
+
+
+@register("table_profile", fin(sql_with("null_profile", "SELECT * FROM null_profile"), doubles=["null_pct"], dates=()))
+def q_table_profile(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(R.null_profile(R.fill_future(fact_of(spark, sf, fi))))
+
+
+@register("fact_summary", fin(sql_with("fact_full", """SELECT count(*) AS n_rows, count(DISTINCT FIPS) AS n_fips,
+  count(DISTINCT date) AS n_dates, count(DISTINCT Family) AS n_families, min(date) AS first_date,
+  max(date) AS last_date FROM fact_full"""), dates=["first_date", "last_date"]))
+def q_fact_summary(spark, sf):
+    fi = reporting_inputs(spark, sf)
+    return rounded(R.table_summary(fact_of(spark, sf, fi)))
+
+
+@register("friendly_names", sql_with("ranked", "SELECT DISTINCT Feature, " + O._FRIENDLY + " AS Friendly_Name FROM ranked"))
+def q_friendly_names(spark, sf):
+    from panelcast.functions.features import with_friendly_name
+    fi = ForecastInputs(spark, sf)
+    feats = fi.ranked().select("Feature").distinct()
+    return with_friendly_name(feats)

@@ -12,13 +12,24 @@ from pyspark.sql.types import DateType, DoubleType
 DIGITS = 6
 
 
+def _scale_round(x, k: int):
+    """Round half away from zero by scaling in double arithmetic (as DuckDB does)."""
+    p = float(10 ** k)
+    return F.when(x >= 0, F.floor(x * p + 0.5)).otherwise(-F.floor(-x * p + 0.5)) / p
+
+
+def present(x, digits: int = DIGITS):
+    """Two-stage rounding: to digits+3 (drops summation-order noise), then to digits."""
+    return _scale_round(_scale_round(x, digits + 3), digits) + F.lit(0.0)  # -0.0 -> 0.0
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Presentation step of a registered query: doubles rounded, dates as ``yyyy-MM-dd``."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DoubleType):
-            c = F.round(c, digits) + F.lit(0.0)  # -0.0 -> 0.0
+            c = present(c, digits)
         elif isinstance(f.dataType, DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         out.append(c.alias(f.name))
@@ -27,12 +38,12 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def rsql(*cols: str, digits: int = DIGITS) -> str:
     """``round(c, 6) AS c, ...`` for an oracle select list."""
-    return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in cols)
+    return ", ".join(f"round(round({c}, {digits + 3}), {digits}) + 0.0 AS {c}" for c in cols)
 
 
 def fin(sql: str, doubles=(), dates=("date",), digits: int = DIGITS) -> str:
     """Wrap an oracle statement with the same presentation as :func:`rounded`."""
-    rep = [f"round({c}, {digits}) + 0.0 AS {c}" for c in doubles] + \
+    rep = [f"round(round({c}, {digits + 3}), {digits}) + 0.0 AS {c}" for c in doubles] + \
           [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates]
     if not rep:
         return sql

@@ -371,6 +371,117 @@ def _pred_sql() -> str:
             f"ELSE least(greatest({raw}, 0.0), st.hi) END)")
 
 
+register_sql("fc_rec", ("state", "steps"), f"""SELECT s.Family, s.FIPS, r.ModelRole, r.ModelName, 0, s.h,
+         s.last_returns, s.last_date, CAST(NULL AS DATE), CAST(NULL AS DOUBLE)
+  FROM state s JOIN (SELECT DISTINCT ModelRole, ModelName FROM steps) r ON true
+  UNION ALL
+  SELECT r.Family, r.FIPS, r.ModelRole, r.ModelName, r.step + 1, list_append(r.h, {_pred_sql()}), 0.0,
+         r.last_date, st.date, {_pred_sql()}
+  FROM fc_rec r JOIN steps st ON st.Family = r.Family AND st.FIPS = r.FIPS AND st.ModelRole = r.ModelRole
+   AND st.date = CAST(r.last_date + to_months(CAST(r.step + 1 AS INTEGER)) AS DATE)""",
+             recursive_columns="Family, FIPS, ModelRole, ModelName, step, h, ret, last_date, date, pred")
+register_sql("fc", ("fc_rec", "tl"), """SELECT Family, FIPS, ModelRole, ModelName, date, pred AS Predicted_QTY
+FROM fc_rec, tl WHERE step > 0 AND date >= tl.fc_start AND date <= tl.fc_end""")
+register_sql("fc_named", ("fc", "static_l"), """SELECT fc.FIPS, s.County_Name, s.State, fc.date, fc.Predicted_QTY,
+  fc.Family, upper(substr(fc.ModelRole, 1, 1)) || lower(substr(fc.ModelRole, 2)) AS ModelRole, fc.ModelName
+FROM fc LEFT JOIN static_l s ON fc.Family = s.Family AND fc.FIPS = s.FIPS""")
+
+# ---------------------------------------------------------------- stage 5: attribution + reporting
+
+from panelcast.functions.features import (display_external_features,  # noqa: E402
+                                          external_features, FRIENDLY_FEATURE_NAMES)
+
+CAL_NAMES = ["calendar_month", "quarter", "fiscal_month_idx", "month_sin", "month_cos", "fiscal_sin",
+             "fiscal_cos", "growing_season_proxy", "is_planting_season", "is_application_season",
+             "is_harvest_season", "is_dormant_season"]
+FEATURES = sorted(CAL_NAMES + ["time_idx"] + sorted(RECURSIVE)
+                  + ["national_lag_1", "national_lag_12", "national_rollmean_3"]
+                  + WEATHER_COLS + ACRE_COLS + ECON + ECON_CHG + STATIC_COLS)
+EXTERNAL = external_features(FEATURES)
+DISPLAY_EXTERNAL = display_external_features(FEATURES)
+
+register_sql("targets1", ("state", "tl"), """SELECT s.Family, s.FIPS, tl.fc_start AS date FROM state s, tl
+WHERE CAST(s.last_date + INTERVAL 1 MONTH AS DATE) = tl.fc_start""")
+serving_rows_sql("srows1", "targets1", ("targets1",))
+register_sql("x1", ("srows1", "state"), "SELECT r.*, "
+             + ", ".join(f"{rec_feature_sql(f, 's.h', 's.last_returns')} AS {f}" for f in sorted(RECURSIVE))
+             + " FROM srows1 r JOIN state s ON r.Family = s.Family AND r.FIPS = s.FIPS")
+
+
+def _contrib_sql() -> str:
+    parts = []
+    for role, m in MODEL_SPEC.items():
+        cols = ", ".join(f"{float(m.coefs.get(f, 0.0))!r} * coalesce(CAST({f} AS DOUBLE), 0.0) AS {f}"
+                         for f in FEATURES)
+        parts.append(f"SELECT Family, FIPS, date, '{role}' AS ModelRole, '{m.name}' AS ModelName, {cols} FROM x1")
+    wide = "\nUNION ALL\n".join(parts)
+    return (f"SELECT Family, FIPS, date, ModelRole, ModelName, Feature, v FROM ({wide}) w "
+            f"UNPIVOT (v FOR Feature IN ({', '.join(FEATURES)}))")
+
+
+register_sql("contrib", ("x1",), _contrib_sql())
+_EXT_LIST = ", ".join(f"'{f}'" for f in EXTERNAL)
+register_sql("ranked", ("contrib",), f"""SELECT Family, FIPS, date, ModelRole, ModelName, Feature,
+  round(v, 2) AS SHAP_Value, External_Factors_Share_Pct,
+  row_number() OVER (PARTITION BY Family, FIPS, date, ModelRole ORDER BY round(abs(v), 9) DESC, Feature ASC) AS "Rank"
+FROM (SELECT *, CASE WHEN sum(abs(v)) OVER g > 0
+                     THEN round(sum(CASE WHEN Feature IN ({_EXT_LIST}) THEN abs(v) ELSE 0.0 END) OVER g
+                                / sum(abs(v)) OVER g * 100, 1) ELSE 0.0 END AS External_Factors_Share_Pct
+      FROM contrib WINDOW g AS (PARTITION BY Family, FIPS, date, ModelRole)) c
+WHERE Feature IN ({_EXT_LIST})""")
+register_sql("wide", ("ranked",), "SELECT Family, FIPS, date, ModelRole, ModelName, External_Factors_Share_Pct, "
+             + ", ".join(f'max(CASE WHEN "Rank" = {i} THEN Feature END) AS Top{i}_Feature, '
+                         f'max(CASE WHEN "Rank" = {i} THEN SHAP_Value END) AS Top{i}_SHAP' for i in range(1, 6))
+             + ' FROM ranked WHERE "Rank" <= 5 GROUP BY ALL')
+register_sql("chunk", ("fc_named", "wide"), "SELECT f.*, coalesce(w.External_Factors_Share_Pct, 0.0) AS External_Factors_Share_Pct, "
+             + ", ".join(f"coalesce(w.Top{i}_Feature, '') AS Top{i}_Feature, coalesce(w.Top{i}_SHAP, 0.0) AS Top{i}_SHAP"
+                         for i in range(1, 6))
+             + """ FROM fc_named f LEFT JOIN wide w ON f.Family = w.Family AND f.FIPS = w.FIPS AND f.date = w.date
+  AND f.ModelRole = upper(substr(w.ModelRole, 1, 1)) || lower(substr(w.ModelRole, 2))""")
+
+_FRIENDLY = "CASE Feature " + " ".join(
+    "WHEN '{}' THEN '{}'".format(k, v.replace("'", "''")) for k, v in FRIENDLY_FEATURE_NAMES.items()) + " ELSE Feature END"
+_INITCAP = "upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+
+register_sql("imp_county", ("ranked", "static_l"), f"""SELECT 'County' AS Level, r.FIPS, s.County_Name, s.State,
+  r.Family, {_INITCAP.format(c='r.ModelRole')} AS ModelRole, r.ModelName, r.Feature,
+  {_FRIENDLY.replace('Feature', 'r.Feature').replace("CASE r.Feature", "CASE r.Feature")} AS Friendly_Name,
+  r.SHAP_Value, true AS Is_External, CAST(r."Rank" AS INTEGER) AS "Rank"
+FROM ranked r LEFT JOIN static_l s ON r.Family = s.Family AND r.FIPS = s.FIPS""")
+
+register_sql("top30", ("hist",), """SELECT Family, FIPS FROM (
+  SELECT Family, FIPS, row_number() OVER (PARTITION BY Family ORDER BY v DESC, FIPS ASC) AS rn
+  FROM (SELECT Family, FIPS, sum(Sales_QTY) AS v FROM hist GROUP BY ALL) t) r WHERE rn <= 30""")
+
+
+def _national_sql() -> str:
+    means = ", ".join(f"avg(coalesce(CAST({f} AS DOUBLE), 0.0)) AS {f}" for f in FEATURES)
+    parts = []
+    disp = set(DISPLAY_EXTERNAL)
+    for role, m in MODEL_SPEC.items():
+        for f in FEATURES:
+            fr = FRIENDLY_FEATURE_NAMES.get(f, f).replace("'", "''")
+            parts.append(
+                f"SELECT 'National' AS Level, CAST(NULL AS VARCHAR) AS FIPS, CAST(NULL AS VARCHAR) AS County_Name, "
+                f"CAST(NULL AS VARCHAR) AS State, Family, '{role.capitalize()}' AS ModelRole, '{m.name}' AS ModelName, "
+                f"'{f}' AS Feature, '{fr}' AS Friendly_Name, "
+                f"round(abs({float(m.coefs.get(f, 0.0))!r} * {f}), 4) AS SHAP_Value, "
+                f"{'true' if f in disp else 'false'} AS Is_External, CAST(NULL AS INTEGER) AS \"Rank\" FROM means")
+    return ("SELECT * FROM (WITH means AS (SELECT x.Family, " + means
+            + " FROM x1 x SEMI JOIN top30 t ON x.Family = t.Family AND x.FIPS = t.FIPS GROUP BY x.Family) "
+            + "\nUNION ALL\n".join(parts) + ") n")
+
+
+register_sql("imp_national", ("x1", "top30"), _national_sql())
+register_sql("imp_state", ("imp_county", "chunk", "tl"), """SELECT 'State' AS Level, CAST(NULL AS VARCHAR) AS FIPS,
+  CAST(NULL AS VARCHAR) AS County_Name, State, Family, ModelRole, min(ModelName) AS ModelName, Feature,
+  min(Friendly_Name) AS Friendly_Name, round(sum(SHAP_Value * w) / sum(w), 3) AS SHAP_Value,
+  true AS Is_External, CAST(NULL AS INTEGER) AS "Rank"
+FROM (SELECT c.*, greatest(coalesce(k.Predicted_QTY, 0.01), 0.01) AS w
+      FROM imp_county c LEFT JOIN (SELECT k.* FROM chunk k, tl WHERE k.date = tl.fc_start) k
+      ON c.FIPS = k.FIPS AND c.Family = k.Family AND c.ModelRole = k.ModelRole) j
+GROUP BY State, Family, ModelRole, Feature""")
+
 FORECAST_SQL = f"""WITH RECURSIVE rec(Family, FIPS, ModelRole, ModelName, step, h, ret, last_date, date, pred) AS (
   SELECT s.Family, s.FIPS, r.ModelRole, r.ModelName, 0, s.h, s.last_returns, s.last_date,
          CAST(NULL AS DATE), CAST(NULL AS DOUBLE)
@@ -383,3 +494,73 @@ FORECAST_SQL = f"""WITH RECURSIVE rec(Family, FIPS, ModelRole, ModelName, step,
 )
 SELECT Family, FIPS, ModelRole, ModelName, date, pred AS Predicted_QTY FROM rec, tl
 WHERE step > 0 AND date >= tl.fc_start AND date <= tl.fc_end"""
+
+LOOKUP_COLS = ["CPI_AllUrban", "Fertilizer_PPI", "Cotton_Price_USCentsPerLb", "Corn_Price_USDPerMT",
+               "Soybeans_Price_USDPerMT", "Wheat_Price_USDPerMT", "WTI_Oil_Price", "PRCP", "TAVG", "TMAX",
+               "TMIN", "GDD_proxy", "CHU_proxy", "Precip_Anomaly", "has_temperature_data",
+               "CORN_Acres_prior_year", "COTTON_Acres_prior_year", "SOYBEANS_Acres_prior_year",
+               "WHEAT_Acres_prior_year"]
+W_METRICS = ["TAVG", "TMAX", "TMIN", "PRCP", "GDD_proxy", "CHU_proxy", "Precip_Anomaly"]
+P_COLS = ["CPI_AllUrban", "Fertilizer_PPI", "Cotton_Price_USCentsPerLb", "Corn_Price_USDPerMT",
+          "Soybeans_Price_USDPerMT", "Wheat_Price_USDPerMT", "WTI_Oil_Price"]
+TOPS = [f"Top{i}_{k}" for i in range(1, 6) for k in ("Feature", "SHAP")]
+_NULL_TOPS = ", ".join(f"CAST(NULL AS {'VARCHAR' if c.endswith('Feature') else 'DOUBLE'}) AS {c}" for c in TOPS)
+
+register_sql("uweather", ("full_panel",), "SELECT * EXCLUDE (rn, Family) FROM (SELECT Family, FIPS, date, "
+             + ", ".join(LOOKUP_COLS)
+             + """, row_number() OVER (PARTITION BY FIPS, date
+                 ORDER BY CASE Family WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END) AS rn FROM full_panel) x WHERE rn = 1""")
+register_sql("hist_rows", ("sales", "val_pred"), f"""SELECT s.FIPS, n.County_Name, s.State, s.date, s.Family,
+  r.ModelRole, CAST(NULL AS VARCHAR) AS ModelName, s."Sales QTY" AS Actual_QTY, CAST(NULL AS DOUBLE) AS Predicted_QTY,
+  'Historical' AS DataType, CAST(NULL AS DOUBLE) AS External_Factors_Share_Pct, {_NULL_TOPS}
+FROM sales s
+LEFT JOIN (SELECT FIPS, arg_min(County_Name, date) FILTER (WHERE County_Name IS NOT NULL) AS County_Name
+           FROM val_pred GROUP BY FIPS) n ON s.FIPS = n.FIPS
+CROSS JOIN (VALUES ('Champion'), ('Challenger')) r(ModelRole)""")
+register_sql("val_rows", ("val_pred",), f"""SELECT FIPS, County_Name, State, date, Family,
+  {_INITCAP.format(c='ModelRole')} AS ModelRole, ModelName, Actual_QTY, Predicted_QTY, 'Validation' AS DataType,
+  CAST(NULL AS DOUBLE) AS External_Factors_Share_Pct, {_NULL_TOPS} FROM val_pred""")
+register_sql("fc_rows", ("chunk",), """SELECT FIPS, County_Name, State, date, Family, ModelRole, ModelName,
+  CAST(NULL AS DOUBLE) AS Actual_QTY, Predicted_QTY, 'Forecast' AS DataType, External_Factors_Share_Pct, """
+             + ", ".join(TOPS) + " FROM chunk")
+register_sql("fact_full", ("hist_rows", "val_rows", "fc_rows", "uweather", "static_l", "bounds"), """SELECT f.*, """
+             + ", ".join(f"w.{c}" for c in LOOKUP_COLS) + ", "
+             + ", ".join(f"s.{c}" for c in STATIC_COLS) + """, b.max_qty
+FROM (SELECT u.*, CAST(month(u.date) AS INTEGER) AS calendar_month FROM (
+        SELECT * FROM hist_rows UNION ALL BY NAME SELECT * FROM val_rows UNION ALL BY NAME SELECT * FROM fc_rows) u) f
+LEFT JOIN uweather w ON f.FIPS = w.FIPS AND f.date = w.date
+LEFT JOIN static_l s ON f.FIPS = s.FIPS AND f.Family = s.Family
+LEFT JOIN bounds b ON f.FIPS = b.FIPS AND f.Family = b.Family AND f.calendar_month = b.calendar_month""")
+register_sql("ff_last", ("fact_full",), "SELECT max(date) AS last FROM fact_full WHERE DataType = 'Validation'")
+register_sql("ff_hist", ("fact_full", "ff_last"), "SELECT f.* FROM fact_full f, ff_last WHERE f.date <= ff_last.last")
+register_sql("ff_fut", ("fact_full", "ff_last", "ff_hist"), "SELECT f.* REPLACE ("
+             + ", ".join(f"coalesce(f.{c}, cc.{c}_cclim, nc.{c}_nclim) AS {c}" for c in W_METRICS) + ", "
+             + ", ".join(f"coalesce(f.{c}, pb.{c}_pbase) AS {c}" for c in P_COLS)
+             + """) FROM (SELECT f.* FROM fact_full f, ff_last WHERE f.date > ff_last.last) f
+LEFT JOIN (SELECT FIPS, calendar_month, """ + ", ".join(f"avg({c}) AS {c}_cclim" for c in W_METRICS)
+             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 120 MONTH GROUP BY ALL) cc
+  ON f.FIPS = cc.FIPS AND f.calendar_month = cc.calendar_month
+LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}_nclim" for c in W_METRICS)
+             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 120 MONTH GROUP BY ALL) nc
+  ON f.calendar_month = nc.calendar_month
+LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}_pbase" for c in P_COLS)
+             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 12 MONTH GROUP BY ALL) pb
+  ON f.calendar_month = pb.calendar_month""")
+register_sql("ff", ("ff_hist", "ff_fut"), "SELECT * EXCLUDE (has_temperature_data) REPLACE ("
+             + ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in ACRE_COLS)
+             + """) FROM (SELECT * FROM ff_hist UNION ALL BY NAME SELECT * FROM ff_fut) u
+WINDOW w AS (PARTITION BY FIPS, Family ORDER BY date, DataType, ModelRole
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+FF_COLS = (["FIPS", "County_Name", "State", "date", "Family", "ModelRole", "ModelName", "Actual_QTY",
+            "Predicted_QTY", "DataType", "External_Factors_Share_Pct"] + TOPS + ["calendar_month"]
+           + [c for c in LOOKUP_COLS if c != "has_temperature_data"] + STATIC_COLS + ["max_qty"])
+register_sql("null_profile", ("ff",), """SELECT "column", null_count, round(null_count * 100.0 / n, 1) AS null_pct,
+  CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (ORDER BY null_count DESC, "column" ASC) AS rank FROM (
+    WITH a AS (SELECT count(*) AS n, """
+             + ", ".join(f"count(*) - count({c}) AS nn_{i}" for i, c in enumerate(FF_COLS))
+             + " FROM ff) "
+             + " UNION ALL ".join(f"SELECT n, '{c}' AS \"column\", nn_{i} AS null_count FROM a"
+                                  for i, c in enumerate(FF_COLS))
+             + ") b) c WHERE rank <= 10")

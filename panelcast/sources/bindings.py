@@ -256,8 +256,13 @@ WHERE w IN ('SMALL', 'ECONOMY', 'STANDARD', 'PROMO') GROUP BY 1"""),
 }
 
 
-def register_sql(name: str, deps: tuple[str, ...], body: str) -> None:
+RECURSIVE_COLUMNS: dict[str, str] = {}
+
+
+def register_sql(name: str, deps: tuple[str, ...], body: str, recursive_columns: str = "") -> None:
     SQL[name] = (deps, body)
+    if recursive_columns:
+        RECURSIVE_COLUMNS[name] = recursive_columns
 
 
 def sql_with(names, final: str) -> str:
@@ -275,5 +280,8 @@ def sql_with(names, final: str) -> str:
         visit(n)
     if not order:
         return final
-    ctes = ",\n".join(f"{n} AS (\n{SQL[n][1]}\n)" for n in order)
-    return f"WITH {ctes}\n{final}"
+    ctes = ",\n".join(
+        f"{n}({RECURSIVE_COLUMNS[n]}) AS (\n{SQL[n][1]}\n)" if n in RECURSIVE_COLUMNS
+        else f"{n} AS (\n{SQL[n][1]}\n)" for n in order)
+    head = "WITH RECURSIVE" if any(n in RECURSIVE_COLUMNS for n in order) else "WITH"
+    return f"{head} {ctes}\n{final}"
