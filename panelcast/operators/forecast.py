@@ -86,8 +86,8 @@ def national_frozen(national: DataFrame) -> DataFrame:
         F.max(F.when(F.col("_rd") == 12, s)).alias("_l12"),
         F.max(F.when(F.col("_ru") == 1, s)).alias("_first"),
         F.avg(F.when(F.col("_rd") <= 3, s)).alias("_m3"),
-        F.min(MONTH).alias("base_date"))
-    return g.select("Family", "base_date",
+        F.min(MONTH).alias("base_date"), F.max(MONTH).alias("national_last_date"))
+    return g.select("Family", "base_date", "national_last_date",
                     F.coalesce("_l1", F.lit(0.0)).alias("national_lag_1"),
                     F.when(F.col("_n") >= 12, F.col("_l12"))
                     .otherwise(F.coalesce("_first", F.lit(0.0))).alias("national_lag_12"),
@@ -186,6 +186,11 @@ def serving_rows(targets: DataFrame, ext: DataFrame, static: DataFrame, national
     })
 
 
+def fold_linear(state: DataFrame, rows: DataFrame, models: dict[str, LinearModel]) -> DataFrame:
+    """The recursion itself: one row per (Family, FIPS, role) with ``steps`` and ``preds`` arrays."""
+    return _fold(state, rows, models)
+
+
 def forecast_linear(state: DataFrame, rows: DataFrame, models: dict[str, LinearModel], *,
                     start, end) -> DataFrame:
     """Recursive, guard-railed forecast of linear models; months in [start, end].
@@ -198,6 +203,16 @@ def forecast_linear(state: DataFrame, rows: DataFrame, models: dict[str, LinearM
     order, appending each clipped prediction to the history array.
     Output: (Family, FIPS, ModelRole, ModelName, date, Predicted_QTY).
     """
+    folded = _fold(state, rows, models)
+    keys = [*KEYS, "ModelRole", "ModelName"]
+    out = folded.select(*keys, F.posexplode("steps").alias("_i", "_s"), "preds").select(
+        *keys, F.col("_s")[MONTH].alias(MONTH),
+        F.element_at("preds", F.col("_i") + 1).alias("Predicted_QTY"))
+    d = F.col(MONTH)
+    return out.filter((d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
+
+
+def _fold(state: DataFrame, rows: DataFrame, models: dict[str, LinearModel]) -> DataFrame:
     rec_feats = sorted({f for m in models.values() for f, c in m.coefs.items()
                         if f in RECURSIVE and c != 0.0})
     per_role = []
@@ -229,16 +244,18 @@ def forecast_linear(state: DataFrame, rows: DataFrame, models: dict[str, LinearM
     init = F.struct(F.col("h").alias("h"), F.col("last_returns").alias("ret"),
                     F.array().cast("array<double>").alias("p"))
     keys = [*KEYS, "ModelRole", "ModelName"]
-    folded = joined.select(*keys, "steps", F.aggregate("steps", init, step)["p"].alias("preds"))
-    out = folded.select(*keys, F.posexplode("steps").alias("_i", "_s"), "preds").select(
-        *keys, F.col("_s")[MONTH].alias(MONTH),
-        F.element_at("preds", F.col("_i") + 1).alias("Predicted_QTY"))
-    d = F.col(MONTH)
-    return out.filter((d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
+    return joined.select(*keys, "h", "last_date", "last_returns", "steps",
+                         F.aggregate("steps", init, step)["p"].alias("preds"))
 
 
 def horizon_targets(state: DataFrame, end) -> DataFrame:
-    """Every month after each entity's last history month up to ``end``."""
-    return state.select(*KEYS, F.explode(F.sequence(F.add_months("last_date", 1),
-                                                    F.lit(end).cast("date"),
-                                                    F.expr("INTERVAL 1 MONTH"))).alias(MONTH))
+    """Every month after each entity's last history month up to ``end``.
+
+    ``end`` is a date or a column (a per-entity horizon); nothing when it is
+    not after the last history month.
+    """
+    end_col = end if isinstance(end, Column) else F.lit(end).cast("date")
+    first = F.add_months("last_date", 1)
+    months = F.when(end_col >= first, F.sequence(first, end_col, F.expr("INTERVAL 1 MONTH"))) \
+        .otherwise(F.array().cast("array<date>"))
+    return state.select(*KEYS, F.explode(months).alias(MONTH))

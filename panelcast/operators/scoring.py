@@ -57,5 +57,11 @@ CHAMPION = LinearModel("LinearBlend", {
     "CPI_AllUrban": 0.05, "TAVG": 0.02, "Precip_Anomaly": -0.1,
     "CORN_Acres_prior_year": 0.0001, "county_alltime_share": 10.0,
 })
-CHALLENGER = LinearModel("SeasonalNaive", {"fips_lag_12": 1.0})
+CHALLENGER = LinearModel("LinearSensitivity", {
+    "fips_lag_12": 0.7, "fips_rollmean_12": 0.3, "CPI_AllUrban": 0.1,
+    "Corn_Price_USDPerMT": 0.01, "WTI_Oil_Price": 0.05, "TAVG": 0.05,
+    "Precip_Anomaly": -0.05, "CORN_Acres_prior_year": 0.0002,
+})
 MODEL_SPEC = {"champion": CHAMPION, "challenger": CHALLENGER}
+# The what-if sensitivity model: the other roles' scenario deltas come from it.
+SENSITIVITY_ROLE = "challenger"

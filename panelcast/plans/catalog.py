@@ -43,14 +43,33 @@ def register(name: str, oracle: str | None = None):
 
 # ---------------------------------------------------------------- shared builders
 
+# Stage outputs of one application, like the files a batch pipeline writes
+# between steps: built (and checkpointed) once per input folder, then read by
+# every later query of the same Spark application.
+_STAGES: dict[tuple, object] = {}
+
+
+def stage(spark: SparkSession, sf: str, name: str, build):
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _STAGES:
+        _STAGES[key] = build()
+    return _STAGES[key]
+
+
+def clear_stages() -> None:
+    _STAGES.clear()
+
+
 def sales(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
     """Parsed sales rows, materialised: every later step reads them several times.
 
     The binding already aggregated line items to one row per (family,
     entity, month), so the panel shuffles these rows by entity directly.
     """
-    raw = B.raw_sales_sparse(spark, sf) if sparse else B.raw_sales(spark, sf)
-    return materialize(P.load_raw(raw))
+    def build():
+        raw = B.raw_sales_sparse(spark, sf) if sparse else B.raw_sales(spark, sf)
+        return materialize(P.load_raw(raw))
+    return stage(spark, sf, "sales_sparse" if sparse else "sales", build)
 
 
 def panel(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
@@ -135,7 +154,7 @@ _STATIC = ["county_alltime_share", "county_recent_share", "state_share", "county
                                         + rsql(*_STATIC, digits=9) + " FROM static"), dates=()))
 def q_static_shares(spark, sf):
     s = sales(spark, sf)
-    tl = timeline(s)
+    tl = stage(spark, sf, "timeline", lambda: timeline(s))
     sh = S.static_shares(P.monthly_panel(s), tl.train_cutoff)
     return rounded(sh, 9)
 
@@ -169,11 +188,15 @@ def econ(spark, sf):
 
 
 def full_panel(spark, sf, cutoff=None):
+    """The assembled feature panel (stage 1 output), materialised once per cutoff."""
     s = sales(spark, sf)
-    tl = timeline(s)
-    inner = internal(spark, sf, s)
-    return materialize(A.assemble(inner, weather(spark, sf), acreage(spark, sf, s),
-                                  econ(spark, sf), names(spark, sf), cutoff or tl.train_cutoff))
+    cutoff = cutoff or stage(spark, sf, "timeline", lambda: timeline(s)).train_cutoff
+
+    def build():
+        inner = internal(spark, sf, s)
+        return materialize(A.assemble(inner, weather(spark, sf), acreage(spark, sf, s),
+                                      econ(spark, sf), names(spark, sf), cutoff))
+    return stage(spark, sf, f"panel@{cutoff}", build)
 
 
 @register("weather_pivot", fin(sql_with("wpiv", "SELECT * FROM wpiv"),
@@ -230,7 +253,7 @@ def model_spec(family: str | None = None) -> dict:
 def holdout(spark, sf):
     """(timeline, train, val, validation predictions for every role)."""
     s = sales(spark, sf)
-    tl = timeline(s)
+    tl = stage(spark, sf, "timeline", lambda: timeline(s))
     fp = full_panel(spark, sf, tl.train_cutoff)
     train, val = M.split(fp, tl.train_cutoff, tl.val_start, tl.val_end)
     roles = F.explode(F.array(*[
@@ -314,7 +337,7 @@ class ForecastInputs:
 
     def __init__(self, spark, sf):
         s = sales(spark, sf)
-        self.tl = tl = timeline(s)
+        self.tl = tl = stage(spark, sf, "timeline", lambda: timeline(s))
         self.panel = fp = full_panel(spark, sf, tl.train_cutoff)
         self.features = feats = discover_features(fp.columns)
         self.history = L.trailing_history(fp)
@@ -323,8 +346,8 @@ class ForecastInputs:
         avail = [c for c in ext.columns if c not in ("Family", "FIPS", "date")]
         self.ext_cols = cols = extension_columns(avail, feats)
         self.econ_cols = [c for c in cols if f"{c}_lag1" in feats or f"{c}_chg3m" in feats]
-        extended = FC.extend_external(ext.select("Family", "FIPS", "date", *cols), cols,
-                                      tl.forecast_end)
+        self.ext_base = ext.select("Family", "FIPS", "date", *cols)
+        extended = FC.extend_external(self.ext_base, cols, tl.forecast_end)
         self.ext = FC.serving_derivatives(extended, self.econ_cols)
         self.static = L.entity_static(fp)
         self.national = FC.national_frozen(L.national_trailing(fp))
@@ -379,10 +402,17 @@ class ForecastInputs:
         return AT.global_importance_linear(sample, model_spec(), self.features)
 
 
+def forecast_inputs(spark, sf) -> ForecastInputs:
+    return stage(spark, sf, "forecast_inputs", lambda: ForecastInputs(spark, sf))
+
+
 def reporting_inputs(spark, sf):
-    fi = ForecastInputs(spark, sf)
-    fi.chunk_df = materialize(fi.chunk())
-    return fi
+    """Forecast inputs plus the materialised forecast chunk (stage 3 output)."""
+    def build():
+        fi = forecast_inputs(spark, sf)
+        fi.chunk_df = materialize(fi.chunk())
+        return fi
+    return stage(spark, sf, "reporting_inputs", build)
 
 
 def validation_of(fi):
@@ -463,7 +493,7 @@ def q_national_serving(spark, sf):
                                          + " FROM ext_s WHERE is_extended"),
                                  doubles=_EXT_BASE + _EXT_DER))
 def q_extend_external(spark, sf):
-    fi = ForecastInputs(spark, sf)
+    fi = forecast_inputs(spark, sf)
     base = [c for c in fi.ext_cols if not c.endswith(("_lag1", "_chg3m"))]
     deriv = [f"{c}_{k}" for c in fi.econ_cols for k in ("lag1", "chg3m")]
     return rounded(fi.ext.filter("is_extended").select("Family", "FIPS", "date", *base, *deriv))
@@ -471,7 +501,7 @@ def q_extend_external(spark, sf):
 
 @register("forecast_recursive_linear", fin(_fc_oracle(), doubles=["Predicted_QTY"]))
 def q_forecast_recursive_linear(spark, sf):
-    return rounded(ForecastInputs(spark, sf).forecast())
+    return rounded(forecast_inputs(spark, sf).forecast())
 
 
 # ---------------------------------------------------------------- stage 5: reporting
@@ -491,19 +521,19 @@ def q_forecast_chunk(spark, sf):
 
 @register("linear_attribution", fin(sql_with("ranked", 'SELECT Family, FIPS, ModelRole, ModelName, Feature, SHAP_Value, External_Factors_Share_Pct, CAST("Rank" AS INTEGER) AS "Rank" FROM ranked'), doubles=["SHAP_Value", "External_Factors_Share_Pct"], dates=()))
 def q_linear_attribution(spark, sf):
-    fi = ForecastInputs(spark, sf)
+    fi = forecast_inputs(spark, sf)
     return rounded(fi.ranked().drop("date"))
 
 
 @register("top5_drivers", fin(sql_with("wide", "SELECT * FROM wide"), doubles=["External_Factors_Share_Pct"] + _TOP_D))
 def q_top5_drivers(spark, sf):
-    fi = ForecastInputs(spark, sf)
+    fi = forecast_inputs(spark, sf)
     return rounded(AT.top_k_wide(fi.ranked(), ["Family", "FIPS", "date"]))
 
 
 @register("importance_global", fin(sql_with("imp_national", "SELECT * FROM imp_national"), doubles=["SHAP_Value"], dates=()))
 def q_importance_global(spark, sf):
-    return rounded(ForecastInputs(spark, sf).national_importance())
+    return rounded(forecast_inputs(spark, sf).national_importance())
 
 
 @register("importance_state", fin(sql_with("imp_state", "SELECT * FROM imp_state"), doubles=["SHAP_Value"], dates=()))
@@ -524,7 +554,7 @@ def q_importance_all_levels(spark, sf):
 
 @register("weather_universal", fin(sql_with("uweather", "SELECT * FROM uweather"), doubles=_LOOKUP_D))
 def q_weather_universal(spark, sf):
-    fp = ForecastInputs(spark, sf).panel
+    fp = forecast_inputs(spark, sf).panel
     return rounded(R.universal_weather(R.external_weather_lookup(fp), ["F", "O"]))
 
 
@@ -534,7 +564,7 @@ def q_weather_universal(spark, sf):
   (SELECT count(*) AS n_missing FROM (SELECT DISTINCT FIPS FROM full_panel WHERE Family = 'O') e
    WHERE FIPS NOT IN (SELECT FIPS FROM uweather WHERE TAVG IS NOT NULL)) b"""))
 def q_missing_weather(spark, sf):
-    fp = ForecastInputs(spark, sf).panel
+    fp = forecast_inputs(spark, sf).panel
     w = R.universal_weather(R.external_weather_lookup(fp), ["F", "O"])
     return rounded(R.missing_weather(w, fp.filter(F.col("Family") == "O")))
 
@@ -609,6 +639,84 @@ def q_fact_summary(spark, sf):
 @register("friendly_names", sql_with("ranked", "SELECT DISTINCT Feature, " + O._FRIENDLY + " AS Friendly_Name FROM ranked"))
 def q_friendly_names(spark, sf):
     from panelcast.functions.features import with_friendly_name
-    fi = ForecastInputs(spark, sf)
+    fi = forecast_inputs(spark, sf)
     feats = fi.ranked().select("Feature").distinct()
     return with_friendly_name(feats)
+
+
+# ---------------------------------------------------------------- stage 6: requests
+
+from panelcast.operators import requests as RQ  # noqa: E402
+from panelcast.operators.scoring import SENSITIVITY_ROLE  # noqa: E402
+
+# Fixed what-if payload of the generated scenario requests: an alias with a
+# percent change, a raw feature with an absolute change, a default-type alias,
+# a known-unsupported key and an unknown key.
+SCENARIO_CHANGES = {"CPI": {"type": "percent", "value": 10.0},
+                    "TAVG": {"type": "absolute", "value": -2.0},
+                    "OilPrice": {"value": 5.0},
+                    "CORN_Acreage": {"type": "percent", "value": -20.0},
+                    "GDD": {"type": "percent", "value": 3.0},
+                    "RainfallIndex": {"type": "absolute", "value": 1.0}}
+
+
+def generated_requests(fi: ForecastInputs) -> DataFrame:
+    """Request texts derived from every entity of the static lookup (seven kinds each)."""
+    import json
+    st = fi.static
+    start = F.lit(fi.tl.forecast_start).cast("date")
+    last = F.lit(fi.tl.last).cast("date")
+    plain_id = F.col("FIPS").cast("long").cast("string")
+    kinds = {
+        "forecast": (F.add_months(start, 2), {"fips": plain_id}),
+        "historical": (F.add_months(last, -2), {"fips": F.concat(plain_id, F.lit(".0"))}),
+        "by_name": (start, {"county_name": F.lower("County_Name"), "state": F.col("State")}),
+        "scenario": (F.add_months(start, 5), {"fips": F.col("FIPS"), "scenario": F.lit(True)}),
+        "explain": (start, {"fips": F.col("FIPS"), "explain": F.lit(True)}),
+        "bad_month": (start, {"fips": F.col("FIPS")}),
+        "unknown_id": (F.add_months(start, 1), {"fips": (F.col("FIPS").cast("long") + 1000000).cast("string")}),
+    }
+    parts = []
+    for kind, (target, fields) in kinds.items():
+        month = F.lit(13) if kind == "bad_month" else F.month(target)
+        body = F.struct(F.col("Family").alias("family"), *[c.alias(k) for k, c in fields.items()],
+                        month.alias("month"), F.year(target).alias("year"))
+        text = F.to_json(body)
+        if kind == "scenario":
+            text = F.concat(F.regexp_replace(text, r"\}$", ""),
+                            F.lit(', "feature_changes": ' + json.dumps(SCENARIO_CHANGES) + "}"))
+        parts.append(st.select(F.concat_ws("-", "Family", "FIPS", F.lit(kind)).alias("request_id"),
+                               text.alias("value")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+def score_request_table(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
+    """R7: parse, validate, resolve, score both roles, explain; one row per request."""
+    req = RQ.parse_requests(raw)
+    fams = fi.static.select("Family").distinct()
+    req = RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams), fi.static), fi.static)
+    max_t = req.filter(F.col("error").isNull()).agg(
+        F.max(RQ.target_month(F.col("year"), F.col("month")))).first()[0]
+    ext = fi.ext
+    if max_t is not None and max_t > fi.tl.forecast_end:
+        ext = FC.serving_derivatives(FC.extend_external(fi.ext_base, fi.ext_cols, max_t), fi.econ_cols)
+
+    def rows_for(targets):
+        return FC.serving_rows(targets, ext, fi.static, fi.national, fi.bounds)
+
+    scored = RQ.score_requests(req, state=fi.state, history=fi.history, rows_for=rows_for,
+                               static=fi.static, national=fi.national, models=model_spec(),
+                               features=fi.features, last_actual=fi.tl.last,
+                               sensitivity_role=SENSITIVITY_ROLE)
+    explained = RQ.explain_requests(req, state=fi.state, rows_for=rows_for,
+                                    model=model_spec()["champion"], features=fi.features)
+    return RQ.assemble_response(req, scored, explained, list(model_spec()))
+
+
+@register("request_scoring")
+def q_request_scoring(spark, sf):
+    fi = forecast_inputs(spark, sf)
+    return rounded(score_request_table(fi, generated_requests(fi)))
