@@ -720,3 +720,82 @@ def score_request_table(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
 def q_request_scoring(spark, sf):
     fi = forecast_inputs(spark, sf)
     return rounded(score_request_table(fi, generated_requests(fi)))
+
+
+# ---------------------------------------------------------------- stage 2b: fitted models
+
+from panelcast.operators import models as MD  # noqa: E402
+
+# Fixed values: (family, role) -> learner, champions boosted trees, challengers ridge.
+LEARNERS = {("F", "champion"): "boosted_a", ("F", "challenger"): "ridge",
+            ("O", "champion"): "boosted_b", ("O", "challenger"): "ridge"}
+
+
+def fitted_ridge(spark, sf) -> dict[str, "MD.LinearModel"]:
+    """Ridge per family, fitted on the training window (one k x k solve each)."""
+    def build():
+        fi = forecast_inputs(spark, sf)
+        train, _ = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+        fams = [r[0] for r in fi.panel.select("Family").distinct().collect()]  # family dimension
+        return {f: MD.fit_ridge(train.filter(F.col("Family") == f), fi.features) for f in sorted(fams)}
+    return stage(spark, sf, "ridge", build)
+
+
+@register("ridge_holdout")
+def q_ridge_holdout(spark, sf):
+    fi = forecast_inputs(spark, sf)
+    train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+    parts = []
+    for fam, m in fitted_ridge(spark, sf).items():
+        v = val.filter(F.col("Family") == fam)
+        parts.append(M.holdout_predictions(v, m.score(), family_role="challenger", model_name=m.name))
+    preds = parts[0]
+    for p_ in parts[1:]:
+        preds = preds.unionByName(p_)
+    met = M.national_metrics(preds)
+    return rounded(M.evaluation_records(met, train, val, cutoff=fi.tl.train_cutoff,
+                                        val_start=fi.tl.val_start, val_end=fi.tl.val_end))
+
+
+@register("ridge_coefficients")
+def q_ridge_coefficients(spark, sf):
+    rows = [(fam, f, float(c)) for fam, m in fitted_ridge(spark, sf).items()
+            for f, c in sorted(m.coefs.items())]
+    rows += [(fam, "(intercept)", float(m.intercept)) for fam, m in fitted_ridge(spark, sf).items()]
+    return rounded(spark.createDataFrame(rows, "Family string, Feature string, coef double"))
+
+
+@register("ridge_forecast")
+def q_ridge_forecast(spark, sf):
+    """Recursive forecast with the fitted ridge of each family (one fold per family)."""
+    fi = forecast_inputs(spark, sf)
+    targets = FC.horizon_targets(fi.state, fi.tl.forecast_end)
+    rows = fi.rows(targets)
+    out = None
+    for fam, m in fitted_ridge(spark, sf).items():
+        st = fi.state.filter(F.col("Family") == fam)
+        fc = FC.forecast_linear(st, rows.filter(F.col("Family") == fam), {"challenger": m},
+                                start=fi.tl.forecast_start, end=fi.tl.forecast_end)
+        out = fc if out is None else out.unionByName(fc)
+    return rounded(out)
+
+
+@register("gbt_holdout")
+def q_gbt_holdout(spark, sf):
+    """Boosted-tree champions per family: fit on train, score the holdout, metrics."""
+    fi = forecast_inputs(spark, sf)
+    train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+    parts = []
+    for (fam, role), learner in sorted(LEARNERS.items()):
+        if learner == "ridge":
+            continue
+        params = MD.BOOSTED_A if learner == "boosted_a" else MD.BOOSTED_B
+        model = MD.fit_gbt(train.filter(F.col("Family") == fam), fi.features, params)
+        p = MD.predict_gbt(model, val.filter(F.col("Family") == fam), fi.features)
+        parts.append(p.select("FIPS", "County_Name", "State", "date",
+                              F.col("Sales_QTY").alias("Actual_QTY"), "Predicted_QTY", "Family",
+                              F.lit(role).alias("ModelRole"), F.lit(f"GBT-{learner}").alias("ModelName")))
+    preds = parts[0]
+    for p_ in parts[1:]:
+        preds = preds.unionByName(p_)
+    return rounded(M.national_metrics(preds))
