@@ -799,3 +799,14 @@ def q_gbt_holdout(spark, sf):
     for p_ in parts[1:]:
         preds = preds.unionByName(p_)
     return rounded(M.national_metrics(preds))
+
+
+# ---------------------------------------------------------------- stage 6b: streaming requests
+
+def stream_scorer(spark, sf):
+    """The batch scorer used by the streaming job (lookups are static, built once)."""
+    fi = forecast_inputs(spark, sf)
+
+    def score(batch):
+        return score_request_table(fi, batch)
+    return score
