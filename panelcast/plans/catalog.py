@@ -482,7 +482,8 @@ def q_entity_static(spark, sf):
     return rounded(L.entity_static(full_panel(spark, sf)), 9)
 
 
-@register("national_serving", fin(sql_with("nat_f", "SELECT * FROM nat_f"), dates=("base_date",),
+@register("national_serving", fin(sql_with("nat_f", "SELECT * FROM nat_f"),
+                                  dates=("base_date", "national_last_date"),
                                   doubles=["national_lag_1", "national_lag_12", "national_rollmean_3"]))
 def q_national_serving(spark, sf):
     return rounded(FC.national_frozen(L.national_trailing(full_panel(spark, sf))))

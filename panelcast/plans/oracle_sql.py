@@ -273,7 +273,7 @@ register_sql("static_l", ("full_panel",), "SELECT Family, FIPS, "
              + ", ".join(f"arg_min({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}"
                          for c in ["County_Name", "State"] + STATIC_COLS)
              + " FROM full_panel GROUP BY Family, FIPS")
-register_sql("nat_f", ("full_panel",), """SELECT Family, min(date) AS base_date,
+register_sql("nat_f", ("full_panel",), """SELECT Family, min(date) AS base_date, max(date) AS national_last_date,
   coalesce(max(CASE WHEN rd = 1 THEN s END), 0.0) AS national_lag_1,
   CASE WHEN count(*) >= 12 THEN max(CASE WHEN rd = 12 THEN s END)
        ELSE coalesce(max(CASE WHEN ru = 1 THEN s END), 0.0) END AS national_lag_12,
