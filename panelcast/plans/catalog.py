@@ -802,6 +802,79 @@ def q_gbt_holdout(spark, sf):
     return rounded(M.national_metrics(preds))
 
 
+# ---------------------------------------------------------------- stage 3b: tree champions served
+
+from panelcast.operators import trees as TR  # noqa: E402
+
+
+def fitted_champions(spark, sf) -> dict:
+    """Boosted-tree champions refit on the full panel per family (M7), persisted (M12).
+
+    Returns (family, role) -> (name, loaded pipeline, leaf table). The leaf
+    table is read back from the persisted node table; its size is bounded by
+    the tree count and depth.
+    """
+    def build():
+        fi = forecast_inputs(spark, sf)
+        out = {}
+        for (fam, role), learner in sorted(LEARNERS.items()):
+            if learner == "ridge":
+                continue
+            params = MD.BOOSTED_A if learner == "boosted_a" else MD.BOOSTED_B
+            path = TR.model_path(spark, f"{fam}_{role}")
+            TR.save_model(MD.fit_gbt(fi.panel.filter(F.col("Family") == fam), fi.features, params),
+                          path)
+            model = TR.load_model(path, role)
+            nodes = TR.node_table(spark, TR.booster_of(model), path + "_nodes")
+            leaves = TR.leaf_table(nodes, TR.booster_of(model).treeWeights, len(fi.features))
+            out[(fam, role)] = (f"GBT-{learner}", model, leaves)
+        return out
+    return stage(spark, sf, "champions", build)
+
+
+def tree_attribution_long(spark, sf, rows):
+    fi = forecast_inputs(spark, sf)
+    tables = {k: (name, leaves) for k, (name, _, leaves) in fitted_champions(spark, sf).items()}
+    return TR.attribute_trees(rows, ["Family", "FIPS", "date"], tables, fi.features)
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf):
+    """24-month recursive forecast of the tree champions (one transform per month)."""
+    fi = forecast_inputs(spark, sf)
+    rows = fi.rows(FC.horizon_targets(fi.state, fi.tl.forecast_end))
+    out = None
+    for (fam, role), (name, model, _) in fitted_champions(spark, sf).items():
+        fc = TR.forecast_trees(fi.state.filter(F.col("Family") == fam),
+                               rows.filter(F.col("Family") == fam), model, fi.features,
+                               role=role, name=name, start=fi.tl.forecast_start,
+                               end=fi.tl.forecast_end)
+        out = fc if out is None else out.unionByName(fc)
+    names = fi.static.select("Family", "FIPS", "County_Name", "State")
+    return rounded(out.join(names, ["Family", "FIPS"], "left").select(
+        "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
+        F.initcap("ModelRole").alias("ModelRole"), "ModelName"))
+
+
+@register("gbt_attribution")
+def q_gbt_attribution(spark, sf):
+    """Exact tree attribution at the first forecast month: external drivers ranked + share."""
+    fi = forecast_inputs(spark, sf)
+    long = tree_attribution_long(spark, sf, fi.first_month_x())
+    ranked = AT.rank_external(long, ["Family", "FIPS", "date"], fi.features)
+    return rounded(ranked.drop("date"))
+
+
+@register("gbt_importance_national")
+def q_gbt_importance_national(spark, sf):
+    """Mean |attribution| of the tree champions over the top-volume entities' rows."""
+    fi = forecast_inputs(spark, sf)
+    top = AT.top_volume_entities(fi.history)
+    # top-n ids per family: bounded by n x families
+    sample = fi.first_month_x().join(F.broadcast(top), ["Family", "FIPS"], "left_semi")
+    return rounded(TR.global_importance_trees(tree_attribution_long(spark, sf, sample)))
+
+
 # ---------------------------------------------------------------- stage 6b: streaming requests
 
 def stream_scorer(spark, sf):
