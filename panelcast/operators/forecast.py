@@ -259,3 +259,25 @@ def horizon_targets(state: DataFrame, end) -> DataFrame:
     months = F.when(end_col >= first, F.sequence(first, end_col, F.expr("INTERVAL 1 MONTH"))) \
         .otherwise(F.array().cast("array<date>"))
     return state.select(*KEYS, F.explode(months).alias(MONTH))
+
+
+def known_or_forecast(targets: DataFrame, history: DataFrame, forecast: DataFrame,
+                      roles: list[str], last_actual) -> DataFrame:
+    """R3 / F7: per (entity, month, role) the actual when known, else the model forecast.
+
+    A month up to ``last_actual`` with a history row is ``historical_actual``;
+    otherwise the recursive forecast of that month
+    (``model_forecast_recursive_guardrailed``); a month with neither gets a
+    null value and ``no_history_row_for_target`` (the source fails there).
+    ``roles`` fan each target out once per model role (a literal array).
+    """
+    t = targets.select(*KEYS, MONTH, F.explode(F.array(*[F.lit(r) for r in roles])).alias("ModelRole"))
+    h = history.select(*KEYS, MONTH, F.col("Sales_QTY").alias("_actual"))
+    f = forecast.select(*KEYS, "ModelRole", MONTH, F.col("Predicted_QTY").alias("_pred"))
+    j = t.join(h, [*KEYS, MONTH], "left").join(f, [*KEYS, "ModelRole", MONTH], "left")
+    known = (F.col(MONTH) <= F.lit(last_actual).cast("date")) & F.col("_actual").isNotNull()
+    return j.select(*KEYS, MONTH, "ModelRole",
+                    F.when(known, F.col("_actual")).otherwise(F.col("_pred")).alias("Predicted_QTY"),
+                    F.when(known, F.lit("historical_actual"))
+                    .when(F.col("_pred").isNotNull(), F.lit("model_forecast_recursive_guardrailed"))
+                    .otherwise(F.lit("no_history_row_for_target")).alias("feature_source"))

@@ -505,6 +505,32 @@ def q_forecast_recursive_linear(spark, sf):
     return rounded(forecast_inputs(spark, sf).forecast())
 
 
+@register("forecast_known_or_model", fin(sql_with(["state", "hist", "fc", "tl"], """SELECT t.Family, t.FIPS,
+  t.date, t.ModelRole,
+  CASE WHEN t.date <= tl.last_month AND h.Sales_QTY IS NOT NULL THEN h.Sales_QTY ELSE f.Predicted_QTY END
+    AS Predicted_QTY,
+  CASE WHEN t.date <= tl.last_month AND h.Sales_QTY IS NOT NULL THEN 'historical_actual'
+       WHEN f.Predicted_QTY IS NOT NULL THEN 'model_forecast_recursive_guardrailed'
+       ELSE 'no_history_row_for_target' END AS feature_source
+FROM (SELECT g.Family, g.FIPS, CAST(g.d AS DATE) AS date, r.ModelRole FROM (
+        SELECT s.Family, s.FIPS, unnest(generate_series(CAST(s.last_date - INTERVAL 23 MONTH AS TIMESTAMP),
+               CAST(tl.fc_end AS TIMESTAMP), INTERVAL 1 MONTH)) AS d FROM state s, tl) g,
+      (SELECT DISTINCT ModelRole FROM fc) r) t
+CROSS JOIN tl
+LEFT JOIN hist h ON t.Family = h.Family AND t.FIPS = h.FIPS AND t.date = h.date
+LEFT JOIN fc f ON t.Family = f.Family AND t.FIPS = f.FIPS AND t.ModelRole = f.ModelRole AND t.date = f.date"""),
+    doubles=["Predicted_QTY"]))
+def q_forecast_known_or_model(spark, sf):
+    """Every visible history month and the whole horizon, per role: actual if known, else forecast."""
+    fi = forecast_inputs(spark, sf)
+    months = F.sequence(F.add_months("last_date", -23), F.lit(fi.tl.forecast_end).cast("date"),
+                        F.expr("INTERVAL 1 MONTH"))
+    targets = fi.state.select("Family", "FIPS", F.explode(months).alias("date"))
+    fc = FC.forecast_linear(fi.state, fi.rows(FC.horizon_targets(fi.state, fi.tl.forecast_end)),
+                            model_spec(), start=fi.tl.forecast_start, end=fi.tl.forecast_end)
+    return rounded(FC.known_or_forecast(targets, fi.history, fc, list(model_spec()), fi.tl.last))
+
+
 # ---------------------------------------------------------------- stage 5: reporting
 
 _TOPS = [f"Top{i}_{k}" for i in range(1, 6) for k in ("Feature", "SHAP")]
