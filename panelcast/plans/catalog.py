@@ -720,11 +720,14 @@ def generated_requests(fi: ForecastInputs) -> DataFrame:
     return out
 
 
-def score_request_table(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
-    """R7: parse, validate, resolve, score both roles, explain; one row per request."""
+def resolved_requests(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
     req = RQ.parse_requests(raw)
     fams = fi.static.select("Family").distinct()
-    req = RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams), fi.static), fi.static)
+    return RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams), fi.static), fi.static)
+
+
+def scored_requests(fi: ForecastInputs, req: DataFrame) -> tuple[DataFrame, object]:
+    """Per (request, role) scores of resolved requests, and the serving-row builder."""
     max_t = req.filter(F.col("error").isNull()).agg(
         F.max(RQ.target_month(F.col("year"), F.col("month")))).first()[0]
     ext = fi.ext
@@ -738,6 +741,13 @@ def score_request_table(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
                                static=fi.static, national=fi.national, models=model_spec(),
                                features=fi.features, last_actual=fi.tl.last,
                                sensitivity_role=SENSITIVITY_ROLE)
+    return scored, rows_for
+
+
+def score_request_table(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
+    """R7: parse, validate, resolve, score both roles, explain; one row per request."""
+    req = resolved_requests(fi, raw)
+    scored, rows_for = scored_requests(fi, req)
     explained = RQ.explain_requests(req, state=fi.state, rows_for=rows_for,
                                     model=model_spec()["champion"], features=fi.features)
     return RQ.assemble_response(req, scored, explained, list(model_spec()))
@@ -749,6 +759,60 @@ def q_request_scoring(spark, sf):
     return rounded(score_request_table(fi, generated_requests(fi)))
 
 
+def _scenario_oracle() -> str:
+    """What-if of every entity at the sixth forecast month, in DuckDB.
+
+    History at the target is the recursion state one step earlier (fc_rec);
+    the fixed payload is resolved here (alias, else raw feature, else
+    unsupported); the shift uses the sensitivity model's coefficients.
+    """
+    from panelcast.functions.features import FEATURE_CHANGE_MAP, KNOWN_UNSUPPORTED
+    feats = O.FEATURES
+    applied, unsupported = {}, []
+    for key, ch in SCENARIO_CHANGES.items():
+        target = FEATURE_CHANGE_MAP.get(key) or (key if key not in KNOWN_UNSUPPORTED else None)
+        if target in feats:
+            applied[target] = (ch.get("type", "percent"), float(ch.get("value", 0.0)))
+        else:
+            unsupported.append(key)
+    sens = MODEL_SPEC[SENSITIVITY_ROLE]
+
+    def before(f):
+        return f"coalesce(CAST(x.{f} AS DOUBLE), 0.0)"
+
+    def after(f):
+        kind, v = applied[f]
+        return f"({before(f)} * (1 + {v!r} / 100.0))" if kind == "percent" else f"({before(f)} + {v!r})"
+
+    shift = " + ".join(f"{float(sens.coefs.get(f, 0.0))!r} * ({after(f)} - {before(f)})" for f in applied) or "0.0"
+    base = "CASE " + " ".join(f"WHEN x.ModelRole = '{r}' THEN {m.sql('x')}" for r, m in MODEL_SPEC.items()) + " END"
+    raw = f"({base} + {shift})"
+    pred = f"round(CASE WHEN x._hi IS NULL THEN greatest({raw}, 0.0) ELSE least(greatest({raw}, 0.0), x._hi) END, 4)"
+    unsup = ",".join(sorted(unsupported))
+    rows = "\nUNION ALL\n".join(
+        f"SELECT x.Family, x.FIPS, x.ModelRole, x.ModelName, '{f}' AS Feature, {before(f)} AS before, "
+        f"{after(f)} AS after, '{applied[f][0]}' AS change_type, {applied[f][1]!r} AS change_value, "
+        f"{pred} AS predicted_qty, '{unsup}' AS unsupported FROM sc_x x" for f in applied)
+    return sql_with(["sc_x"], rows)
+
+
+@register("scenario_what_if", fin(_scenario_oracle(),
+                                  doubles=["before", "after", "change_value", "predicted_qty"], dates=()))
+def q_scenario_what_if(spark, sf):
+    """X16 / X17 / M10 / R4: the fixed what-if payload for every entity, six months ahead."""
+    fi = forecast_inputs(spark, sf)
+    raw = generated_requests(fi).filter(F.col("request_id").endswith("-scenario"))
+    scored, _ = scored_requests(fi, resolved_requests(fi, raw))
+    sc = scored.filter(F.col("scenario"))
+    return rounded(sc.select(
+        "Family", "FIPS", "ModelRole", "ModelName", "predicted_qty",
+        F.concat_ws(",", F.array_sort("unsupported_feature_changes")).alias("unsupported"),
+        F.explode("scenario_features").alias("Feature", "_c")).select(
+        "Family", "FIPS", "ModelRole", "ModelName", "Feature", F.col("_c.before").alias("before"),
+        F.col("_c.after").alias("after"), F.col("_c.type").alias("change_type"),
+        F.col("_c.value").alias("change_value"), "predicted_qty", "unsupported"))
+
+
 # ---------------------------------------------------------------- stage 2b: fitted models
 
 from panelcast.operators import models as MD  # noqa: E402

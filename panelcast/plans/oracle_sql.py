@@ -386,6 +386,18 @@ register_sql("fc_named", ("fc", "static_l"), """SELECT fc.FIPS, s.County_Name, s
   fc.Family, upper(substr(fc.ModelRole, 1, 1)) || lower(substr(fc.ModelRole, 2)) AS ModelRole, fc.ModelName
 FROM fc LEFT JOIN static_l s ON fc.Family = s.Family AND fc.FIPS = s.FIPS""")
 
+# What-if targets: every entity six months into the horizon; history at the
+# target is the recursion state one step before it.
+register_sql("sc_t", ("state", "tl"), """SELECT s.Family, s.FIPS,
+  CAST(tl.fc_start + INTERVAL 5 MONTH AS DATE) AS date FROM state s, tl""")
+serving_rows_sql("sc_rows", "sc_t", ("sc_t",))
+register_sql("sc_h", ("fc_rec", "sc_t"), """SELECT r.Family, r.FIPS, r.ModelRole, r.ModelName, r.h, r.ret
+FROM fc_rec r JOIN sc_t t ON r.Family = t.Family AND r.FIPS = t.FIPS
+WHERE r.step = date_diff('month', r.last_date, t.date) - 1""")
+register_sql("sc_x", ("sc_rows", "sc_h"), "SELECT w.*, r.ModelRole, r.ModelName, "
+             + ", ".join(f"{rec_feature_sql(f, 'r.h', 'r.ret')} AS {f}" for f in sorted(RECURSIVE))
+             + " FROM sc_rows w JOIN sc_h r ON w.Family = r.Family AND w.FIPS = r.FIPS")
+
 # ---------------------------------------------------------------- stage 5: attribution + reporting
 
 from panelcast.functions.features import (display_external_features,  # noqa: E402
