@@ -115,3 +115,18 @@ def quality_gate(metrics: DataFrame, threshold: float = R2_THRESHOLD) -> DataFra
 def require_keys(found: DataFrame, expected: DataFrame, key: str = "key") -> DataFrame:
     """Expected keys with no record, all listed at once (empty when complete)."""
     return expected.join(found.select(key), key, "left_anti")
+
+
+def latest_approved(registry: DataFrame, *, group: str = "group", created: str = "created") -> DataFrame:
+    """O7: the newest approved version per group; groups with none are reported, not dropped.
+
+    ``registry`` has one row per (group, version) with ``approved``. The
+    result has one row per group: the chosen version's columns, or nulls and
+    ``has_approved = false`` (the source stops the deployment in that case).
+    """
+    from pyspark.sql import Window
+    w = Window.partitionBy(group).orderBy(F.col(created).desc())
+    best = registry.filter(F.col("approved")).withColumn("_rn", F.row_number().over(w)) \
+        .filter(F.col("_rn") == 1).drop("_rn", "approved")
+    groups = registry.select(group).distinct()
+    return groups.join(best, group, "left").withColumn("has_approved", F.col(created).isNotNull())

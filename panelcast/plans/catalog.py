@@ -330,6 +330,52 @@ def q_quality_gate(spark, sf):
         "Family", "ModelRole", "ModelName", "r2", "approved"))
 
 
+# Fixed value: number of monthly pipeline runs kept in the model registry.
+REGISTRY_RUNS = 3
+
+
+def model_registry(fi) -> DataFrame:
+    """One version per (family, role) and monthly run: national metrics of its holdout + gate.
+
+    Run r validates the 12 months ending r months before the last actual.
+    Each panel row is fanned out to the runs whose window holds it (at most
+    ``REGISTRY_RUNS``), so all runs are scored in one aggregation.
+    """
+    last = F.lit(fi.tl.last).cast("date")
+    runs = F.filter(F.transform(F.sequence(F.lit(0), F.lit(REGISTRY_RUNS - 1)),
+                                lambda r: F.add_months(last, -r)),
+                    lambda e: (F.col("date") <= e) & (F.col("date") >= F.add_months(e, -11)))
+    rows = fi.panel.select("*", F.explode(runs).alias("run_end"))
+    roles = F.explode(F.array(*[
+        F.struct(F.lit(role).alias("role"), F.lit(m.name).alias("name"),
+                 F.greatest(m.score(), F.lit(0.0)).alias("pred"))
+        for role, m in model_spec().items()])).alias("r")
+    preds = rows.select("run_end", "date", "Family", F.col("Sales_QTY").alias("Actual_QTY"), roles).select(
+        "run_end", "date", "Family", "Actual_QTY", F.col("r.pred").alias("Predicted_QTY"),
+        F.col("r.role").alias("ModelRole"), F.col("r.name").alias("ModelName"))
+    met = M.quality_gate(M.national_metrics(preds, by=("run_end", "Family", "ModelRole", "ModelName")))
+    return met.select(F.concat(F.lower("Family"), F.lit("_"), "ModelRole").alias("group"),
+                      F.date_format("run_end", "yyyy-MM-dd").alias("version"),
+                      F.col("run_end").alias("created"), "ModelName", "r2", "approved")
+
+
+@register("model_registry", fin(sql_with(["registry"], "SELECT * FROM registry"),
+                                doubles=["r2"], dates=("created",)))
+def q_model_registry(spark, sf):
+    return rounded(model_registry(forecast_inputs(spark, sf)))
+
+
+@register("latest_approved_model", fin(sql_with(["registry"], """SELECT g."group", b.version, b.created,
+  b.ModelName, b.r2, b.created IS NOT NULL AS has_approved
+FROM (SELECT DISTINCT "group" FROM registry) g
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY created DESC) AS rn
+                          FROM registry WHERE approved) a WHERE rn = 1) b ON g."group" = b."group"
+"""),
+    doubles=["r2"], dates=("created",)))
+def q_latest_approved_model(spark, sf):
+    return rounded(M.latest_approved(model_registry(forecast_inputs(spark, sf))))
+
+
 # ---------------------------------------------------------------- stage 4: lookups + forecast
 
 class ForecastInputs:

@@ -226,6 +226,22 @@ FROM (SELECT Family, ModelRole, ModelName, count(*) AS n, sum(pow(a - p, 2)) AS
       FROM (SELECT Family, ModelRole, ModelName, date, sum(Actual_QTY) AS a, sum(Predicted_QTY) AS p
             FROM val_pred GROUP BY ALL) m GROUP BY ALL) g""")
 
+# Model registry: one version per (family, role) for each of the last three monthly runs.
+register_sql("reg_pred", ("full_panel", "tl"), "\nUNION ALL\n".join(
+    f"""SELECT r.run_end, f.date, f.Family, f.Sales_QTY AS Actual_QTY, greatest({m.sql('f')}, 0.0) AS Predicted_QTY,
+  '{role}' AS ModelRole, '{m.name}' AS ModelName
+FROM full_panel f, (SELECT CAST(tl.last_month - to_months(k) AS DATE) AS run_end
+                    FROM tl, range(0, 3) t(k)) r
+WHERE f.date <= r.run_end AND f.date >= CAST(r.run_end - INTERVAL 11 MONTH AS DATE)"""
+    for role, m in (("champion", CHAMPION), ("challenger", CHALLENGER))))
+register_sql("registry", ("reg_pred",), f"""SELECT lower(Family) || '_' || ModelRole AS "group",
+  strftime(run_end, '%Y-%m-%d') AS version, run_end AS created, ModelName, {_R2} AS r2,
+  coalesce({_R2} >= 0.7, false) AS approved
+FROM (SELECT run_end, Family, ModelRole, ModelName, count(*) AS n, sum(pow(a - p, 2)) AS sse,
+             var_pop(a) * count(*) AS sst
+      FROM (SELECT run_end, Family, ModelRole, ModelName, date, sum(Actual_QTY) AS a, sum(Predicted_QTY) AS p
+            FROM reg_pred GROUP BY ALL) m GROUP BY ALL) g""")
+
 register_sql("eval_records", ("nat_metrics", "train", "val", "tl"), """SELECT m.*, t.train_size, v.val_size,
   strftime(tl.cutoff, '%Y-%m-%d') AS train_cutoff, strftime(tl.val_start, '%Y-%m-%d') AS val_start,
   strftime(tl.last_month, '%Y-%m-%d') AS val_end

@@ -54,3 +54,17 @@ def test_quality_gate_thresholds(spark):
     df = spark.createDataFrame([("a", 0.893, 8415.0), ("b", 0.65, 25000.0)], "k string, r2 double, rmse double")
     got = {r["k"]: r["approved"] for r in M.quality_gate(df).collect()}
     assert got == {"a": True, "b": False}
+
+
+def test_latest_approved_picks_newest_approved_and_reports_missing(spark):
+    import datetime as dt
+    from panelcast.operators import metrics as MM
+    d = dt.date
+    reg = spark.createDataFrame([
+        ("f_champion", "v1", d(2024, 1, 1), True), ("f_champion", "v2", d(2024, 2, 1), True),
+        ("f_champion", "v3", d(2024, 3, 1), False),   # newer but not approved
+        ("o_champion", "v1", d(2024, 1, 1), False)],   # nothing approved
+        "group string, version string, created date, approved boolean")
+    out = {r["group"]: r for r in MM.latest_approved(reg).collect()}
+    assert out["f_champion"]["version"] == "v2" and out["f_champion"]["has_approved"]
+    assert out["o_champion"]["version"] is None and not out["o_champion"]["has_approved"]
