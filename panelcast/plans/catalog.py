@@ -386,18 +386,20 @@ class ForecastInputs:
         self.tl = tl = stage(spark, sf, "timeline", lambda: timeline(s))
         self.panel = fp = full_panel(spark, sf, tl.train_cutoff)
         self.features = feats = discover_features(fp.columns)
-        self.history = L.trailing_history(fp)
-        self.state = FC.history_state(self.history)
+        # The serving lookups (M8) are written once, like the lookup files of
+        # the source, and every forecast / request / reporting plan reads them.
+        self.history = materialize(L.trailing_history(fp))
+        self.state = materialize(FC.history_state(self.history))
         ext = L.external_lookup(fp, feats)
         avail = [c for c in ext.columns if c not in ("Family", "FIPS", "date")]
         self.ext_cols = cols = extension_columns(avail, feats)
         self.econ_cols = [c for c in cols if f"{c}_lag1" in feats or f"{c}_chg3m" in feats]
         self.ext_base = ext.select("Family", "FIPS", "date", *cols)
         extended = FC.extend_external(self.ext_base, cols, tl.forecast_end)
-        self.ext = FC.serving_derivatives(extended, self.econ_cols)
-        self.static = L.entity_static(fp)
-        self.national = FC.national_frozen(L.national_trailing(fp))
-        self.bounds = L.guardrail_bounds(fp)
+        self.ext = materialize(FC.serving_derivatives(extended, self.econ_cols))
+        self.static = materialize(L.entity_static(fp))
+        self.national = materialize(FC.national_frozen(L.national_trailing(fp)))
+        self.bounds = materialize(L.guardrail_bounds(fp))
 
     def rows(self, targets):
         return FC.serving_rows(targets, self.ext, self.static, self.national, self.bounds)
