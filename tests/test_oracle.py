@@ -14,7 +14,9 @@ FAST = ["sales_fiscal_dates", "entity_id_normalize", "panel_grid", "panel_grid_s
         "panel_rolling", "calendar_features", "national_features", "static_shares", "weather_features",
         "acreage_prior_year", "county_names", "economic_join", "panel_full", "holdout_metrics",
         "county_accuracy", "extend_external", "forecast_recursive_linear", "forecast_chunk",
-        "importance_all_levels", "future_fill", "demand_spikes", "table_profile"]
+        "importance_all_levels", "future_fill", "demand_spikes", "table_profile",
+        "missing_weather", "forecast_known_or_model", "scenario_what_if", "model_registry",
+        "latest_approved_model", "national_serving"]
 
 
 def canon(df):
