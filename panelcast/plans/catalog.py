@@ -976,22 +976,49 @@ def tree_attribution_long(spark, sf, rows):
     return TR.attribute_trees(rows, ["Family", "FIPS", "date"], tables, fi.features)
 
 
+def tree_forecast(spark, sf) -> DataFrame:
+    """24-month recursive forecast of the tree champions, materialised once per application."""
+    def build():
+        fi = forecast_inputs(spark, sf)
+        rows = fi.rows(FC.horizon_targets(fi.state, fi.tl.forecast_end))
+        out = None
+        for (fam, role), (name, model, _) in fitted_champions(spark, sf).items():
+            fc = TR.forecast_trees(fi.state.filter(F.col("Family") == fam),
+                                   rows.filter(F.col("Family") == fam), model, fi.features,
+                                   role=role, name=name, start=fi.tl.forecast_start,
+                                   end=fi.tl.forecast_end)
+            out = fc if out is None else out.unionByName(fc)
+        names = fi.static.select("Family", "FIPS", "County_Name", "State")
+        return materialize(out.join(names, ["Family", "FIPS"], "left").select(
+            "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
+            F.initcap("ModelRole").alias("ModelRole"), "ModelName"))
+    return stage(spark, sf, "tree_forecast", build)
+
+
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf):
     """24-month recursive forecast of the tree champions (one transform per month)."""
+    return rounded(tree_forecast(spark, sf))
+
+
+def gbt_chunk(spark, sf):
+    """Tree-champion forecast chunk: all months; the first carries share and Top-5 drivers."""
     fi = forecast_inputs(spark, sf)
-    rows = fi.rows(FC.horizon_targets(fi.state, fi.tl.forecast_end))
-    out = None
-    for (fam, role), (name, model, _) in fitted_champions(spark, sf).items():
-        fc = TR.forecast_trees(fi.state.filter(F.col("Family") == fam),
-                               rows.filter(F.col("Family") == fam), model, fi.features,
-                               role=role, name=name, start=fi.tl.forecast_start,
-                               end=fi.tl.forecast_end)
-        out = fc if out is None else out.unionByName(fc)
-    names = fi.static.select("Family", "FIPS", "County_Name", "State")
-    return rounded(out.join(names, ["Family", "FIPS"], "left").select(
-        "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
-        F.initcap("ModelRole").alias("ModelRole"), "ModelName"))
+    fc = tree_forecast(spark, sf)
+    long = tree_attribution_long(spark, sf, fi.first_month_x())
+    ranked = AT.rank_external(long, ["Family", "FIPS", "date"], fi.features)
+    wide = AT.top_k_wide(ranked, ["Family", "FIPS", "date"]).withColumn(
+        "ModelRole", F.initcap("ModelRole")).drop("ModelName")
+    j = fc.join(wide, ["Family", "FIPS", "date", "ModelRole"], "left")
+    return j.withColumns({
+        "External_Factors_Share_Pct": F.coalesce("External_Factors_Share_Pct", F.lit(0.0)),
+        **{f"Top{i}_Feature": F.coalesce(f"Top{i}_Feature", F.lit("")) for i in range(1, 6)},
+        **{f"Top{i}_SHAP": F.coalesce(f"Top{i}_SHAP", F.lit(0.0)) for i in range(1, 6)}})
+
+
+@register("gbt_forecast_chunk")
+def q_gbt_forecast_chunk(spark, sf):
+    return rounded(gbt_chunk(spark, sf))
 
 
 @register("gbt_attribution")
