@@ -69,3 +69,21 @@ def test_fold_matches_python_loop(spark):
         h.append(p)
         ret = 0.0
     assert got == pytest.approx(exp)
+
+
+def test_known_or_forecast_sources(spark):
+    import datetime as dt
+    from panelcast.operators import forecast as FCX
+    d = dt.date
+    targets = spark.createDataFrame([("F", "00001", d(2024, m, 1)) for m in (1, 2, 3, 4)],
+                                    "Family string, FIPS string, date date")
+    hist = spark.createDataFrame([("F", "00001", d(2024, 1, 1), 5.0)],   # February missing
+                                 "Family string, FIPS string, date date, Sales_QTY double")
+    fc = spark.createDataFrame([("F", "00001", "champion", d(2024, 4, 1), 7.5)],
+                               "Family string, FIPS string, ModelRole string, date date, Predicted_QTY double")
+    out = {(r["date"].month): r for r in FCX.known_or_forecast(
+        targets, hist, fc, ["champion"], d(2024, 3, 1)).collect()}
+    assert (out[1]["Predicted_QTY"], out[1]["feature_source"]) == (5.0, "historical_actual")
+    assert out[2]["Predicted_QTY"] is None and out[2]["feature_source"] == "no_history_row_for_target"
+    assert out[3]["feature_source"] == "no_history_row_for_target"
+    assert (out[4]["Predicted_QTY"], out[4]["feature_source"]) == (7.5, "model_forecast_recursive_guardrailed")
