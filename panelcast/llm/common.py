@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelcast.session import ensure_checkpoint_dir
 
 #: Bytes of text that a task turns into arrays at once (a longer single text is taken alone).
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,8 +81,8 @@ _RNG = np.random.RandomState(20240501)
 _BYTE = _RNG.randint(1, 2**63 - 1, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INV = pow(_R, -1, 2**64)
-_WS = np.zeros(256, bool)
-_WS[[32, 9, 10, 11, 12, 13]] = True
+_WORD = np.ones(256, np.uint8)
+_WORD[[32, 9, 10, 11, 12, 13]] = 0
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
 
@@ -104,24 +104,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts in order, and each text's first word (plus the end)."""
+def token_spans(texts: list[bytes], lower: bool, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the tokens of all texts in order, and each text's first token (plus the end).
+
+    A token is a maximal run of bytes of one class; class 0 separates tokens.
+    """
     buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     text_at = np.concatenate([[0], np.cumsum(lengths)])
-    if not len(buf):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     if lower:
         buf = _LOW[buf]
-    gap = _WS[buf]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
-    start, end = edge[0::2], edge[1::2]
+    of = classes[buf]
+    cut = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(of)]]) if len(of) else np.zeros(1, np.int64)
+    start, end = cut[:-1], cut[1:]
+    full = of[start] != 0 if len(start) else np.zeros(0, bool)
+    start, end = start[full], end[full]
     size = 1 << max(16, int(len(buf)).bit_length())
     power, inverse = _powers(size)
     with np.errstate(over="ignore"):
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * power[: len(buf)], dtype=np.uint64)])
         h = mix((total[end] - total[start]) * inverse[start])
-    return h, np.searchsorted(start, text_at)
+    return h, start, end, np.searchsorted(start, text_at)
+
+
+def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order, and each text's first word (plus the end)."""
+    h, _, _, first = token_spans(texts, lower, _WORD)
+    return h, first
 
 
 def rolling(h: np.ndarray, width: int) -> np.ndarray:

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import substring, url_filter
+from panelcast.llm import bitpack, cotrain, ctw, decontam, neardup, packing, substring, topk, url_filter, warc
 from panelcast.llm.common import table
 
+def vocabulary(name: str) -> str:
+    """Where the installed package of public tokenizers has a vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 #: Fixed by the contract of op1: host, path, verdict.
 URL_RULES = [
     ("net", "/", "block"),
@@ -47,17 +54,98 @@ FROM fits WHERE k = 1
 """
 
 
+def op2_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return ctw.score(table(spark, sf_dir, "documents"), remainder == 2)
+
+
+def op3_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
+    return cotrain.classify(docs, model).select(F.col("row.doc_id").alias("doc_id"), "p_text", "p_meta", "score", "kept")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"), width=20)
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed",
                         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+OP5_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0, length=1024)
+
+
+def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_pages(table(spark, sf_dir, "pages"))
+    return warc.read_pages(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH payloads AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+  FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first
+  FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+
+def op8_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.find_groups(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=13, share=20)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op10_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.read_ids(bitpack.write_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_ctw_scoring": op2_ctw_scoring,
+    "op3_cotraining_quality": op3_cotraining_quality,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_exact_top_k": op5_exact_top_k,
+    "op6_curve_packing": op6_curve_packing,
+    "op7_warc_dictionary": op7_warc_dictionary,
+    "op8_chosen_path_near_dedup": op8_chosen_path_near_dedup,
+    "op9_decontamination": op9_decontamination,
+    "op10_bit_packing": op10_bit_packing,
 }
 
 ORACLES = {
     "op1_url_filter": OP1_SQL,
+    "op5_exact_top_k": OP5_SQL,
+    "op7_warc_dictionary": OP7_SQL,
 }

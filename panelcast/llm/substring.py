@@ -30,7 +30,7 @@ from panelcast.llm.common import chunks, id_ranges, packed, range_of, rolling, s
 
 #: Text of one block, and window hashes that a task holds before it sends them.
 BLOCK_BYTES = 8_000_000
-FLUSH_HASHES = 2_000_000
+FLUSH_HASHES = 1_500_000
 
 
 def _windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +115,7 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(_SENT_ARROW.types)], schema=_SENT_ARROW)
 
 
-def _cut(width: int, out: pa.Schema):
+def _cut(width: int, out: pa.Schema, verbatim: bool):
     def run(docs: pa.Table, seen: pa.Table) -> pa.Table:
         keys = [("id", "ascending"), ("text", "ascending")]
         docs = docs.take(pc.sort_indices(docs.select(["id", "text"]), keys, null_placement="at_start"))
@@ -149,6 +149,8 @@ def _cut(width: int, out: pa.Schema):
             removed.append(int(mask.sum()))
             if removed[-1]:
                 words = [w for w, gone in zip(words, mask.tolist()) if not gone]
+            elif verbatim:
+                words = [text]
             kept.append(b" ".join(words).decode("utf-8", "replace"))
         return pa.table([docs["row"], pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
                          pa.array(spans, out.field("spans").type), pa.array(kept, pa.string())], schema=out)
@@ -156,10 +158,11 @@ def _cut(width: int, out: pa.Schema):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as ``row``, with n_words, n_removed, removal spans in words, and kept_text.
+def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", verbatim: bool = False) -> DataFrame:
+    """Every row of ``docs`` (without its text) as ``row``, with n_words, n_removed, removal spans in words, and kept_text.
 
-    A word goes if a window of ``width`` words covers it whose sequence also starts earlier.
+    A word goes if a window of ``width`` words covers it whose sequence also starts earlier. The kept
+    words are joined by single spaces; with ``verbatim``, a text that loses nothing stays as it is.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -171,7 +174,20 @@ def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", tex
     seen = sent.groupBy("bucket").applyInArrow(_count, _SENT)
     made = "n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string"
     result = StructType([held.schema["row"], *StructType.fromDDL(made).fields])
-    run = _cut(width, to_arrow_schema(result))
+    run = _cut(width, to_arrow_schema(result), verbatim)
     return held.groupBy("block").cogroup(seen.groupBy("block")).applyInArrow(run, result)
 
 
+
+
+def cut_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeats cut out of its texts, and the sizes of cut texts counted anew.
+
+    A text that loses all its words becomes empty; null texts that lose nothing stay null.
+    """
+    found = remove_repeats(docs.withColumn("__null", F.col(text_col).isNull()), width, id_col, text_col, verbatim=True)
+    values = {text_col: F.when(~F.col("row.__null"), F.col("kept_text"))}
+    if size_col in docs.columns:
+        old = F.col(f"row.`{size_col}`")
+        values[size_col] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema[size_col].dataType)).otherwise(old)
+    return found.select(*[values.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
