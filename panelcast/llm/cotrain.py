@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import chunks, packed, small_batches, token_spans
 
-LABELLED = 16_000
-UNLABELLED = 8_000
+LABELLED = 12_000
+UNLABELLED = 6_000
 ROUNDS = 3
 SURE_BAD, SURE_GOOD = 0.98, 0.005
 FALSE_REJECTS = 0.002
-BUCKETS = 1 << 17
+BUCKETS = 1 << 20
+#: Buckets that fewer texts of the sample have are not used.
+LEAST_TEXTS = 5
 #: Token classes: white space and control 0, letters digits and non-ASCII 1, punctuation 2.
 _CLASSES = np.ones(256, np.uint8)
 _CLASSES[:33] = 0
@@ -105,29 +107,50 @@ def _margins(weights: np.ndarray, idx: np.ndarray, at: np.ndarray) -> np.ndarray
     return weights[-1] + total[at[1:]] - total[at[:-1]]
 
 
-def _fit_text(idx, at, y, start: np.ndarray, steps: int, l2: float = 2.0) -> np.ndarray:
-    """Logistic regression on the presence of buckets, by accelerated diagonal steps."""
+def _fit_text(idx, at, y, steps: int = 40, l2: float = 4.0) -> np.ndarray:
+    """Logistic regression on the presence of buckets, each scaled by how it parts the labels.
+
+    The scale is the smoothed log ratio of the shares of bad and of good texts that have the bucket (zero
+    for buckets of fewer than ``LEAST_TEXTS`` texts); the steps are accelerated and scaled per bucket.
+    """
     n = np.diff(at)
-    reach = np.bincount(idx, weights=np.repeat(np.sqrt(np.maximum(n, 1)), n), minlength=BUCKETS)
-    scale = np.concatenate([1 / (0.25 * reach + l2), [1 / (0.25 * len(y) + 1e-9)]])
-    w, ahead, t = start.copy(), start.copy(), 1.0
+    of = np.repeat(y, n)
+    all_texts, bad = np.bincount(idx, minlength=BUCKETS), np.bincount(idx, weights=of, minlength=BUCKETS)
+    ratio = np.log((bad + 1) / (y.sum() + 2)) - np.log((all_texts - bad + 1) / (len(y) - y.sum() + 2))
+    ratio = np.where(all_texts >= LEAST_TEXTS, ratio, 0)
+    # leave out the buckets that say nothing
+    use = np.abs(ratio) > 0.3
+    column = np.cumsum(use) - 1
+    inside = use[idx]
+    doc = np.repeat(np.arange(len(y)), n)[inside]
+    col, value = column[idx[inside]], ratio[idx[inside]]
+    size = np.bincount(doc, weights=value * value, minlength=len(y))
+    reach = np.bincount(col, weights=value * value * np.sqrt(np.maximum(size, 1))[doc] / np.abs(value), minlength=int(use.sum()))
+    step = np.concatenate([1 / (0.25 * reach + l2), [1 / (0.25 * len(y))]])
+    w = np.zeros(int(use.sum()) + 1)
+    ahead, t = w.copy(), 1.0
     for _ in range(steps):
-        error = _sigmoid(_margins(ahead, idx, at)) - y
-        slope = np.concatenate([np.bincount(idx, weights=np.repeat(error, n), minlength=BUCKETS) + l2 * ahead[:-1], [error.sum()]])
-        new = ahead - scale * slope
+        margin = ahead[-1] + np.bincount(doc, weights=ahead[col] * value, minlength=len(y))
+        error = _sigmoid(margin) - y
+        slope = np.concatenate([np.bincount(col, weights=error[doc] * value, minlength=len(w) - 1) + l2 * ahead[:-1], [error.sum()]])
+        new = ahead - step * slope
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / t2 * (new - w), new, t2
-    return w
+    out = np.zeros(BUCKETS + 1)
+    out[:-1][use] = w[:-1] * ratio[use]
+    out[-1] = w[-1]
+    return out
 
 
-def _fit_dense(x, y, l2: float = 1.0, steps: int = 12) -> np.ndarray:
-    """Logistic regression by Newton steps; the last weight is the intercept."""
+def _fit_dense(x, y, l2: float = 1.0, steps: int = 12, near=None) -> np.ndarray:
+    """Logistic regression by Newton steps, held near the given weights; the last weight is the intercept."""
     x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1).astype(np.float64)
-    w = np.zeros(x.shape[1])
+    near = np.zeros(x.shape[1]) if near is None else np.asarray(near, np.float64)
+    w = near.copy()
     ridge = np.diag(np.concatenate([np.full(len(w) - 1, l2), [1e-6]]))
     for _ in range(steps):
         p = _sigmoid(x @ w)
-        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ w)
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ (w - near))
     return w
 
 
@@ -178,18 +201,17 @@ def cotrain(texts: list[bytes], n_chars: list, names: list[tuple], label: np.nda
         return picked, np.concatenate([[0], np.cumsum(lengths[rows])])
 
     for_text, for_meta = {}, {}
-    text = np.zeros(BUCKETS + 1)
     pool = np.flatnonzero(label < 0)
     for k in range(rounds + 1):
         rows = np.concatenate([own, np.array(sorted(for_text), np.int64)])
         y = np.concatenate([label[own], [for_text[i] for i in sorted(for_text)]]).astype(np.float64)
-        text = _fit_text(*of(rows), y, text, 60 if not k else 25)
+        text = _fit_text(*of(rows), y)
         rows = np.concatenate([own, np.array(sorted(for_meta), np.int64)])
         y = np.concatenate([label[own], [for_meta[i] for i in sorted(for_meta)]]).astype(np.float64)
         meta = _fit_dense(x[rows], y)
         truth = label[held].astype(np.float64)
         margin = _margins(text, *of(held))
-        text_scale, meta_scale = _fit_dense(margin[:, None], truth, 1e-3), _fit_dense(_dense(meta, x[held])[:, None], truth, 1e-3)
+        text_scale, meta_scale = _fit_dense(margin[:, None], truth, 1.0, near=(1, 0)), _fit_dense(_dense(meta, x[held])[:, None], truth, 1.0, near=(1, 0))
         if k == rounds or not len(pool):
             break
         # each view's sure labels go to the other one
@@ -198,7 +220,7 @@ def cotrain(texts: list[bytes], n_chars: list, names: list[tuple], label: np.nda
         for p, other in ((p_text, for_meta), (p_meta, for_text)):
             other.update({int(i): 1 for i in pool[p >= SURE_BAD]} | {int(i): 0 for i in pool[p <= SURE_GOOD]})
     odds = _mixed(_dense(text_scale, margin[:, None]), _dense(meta_scale, _dense(meta, x[held])[:, None]))
-    mixed = _fit_dense(odds, truth, 1e-2)
+    mixed = _fit_dense(odds, truth, 5.0, near=(0, 0, 1, 0))  # few rows leave the larger of both views
     good = np.sort(_sigmoid(_dense(mixed, odds))[truth == 0])
     allowed = good[max(0, len(good) - 1 - int(FALSE_REJECTS * len(good)))]
     return Model(edges, text, meta, text_scale, meta_scale, mixed, float(max(0.5, np.nextafter(allowed, 2))))
