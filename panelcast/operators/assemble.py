@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.features import panel_projection
+from panelcast.functions.features import panel_columns
 from panelcast.operators.external import add_economic_changes
 from panelcast.operators.static import add_static_shares
 
@@ -31,4 +31,4 @@ def assemble(internal: DataFrame, weather: DataFrame, acreage: DataFrame, econ:
     d = add_economic_changes(d, econ_cols)
     d = add_static_shares(d, cutoff)
     d = d.join(names, "FIPS", "left")
-    return d.select(*panel_projection(d.columns))
+    return d.select(*panel_columns(d.columns))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.features import (display_external_features, external_features,
+from panelcast.functions.features import (outside_features,
                                           friendly_name_expr)
 from panelcast.operators.scoring import LinearModel
 
@@ -45,7 +45,7 @@ def rank_external(long: DataFrame, keys: list[str], features: list[str]) -> Data
     one decimal (0 when all are 0); values are rounded to 2 after ranking.
     Windows are partitioned by (keys, role): one entity's features each.
     """
-    ext = external_features(features)
+    ext = outside_features(features)
     grp = [*keys, "ModelRole"]
     wall = Window.partitionBy(*grp)
     is_ext = F.col("Feature").isin(ext)
@@ -99,7 +99,7 @@ def global_importance_linear(sample: DataFrame, models: dict[str, LinearModel],
     """
     means = sample.groupBy("Family").agg(*[F.avg(F.coalesce(F.col(f), F.lit(0.0))).alias(f)
                                            for f in features])
-    disp = display_external_features(features)
+    disp = outside_features(features, derived=False)
     rows = []
     for role, m in models.items():
         vals = [F.struct(F.lit(f).alias("Feature"),

@@ -34,15 +34,16 @@ def extend_external(ext: DataFrame, cols: list[str], until, *, keys=KEYS) -> Dat
 
     A future month takes the mean of the *real* values of the same calendar
     month when there are at least two, else the last known value (real or
-    already extended), else null. Adds ``is_extended``.
+    already extended), else null. Adds ``is_extended``. ``until`` is a date, or a
+    table of keys with a column ``until`` (a month of its own for each entity).
     """
-    until = F.lit(until).cast("date")
     cm = F.month(MONTH)
     stats = ext.groupBy(*keys, cm.alias("_cm")).agg(
         *[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.count(c).alias(f"_n_{c}") for c in cols])
     last = ext.groupBy(*keys).agg(F.max(MONTH).alias("_last"))
-    fut = (last.filter(F.col("_last") < until)
-           .select(*keys, F.explode(F.sequence(F.add_months("_last", 1), until,
+    last = last.join(until, list(keys)) if isinstance(until, DataFrame) else last.withColumn("until", F.lit(until).cast("date"))
+    fut = (last.filter(F.col("_last") < F.col("until"))
+           .select(*keys, F.explode(F.sequence(F.add_months("_last", 1), F.col("until"),
                                                F.expr("INTERVAL 1 MONTH"))).alias(MONTH))
            .withColumn("_cm", cm).join(stats, [*keys, "_cm"], "left")
            .select(*keys, MONTH, *[F.when(F.col(f"_n_{c}") >= 2, F.col(f"_m_{c}")).alias(c)

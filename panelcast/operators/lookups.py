@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.features import STATIC_FEATURES, external_features
+from panelcast.functions.features import STATIC_FEATURES, outside_features
 
 KEYS = ("Family", "FIPS")
 MONTH = "date"
@@ -32,7 +32,7 @@ def entity_static(panel: DataFrame) -> DataFrame:
 
 
 def external_lookup(panel: DataFrame, features: list[str]) -> DataFrame:
-    ext = [c for c in external_features(features) if c in panel.columns]
+    ext = [c for c in outside_features(features) if c in panel.columns]
     return panel.select(*KEYS, MONTH, *ext)
 
 

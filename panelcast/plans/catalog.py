@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.functions.features import discover_features, extension_columns
+from panelcast.functions.features import REGISTRY, model_features, series_behind
 from panelcast.operators import assemble as A
 from panelcast.operators import attribution as AT
 from panelcast.operators import reporting as R
@@ -163,9 +163,11 @@ def q_static_shares(spark, sf):
 
 _WEATHER = ["PRCP", "TAVG", "TMAX", "TMIN", "GDD_proxy", "CHU_proxy", "Precip_Anomaly",
             "has_temperature_data"]
-_CROPS = ["CORN", "COTTON", "SOYBEANS", "WHEAT"]
+# columns of the test tables whose rounding the checks fix; the queries take crops and series as found
+_CROPS = ["CORN", "COTTON", "SOYBEANS", "WHEAT", "MEDIUM", "LARGE"]
 _ACRES = [f"{c}_Acres_prior_year" for c in _CROPS]
-_ECON = B.MACRO_COLUMNS + B.PRICE_COLUMNS
+_ECON = ["CPI_AllUrban", "Fertilizer_PPI", "WTI_Oil_Price", "Cotton_Price_USCentsPerLb", "Corn_Price_USDPerMT",
+         "Soybeans_Price_USDPerMT", "Wheat_Price_USDPerMT", "Orders_4_NOT_SPECIFIED", "Orders_5_LOW", "Medium_Price", "Large_Price"]
 _ECON_CHG = [f"{c}_{s}" for c in _ECON for s in ("lag1", "chg3m")]
 
 
@@ -175,8 +177,7 @@ def weather(spark, sf):
 
 def acreage(spark, sf, s=None):
     s = s if s is not None else sales(spark, sf)
-    return X.acreage_prior_year(B.acreage_long(spark, sf), P.entity_state_years(s),
-                                commodities=_CROPS)
+    return X.acreage_prior_year(B.acreage_long(spark, sf), P.entity_state_years(s))
 
 
 def names(spark, sf):
@@ -230,7 +231,9 @@ def q_economic_join(spark, sf):
                                            + ", ".join(_ECON + _ECON_CHG) + " FROM merged"),
                                   doubles=_ECON + _ECON_CHG))
 def q_economic_changes(spark, sf):
-    return rounded(full_panel(spark, sf).select("Family", "FIPS", "date", *_ECON, *_ECON_CHG))
+    fp = full_panel(spark, sf)
+    series = [f.name for f in REGISTRY.model(fp.columns) if f.group == "series"]
+    return rounded(fp.select("Family", "FIPS", "date", *series))
 
 
 _FULL_D = (["Sales_QTY", "Returns_QTY"] + _CAL_D + _LAGS + _ROLLS + _NAT + _WEATHER + _ACRES
@@ -330,21 +333,16 @@ def q_quality_gate(spark, sf):
         "Family", "ModelRole", "ModelName", "r2", "approved"))
 
 
-# Fixed value: number of monthly pipeline runs kept in the model registry.
-REGISTRY_RUNS = 3
-
-
 def model_registry(fi) -> DataFrame:
     """One version per (family, role) and monthly run: national metrics of its holdout + gate.
 
-    Run r validates the 12 months ending r months before the last actual.
-    Each panel row is fanned out to the runs whose window holds it (at most
-    ``REGISTRY_RUNS``), so all runs are scored in one aggregation.
+    There is a run for every month that ends twelve months of the panel; it
+    validates those. Each panel row is fanned out to the runs whose window holds
+    it (twelve at most), so all runs are scored in one aggregation.
     """
-    last = F.lit(fi.tl.last).cast("date")
-    runs = F.filter(F.transform(F.sequence(F.lit(0), F.lit(REGISTRY_RUNS - 1)),
-                                lambda r: F.add_months(last, -r)),
-                    lambda e: (F.col("date") <= e) & (F.col("date") >= F.add_months(e, -11)))
+    first, last = F.lit(fi.tl.first).cast("date"), F.lit(fi.tl.last).cast("date")
+    runs = F.filter(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.add_months("date", k)),
+                    lambda e: (e <= last) & (F.add_months(e, -11) >= first))
     rows = fi.panel.select("*", F.explode(runs).alias("run_end"))
     roles = F.explode(F.array(*[
         F.struct(F.lit(role).alias("role"), F.lit(m.name).alias("name"),
@@ -385,14 +383,14 @@ class ForecastInputs:
         s = sales(spark, sf)
         self.tl = tl = stage(spark, sf, "timeline", lambda: timeline(s))
         self.panel = fp = full_panel(spark, sf, tl.train_cutoff)
-        self.features = feats = discover_features(fp.columns)
+        self.features = feats = model_features(fp.columns)
         # The serving lookups (M8) are written once, like the lookup files of
         # the source, and every forecast / request / reporting plan reads them.
         self.history = materialize(L.trailing_history(fp))
         self.state = materialize(FC.history_state(self.history))
         ext = L.external_lookup(fp, feats)
         avail = [c for c in ext.columns if c not in ("Family", "FIPS", "date")]
-        self.ext_cols = cols = extension_columns(avail, feats)
+        self.ext_cols = cols = series_behind(avail, feats)
         self.econ_cols = [c for c in cols if f"{c}_lag1" in feats or f"{c}_chg3m" in feats]
         self.ext_base = ext.select("Family", "FIPS", "date", *cols)
         extended = FC.extend_external(self.ext_base, cols, tl.forecast_end)
@@ -485,7 +483,7 @@ def holdout_from(fi):
 def fact_of(spark, sf, fi):
     val = validation_of(fi)
     lookup = R.external_weather_lookup(fi.panel)
-    weather = R.universal_weather(lookup, ["F", "O"])
+    weather = R.universal_weather(lookup)
     hist = R.historical_rows(sales(spark, sf), val)
     return R.fact_table(hist, R.validation_rows(val), R.forecast_rows(fi.chunk_df), weather,
                         fi.static, fi.bounds)
@@ -630,7 +628,7 @@ def q_importance_all_levels(spark, sf):
 @register("weather_universal", fin(sql_with("uweather", "SELECT * FROM uweather"), doubles=_LOOKUP_D))
 def q_weather_universal(spark, sf):
     fp = forecast_inputs(spark, sf).panel
-    return rounded(R.universal_weather(R.external_weather_lookup(fp), ["F", "O"]))
+    return rounded(R.universal_weather(R.external_weather_lookup(fp)))
 
 
 @register("missing_weather", sql_with(["uweather", "full_panel"], """SELECT n_entities, n_missing,
@@ -640,7 +638,7 @@ def q_weather_universal(spark, sf):
    WHERE FIPS NOT IN (SELECT FIPS FROM uweather WHERE TAVG IS NOT NULL)) b"""))
 def q_missing_weather(spark, sf):
     fp = forecast_inputs(spark, sf).panel
-    w = R.universal_weather(R.external_weather_lookup(fp), ["F", "O"])
+    w = R.universal_weather(R.external_weather_lookup(fp))
     return rounded(R.missing_weather(w, fp.filter(F.col("Family") == "O")))
 
 
@@ -771,16 +769,18 @@ def generated_requests(fi: ForecastInputs) -> DataFrame:
 def resolved_requests(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
     req = RQ.parse_requests(raw)
     fams = fi.static.select("Family").distinct()
-    return RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams), fi.static), fi.static)
+    return RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams, fi.tl.last), fi.static), fi.static)
 
 
 def scored_requests(fi: ForecastInputs, req: DataFrame) -> tuple[DataFrame, object]:
     """Per (request, role) scores of resolved requests, and the serving-row builder."""
-    max_t = req.filter(F.col("error").isNull()).agg(
-        F.max(RQ.target_month(F.col("year"), F.col("month")))).first()[0]
-    ext = fi.ext
-    if max_t is not None and max_t > fi.tl.forecast_end:
-        ext = FC.serving_derivatives(FC.extend_external(fi.ext_base, fi.ext_cols, max_t), fi.econ_cols)
+    # only entities that are asked for beyond the forecast's end are extended further, each to its own month
+    end = F.lit(fi.tl.forecast_end).cast("date")
+    far = (req.filter(F.col("error").isNull()).groupBy("Family", "FIPS")
+           .agg(F.max(RQ.target_month(F.col("year"), F.col("month"))).alias("until")).filter(F.col("until") > end))
+    base = fi.ext_base.join(far, ["Family", "FIPS"], "left_semi")
+    more = FC.serving_derivatives(FC.extend_external(base, fi.ext_cols, far), fi.econ_cols).filter(F.col("date") > end)
+    ext = fi.ext.unionByName(more)
 
     def rows_for(targets):
         return FC.serving_rows(targets, ext, fi.static, fi.national, fi.bounds)
@@ -870,6 +870,15 @@ LEARNERS = {("F", "champion"): "boosted_a", ("F", "challenger"): "ridge",
             ("O", "champion"): "boosted_b", ("O", "challenger"): "ridge"}
 
 
+def learners(fi: ForecastInputs) -> list[tuple[str, str, str]]:
+    """(family, role, learner) for every family of the panel; a family without learners is an error."""
+    families = sorted(r[0] for r in fi.static.select("Family").distinct().collect())
+    unknown = [f for f in families if not any(fam == f for fam, _ in LEARNERS)]
+    if unknown:
+        raise ValueError(f"no learners are named for families {unknown}")
+    return [(fam, role, learner) for (fam, role), learner in sorted(LEARNERS.items()) if fam in families]
+
+
 def fitted_ridge(spark, sf) -> dict[str, "MD.LinearModel"]:
     """Ridge per family, fitted on the training window (one k x k solve each)."""
     def build():
@@ -925,7 +934,7 @@ def q_gbt_holdout(spark, sf):
     fi = forecast_inputs(spark, sf)
     train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
     parts = []
-    for (fam, role), learner in sorted(LEARNERS.items()):
+    for fam, role, learner in learners(fi):
         if learner == "ridge":
             continue
         params = MD.BOOSTED_A if learner == "boosted_a" else MD.BOOSTED_B
@@ -955,7 +964,7 @@ def fitted_champions(spark, sf) -> dict:
     def build():
         fi = forecast_inputs(spark, sf)
         out = {}
-        for (fam, role), learner in sorted(LEARNERS.items()):
+        for fam, role, learner in learners(fi):
             if learner == "ridge":
                 continue
             params = MD.BOOSTED_A if learner == "boosted_a" else MD.BOOSTED_B

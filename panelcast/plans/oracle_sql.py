@@ -144,7 +144,7 @@ register_sql("weather", ("wpiv",), f"""SELECT FIPS, date, PRCP, TAVG, TMAX, TMIN
   CAST(TAVG IS NOT NULL AS DOUBLE) AS has_temperature_data
 FROM wpiv""")
 
-CROPS = ["CORN", "COTTON", "SOYBEANS", "WHEAT"]
+CROPS = ["CORN", "COTTON", "SOYBEANS", "WHEAT", "MEDIUM", "LARGE"]
 
 register_sql("acreage_piv", ("acreage_planted",), "SELECT year AS \"Year\", state_alpha AS State, "
              + ", ".join(f"first(Value) FILTER (WHERE commodity_desc = '{c}') AS {c}_Acres" for c in CROPS)
@@ -173,7 +173,8 @@ FROM (SELECT coalesce(t.FIPS, g.FIPS) AS FIPS, coalesce(t.nm, g.nm) AS County_Na
 FULL JOIN (VALUES {_OVERRIDES}) o(FIPS, nm) ON n.FIPS = o.FIPS""")
 
 ECON = ["CPI_AllUrban", "Fertilizer_PPI", "WTI_Oil_Price", "Cotton_Price_USCentsPerLb",
-        "Corn_Price_USDPerMT", "Soybeans_Price_USDPerMT", "Wheat_Price_USDPerMT"]
+        "Corn_Price_USDPerMT", "Soybeans_Price_USDPerMT", "Wheat_Price_USDPerMT",
+        "Orders_4_NOT_SPECIFIED", "Orders_5_LOW", "Medium_Price", "Large_Price"]
 
 register_sql("econ", ("economic_macro", "crop_prices"), "SELECT coalesce(a.date, b.date) AS date, "
              + ", ".join(ECON) + " FROM economic_macro a FULL JOIN crop_prices b ON a.date = b.date")
@@ -181,6 +182,8 @@ register_sql("econ", ("economic_macro", "crop_prices"), "SELECT coalesce(a.date,
 WEATHER_COLS = ["PRCP", "TAVG", "TMAX", "TMIN", "GDD_proxy", "CHU_proxy", "Precip_Anomaly",
                 "has_temperature_data"]
 ACRE_COLS = [f"{c}_Acres_prior_year" for c in CROPS]
+# the four crops of the reporting contract
+ACRE_FACT = ["CORN_Acres_prior_year", "COTTON_Acres_prior_year", "SOYBEANS_Acres_prior_year", "WHEAT_Acres_prior_year"]
 ECON_CHG = [f"{c}_{s}" for c in ECON for s in ("lag1", "chg3m")]
 
 register_sql("merged", ("internal", "weather", "acreage", "econ"), "SELECT i.*, "
@@ -226,12 +229,14 @@ FROM (SELECT Family, ModelRole, ModelName, count(*) AS n, sum(pow(a - p, 2)) AS
       FROM (SELECT Family, ModelRole, ModelName, date, sum(Actual_QTY) AS a, sum(Predicted_QTY) AS p
             FROM val_pred GROUP BY ALL) m GROUP BY ALL) g""")
 
-# Model registry: one version per (family, role) for each of the last three monthly runs.
+# Model registry: one version per (family, role) for each month that ends twelve months of the panel.
 register_sql("reg_pred", ("full_panel", "tl"), "\nUNION ALL\n".join(
     f"""SELECT r.run_end, f.date, f.Family, f.Sales_QTY AS Actual_QTY, greatest({m.sql('f')}, 0.0) AS Predicted_QTY,
   '{role}' AS ModelRole, '{m.name}' AS ModelName
 FROM full_panel f, (SELECT CAST(tl.last_month - to_months(k) AS DATE) AS run_end
-                    FROM tl, range(0, 3) t(k)) r
+                    FROM tl, (SELECT min(date) AS first_month FROM full_panel) p,
+                         range(0, 10000) t(k)
+                    WHERE k <= date_diff('month', p.first_month, tl.last_month) - 11) r
 WHERE f.date <= r.run_end AND f.date >= CAST(r.run_end - INTERVAL 11 MONTH AS DATE)"""
     for role, m in (("champion", CHAMPION), ("challenger", CHALLENGER))))
 register_sql("registry", ("reg_pred",), f"""SELECT lower(Family) || '_' || ModelRole AS "group",
@@ -416,8 +421,7 @@ register_sql("sc_x", ("sc_rows", "sc_h"), "SELECT w.*, r.ModelRole, r.ModelName,
 
 # ---------------------------------------------------------------- stage 5: attribution + reporting
 
-from panelcast.functions.features import (display_external_features,  # noqa: E402
-                                          external_features, FRIENDLY_FEATURE_NAMES)
+from panelcast.functions.features import FRIENDLY_FEATURE_NAMES  # noqa: E402
 
 CAL_NAMES = ["calendar_month", "quarter", "fiscal_month_idx", "month_sin", "month_cos", "fiscal_sin",
              "fiscal_cos", "growing_season_proxy", "is_planting_season", "is_application_season",
@@ -425,8 +429,8 @@ CAL_NAMES = ["calendar_month", "quarter", "fiscal_month_idx", "month_sin", "mont
 FEATURES = sorted(CAL_NAMES + ["time_idx"] + sorted(RECURSIVE)
                   + ["national_lag_1", "national_lag_12", "national_rollmean_3"]
                   + WEATHER_COLS + ACRE_COLS + ECON + ECON_CHG + STATIC_COLS)
-EXTERNAL = external_features(FEATURES)
-DISPLAY_EXTERNAL = display_external_features(FEATURES)
+EXTERNAL = sorted(WEATHER_COLS + ACRE_COLS + ECON + ECON_CHG)
+DISPLAY_EXTERNAL = sorted(WEATHER_COLS + ACRE_COLS + ECON)
 
 register_sql("targets1", ("state", "tl"), """SELECT s.Family, s.FIPS, tl.fc_start AS date FROM state s, tl
 WHERE CAST(s.last_date + INTERVAL 1 MONTH AS DATE) = tl.fc_start""")
@@ -537,7 +541,7 @@ _NULL_TOPS = ", ".join(f"CAST(NULL AS {'VARCHAR' if c.endswith('Feature') else '
 register_sql("uweather", ("full_panel",), "SELECT * EXCLUDE (rn, Family) FROM (SELECT Family, FIPS, date, "
              + ", ".join(LOOKUP_COLS)
              + """, row_number() OVER (PARTITION BY FIPS, date
-                 ORDER BY CASE Family WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END) AS rn FROM full_panel) x WHERE rn = 1""")
+                 ORDER BY Family) AS rn FROM full_panel) x WHERE rn = 1""")
 register_sql("hist_rows", ("sales", "val_pred"), f"""SELECT s.FIPS, n.County_Name, s.State, s.date, s.Family,
   r.ModelRole, CAST(NULL AS VARCHAR) AS ModelName, s."Sales QTY" AS Actual_QTY, CAST(NULL AS DOUBLE) AS Predicted_QTY,
   'Historical' AS DataType, CAST(NULL AS DOUBLE) AS External_Factors_Share_Pct, {_NULL_TOPS}
@@ -575,7 +579,7 @@ LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}_pbase" for c
              + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 12 MONTH GROUP BY ALL) pb
   ON f.calendar_month = pb.calendar_month""")
 register_sql("ff", ("ff_hist", "ff_fut"), "SELECT * EXCLUDE (has_temperature_data) REPLACE ("
-             + ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in ACRE_COLS)
+             + ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in ACRE_FACT)
              + """) FROM (SELECT * FROM ff_hist UNION ALL BY NAME SELECT * FROM ff_fut) u
 WINDOW w AS (PARTITION BY FIPS, Family ORDER BY date, DataType, ModelRole
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")

@@ -11,6 +11,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Marks a session whose defaults were applied, so that later changes by the user stay.
+CONFIGURED = "panelcast.configured"
+
 # Settings the operators rely on. Applied only when the session does not
 # already define them, so a cluster's own tuning always wins.
 DEFAULT_CONF = {
@@ -46,19 +49,27 @@ def build_session(master: str | None = None, app: str = "panelcast",
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`DEFAULT_CONF` where the session leaves a key unset."""
-    for key, value in DEFAULT_CONF.items():
-        if spark.conf.get(key, None) is None or key in (
-                "spark.sql.requireAllClusterKeysForCoPartition",):
-            spark.conf.set(key, value)
+    if spark.conf.get(CONFIGURED, None) is None:
+        given = set_by_user(spark)
+        for key, value in DEFAULT_CONF.items():
+            if key not in given:
+                spark.conf.set(key, value)
+        spark.conf.set(CONFIGURED, "true")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def set_by_user(spark: SparkSession) -> set[str]:
+    """Keys of :data:`DEFAULT_CONF` that the cluster or the user has set."""
+    conf = spark.sparkContext.getConf()
+    return {k for k in DEFAULT_CONF if conf.contains(k)}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when nothing is configured (a local test) do we create one.
+    as is. Only a local session without one (a test) gets a folder of its own.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
@@ -68,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         local = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(local)
         return local

@@ -28,15 +28,13 @@ from panelcast.sources.tables import table
 RAW_SALES_COLUMNS = ["Year", "Month", "FIPS", "State", "Family", "Sales QTY",
                      "Returns/Credits QTY"]
 
-# Fixed values of this binding: part-type word -> crop, order priority -> macro series.
+# Fixed values of this binding: part-type word -> crop, order priority -> macro series. A word or
+# priority that is not named here is a crop or series under its own name; none is left out.
 CROP_OF_TYPE = {"ECONOMY": "CORN", "STANDARD": "SOYBEANS", "PROMO": "WHEAT", "SMALL": "COTTON"}
 PRICE_OF_TYPE = {"ECONOMY": "Corn_Price_USDPerMT", "STANDARD": "Soybeans_Price_USDPerMT",
                  "PROMO": "Wheat_Price_USDPerMT", "SMALL": "Cotton_Price_USCentsPerLb"}
 MACRO_OF_PRIORITY = {"1-URGENT": "CPI_AllUrban", "2-HIGH": "Fertilizer_PPI",
                      "3-MEDIUM": "WTI_Oil_Price"}
-MACRO_COLUMNS = ["CPI_AllUrban", "Fertilizer_PPI", "WTI_Oil_Price"]
-PRICE_COLUMNS = ["Cotton_Price_USCentsPerLb", "Corn_Price_USDPerMT", "Soybeans_Price_USDPerMT",
-                 "Wheat_Price_USDPerMT"]
 WEATHER_TYPES = ["PRCP", "TAVG", "TMAX", "TMIN"]
 
 
@@ -132,6 +130,11 @@ def _type_word(col: str = "p_type") -> F.Column:
     return F.split(F.col(col), " ").getItem(0)
 
 
+def _named(names: dict[str, str], key: F.Column, other: F.Column) -> F.Column:
+    """The name that the binding gives to ``key``, else ``other``."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), key), other)
+
+
 def acreage_long(spark: SparkSession, sf: str) -> DataFrame:
     """Survey-style acreage: (year, state_alpha, commodity_desc, statisticcat_desc, Value).
 
@@ -141,12 +144,13 @@ def acreage_long(spark: SparkSession, sf: str) -> DataFrame:
     """
     li = table(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     part = table(spark, sf, "part", "p_partkey", "p_type")
-    crop_map = F.create_map(*[F.lit(x) for kv in CROP_OF_TYPE.items() for x in kv])
-    crops = part.select("p_partkey", F.try_element_at(crop_map, _type_word()).alias("crop")) \
+    crops = part.select("p_partkey", _named(CROP_OF_TYPE, _type_word(), _type_word()).alias("crop")) \
         .filter(F.col("crop").isNotNull())
-    per_supp = (li.join(crops, F.col("l_partkey") == F.col("p_partkey"))
-                .groupBy(F.year("l_shipdate").alias("year"), "l_suppkey", "crop")
+    # aggregated before the join, so a hot part is one row per supplier and year
+    per_part = (li.groupBy(F.year("l_shipdate").alias("year"), "l_suppkey", "l_partkey")
                 .agg(F.sum("l_quantity").alias("q"), F.count(F.lit(1)).alias("n")))
+    per_supp = (per_part.join(crops, F.col("l_partkey") == F.col("p_partkey"))
+                .groupBy("year", "l_suppkey", "crop").agg(F.sum("q").alias("q"), F.sum("n").alias("n")))
     sup = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
     dim = sup.join(_nation(spark, sf), F.col("s_nationkey") == F.col("n_nationkey")) \
         .select("s_suppkey", F.col("n_name").alias("state_alpha"))
@@ -165,27 +169,27 @@ def acreage_long(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def economic_macro(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly macro series: mean order value per priority class, in thousands."""
+    """Monthly macro series, one column per priority class found: mean order value in thousands."""
     o = table(spark, sf, "orders", "o_totalprice", "o_orderdate", "o_orderpriority")
-    name_map = F.create_map(*[F.lit(x) for kv in MACRO_OF_PRIORITY.items() for x in kv])
+    other = F.concat(F.lit("Orders_"), F.regexp_replace("o_orderpriority", "[^A-Za-z0-9]+", "_"))
     return (o.select(month_start(F.col("o_orderdate")).alias("date"),
-                     F.try_element_at(name_map, F.col("o_orderpriority")).alias("series"),
+                     _named(MACRO_OF_PRIORITY, F.col("o_orderpriority"), other).alias("series"),
                      (F.col("o_totalprice") / 1000).alias("v"))
             .filter(F.col("series").isNotNull())
-            .groupBy("date").pivot("series", MACRO_COLUMNS).agg(F.avg("v")))
+            .groupBy("date").pivot("series").agg(F.avg("v")))
 
 
 def crop_prices(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly crop prices: mean unit price of shipped parts per part-type word."""
+    """Monthly crop prices, one column per part-type word found: mean unit price of shipped parts."""
     li = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     part = table(spark, sf, "part", "p_partkey", "p_type")
-    name_map = F.create_map(*[F.lit(x) for kv in PRICE_OF_TYPE.items() for x in kv])
-    ptype = part.select("p_partkey", F.try_element_at(name_map, _type_word()).alias("series")) \
+    other = F.concat(F.initcap(_type_word()), F.lit("_Price"))
+    ptype = part.select("p_partkey", _named(PRICE_OF_TYPE, _type_word(), other).alias("series")) \
         .filter(F.col("series").isNotNull())
     per_part = (li.groupBy("l_partkey", month_start(F.col("l_shipdate")).alias("date"))
                 .agg(F.sum("l_extendedprice").alias("px"), F.sum("l_quantity").alias("q")))
     return (per_part.join(ptype, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("date").pivot("series", PRICE_COLUMNS)
+            .groupBy("date").pivot("series")
             .agg((F.sum("px") / F.sum("q")).alias("p")))
 
 
@@ -236,7 +240,7 @@ UNPIVOT (value FOR datatype IN (PRCP, TAVG, TMAX, TMIN))"""),
     "acreage_planted": ((), """SELECT year, state_alpha, commodity_desc, q AS Value FROM (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS year, n_name AS state_alpha,
          CASE split_part(p_type, ' ', 1) WHEN 'ECONOMY' THEN 'CORN' WHEN 'STANDARD' THEN 'SOYBEANS'
-              WHEN 'PROMO' THEN 'WHEAT' WHEN 'SMALL' THEN 'COTTON' END AS commodity_desc,
+              WHEN 'PROMO' THEN 'WHEAT' WHEN 'SMALL' THEN 'COTTON' ELSE split_part(p_type, ' ', 1) END AS commodity_desc,
          sum(l_quantity) AS q, count(*) AS n
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
        JOIN nation ON s_nationkey = n_nationkey
@@ -244,15 +248,19 @@ UNPIVOT (value FOR datatype IN (PRCP, TAVG, TMAX, TMIN))"""),
     "economic_macro": ((), """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
   avg(o_totalprice / 1000) FILTER (WHERE o_orderpriority = '1-URGENT') AS CPI_AllUrban,
   avg(o_totalprice / 1000) FILTER (WHERE o_orderpriority = '2-HIGH') AS Fertilizer_PPI,
-  avg(o_totalprice / 1000) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS WTI_Oil_Price
-FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1"""),
+  avg(o_totalprice / 1000) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS WTI_Oil_Price,
+  avg(o_totalprice / 1000) FILTER (WHERE o_orderpriority = '4-NOT SPECIFIED') AS Orders_4_NOT_SPECIFIED,
+  avg(o_totalprice / 1000) FILTER (WHERE o_orderpriority = '5-LOW') AS Orders_5_LOW
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1"""),
     "crop_prices": ((), """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
   sum(l_extendedprice) FILTER (WHERE w = 'SMALL') / sum(l_quantity) FILTER (WHERE w = 'SMALL') AS Cotton_Price_USCentsPerLb,
   sum(l_extendedprice) FILTER (WHERE w = 'ECONOMY') / sum(l_quantity) FILTER (WHERE w = 'ECONOMY') AS Corn_Price_USDPerMT,
   sum(l_extendedprice) FILTER (WHERE w = 'STANDARD') / sum(l_quantity) FILTER (WHERE w = 'STANDARD') AS Soybeans_Price_USDPerMT,
-  sum(l_extendedprice) FILTER (WHERE w = 'PROMO') / sum(l_quantity) FILTER (WHERE w = 'PROMO') AS Wheat_Price_USDPerMT
+  sum(l_extendedprice) FILTER (WHERE w = 'PROMO') / sum(l_quantity) FILTER (WHERE w = 'PROMO') AS Wheat_Price_USDPerMT,
+  sum(l_extendedprice) FILTER (WHERE w = 'MEDIUM') / sum(l_quantity) FILTER (WHERE w = 'MEDIUM') AS Medium_Price,
+  sum(l_extendedprice) FILTER (WHERE w = 'LARGE') / sum(l_quantity) FILTER (WHERE w = 'LARGE') AS Large_Price
 FROM lineitem JOIN (SELECT p_partkey, split_part(p_type, ' ', 1) AS w FROM part) p ON l_partkey = p_partkey
-WHERE w IN ('SMALL', 'ECONOMY', 'STANDARD', 'PROMO') GROUP BY 1"""),
+WHERE w IS NOT NULL GROUP BY 1"""),
 }
 
 

@@ -71,15 +71,15 @@ def test_weather_proxies_keep_nulls(spark):
 
 
 def test_external_feature_names():
-    assert features.external_features(["fips_lag_1", "CPI_AllUrban", "county_alltime_share", "TAVG"]) == \
+    assert features.outside_features(["fips_lag_1", "CPI_AllUrban", "county_alltime_share", "TAVG"]) == \
         ["CPI_AllUrban", "TAVG"]
-    assert features.display_external_features(["CPI_AllUrban", "CPI_AllUrban_lag1", "TAVG"]) == \
+    assert features.outside_features(["CPI_AllUrban", "CPI_AllUrban_lag1", "TAVG"], derived=False) == \
         ["CPI_AllUrban", "TAVG"]
 
 
 def test_panel_projection_keeps_static_and_drops_year():
     cols = ["FIPS", "date", "Year", "b_feat", "a_feat", "Sales_QTY", "Family"]
-    out = features.panel_projection(cols)
+    out = features.panel_columns(cols)
     assert out == ["FIPS", "Family", "date", "Sales_QTY", "a_feat", "b_feat"]
 
 

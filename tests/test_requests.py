@@ -32,8 +32,8 @@ def test_parse_and_validate(spark):
     out = {r["request_id"]: r["error"] for r in RQ.validate(RQ.parse_requests(raw), fams).collect()}
     assert out["1"] is None
     assert out["2"].startswith("unknown family")
-    assert out["3"] == "month must be between 1 and 12"
-    assert out["4"].startswith("either fips")
+    assert out["3"] == "month is a number from 1 to 12"
+    assert out["4"].startswith("an entity is named by")
     assert out["5"] == "malformed request"
 
 
