@@ -33,9 +33,9 @@ from panelcast.llm.common import chunks, small_batches, word_hashes, written
 DEPTH = 5
 CAPACITY = 1 << 17
 COMMON = 1 << 20
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Entries that a counting task holds before it sends them.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
 END = b"\n"
 
 
