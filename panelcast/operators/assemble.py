@@ -17,10 +17,11 @@ def entity_state_years(internal: DataFrame) -> DataFrame:
 
 
 def assemble(internal: DataFrame, weather: DataFrame, acreage: DataFrame, econ: DataFrame,
-             names: DataFrame, cutoff) -> DataFrame:
+             names: DataFrame, cutoff, monthly: DataFrame | None = None) -> DataFrame:
     """Left-join every external table onto the internal panel, add static shares and names.
 
-    ``econ`` has one row per month (bounded by the calendar) and is broadcast;
+    ``monthly`` is the dense monthly panel that ``internal`` was made of: the shares are
+    taken from it, not from the joined frame. ``econ`` has one row per month (bounded by the calendar) and is broadcast;
     the other tables are per entity and join on the panel's entity partitioning.
     """
     econ_cols = [c for c in econ.columns if c != MONTH]
@@ -29,6 +30,6 @@ def assemble(internal: DataFrame, weather: DataFrame, acreage: DataFrame, econ:
     d = d.join(acreage.drop("State"), ["FIPS", "Year"], "left")
     d = d.join(F.broadcast(econ), MONTH, "left")
     d = add_economic_changes(d, econ_cols)
-    d = add_static_shares(d, cutoff)
+    d = add_static_shares(d, cutoff, monthly=monthly)
     d = d.join(names, "FIPS", "left")
     return d.select(*panel_columns(d.columns))

@@ -127,7 +127,7 @@ def state_importance(importance: DataFrame, forecast: DataFrame, weight_month) -
     Weight = the county's forecast at ``weight_month``; missing or below
     0.01 becomes 0.01, so the denominator is never 0. Rounded to 3.
     """
-    county = importance.filter(F.col("Level") == "County")
+    county = importance.filter((F.col("Level") == "County") & F.col("State").isNotNull())
     wts = forecast.filter(F.col("date") == F.lit(weight_month).cast("date")).select(
         "FIPS", "Family", "ModelRole", F.col("Predicted_QTY").alias("_w"))
     j = county.join(wts, ["FIPS", "Family", "ModelRole"], "left").withColumn(

@@ -29,10 +29,10 @@ def zfill_id(c, width: int = 5):
 
 
 def _first(value: str, order_col: str | None):
-    """Deterministic 'first': by a source ordinal when one is given."""
+    """The first value by a source ordinal; without one the smallest, so that it never depends on task order."""
     if order_col:
         return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order_col)))
-    return F.first(F.col(value), ignorenulls=True)
+    return F.min(F.col(value))
 
 
 def weather_pivot(long: DataFrame, *, types=WEATHER_TYPES, order_col: str | None = None) -> DataFrame:
@@ -41,8 +41,8 @@ def weather_pivot(long: DataFrame, *, types=WEATHER_TYPES, order_col: str | None
     Grouped on the raw date, then truncated to month (as the source does):
     two readings in one month stay two rows.
     """
-    # entity partitioning serves the pivot, the normal window and the panel join
-    df = long.withColumn(ENTITY, zfill_id(F.col(ENTITY))).repartition(ENTITY)
+    # partial aggregates first: raw readings of a hot entity never meet in one task
+    df = long.withColumn(ENTITY, zfill_id(F.col(ENTITY)))
     piv = df.groupBy(ENTITY, MONTH).pivot("datatype", list(types)).agg(_first("value", order_col))
     return piv.withColumn(MONTH, month_start(F.col(MONTH)))
 
@@ -65,7 +65,7 @@ def weather_features(long: DataFrame, **kw) -> DataFrame:
 
 
 def acreage_prior_year(long: DataFrame, entity_state_year: DataFrame, *,
-                       commodities: list[str] | None = None) -> DataFrame:
+                       commodities: list[str] | None = None, order_col: str | None = None) -> DataFrame:
     """Survey acreage -> ``{crop}_Acres_prior_year`` per (FIPS, State, Year).
 
     Keeps AREA PLANTED rows whose text parses as a number, pivots crops,
@@ -79,7 +79,7 @@ def acreage_prior_year(long: DataFrame, entity_state_year: DataFrame, *,
         # the crop dimension: a handful of names (bounded), needed to name columns
         commodities = sorted(r[0] for r in usda.select("commodity_desc").distinct().collect())
     piv = (usda.groupBy(F.col("year").alias("Year"), F.col("state_alpha").alias("State"))
-           .pivot("commodity_desc", commodities).agg(F.first("Value", ignorenulls=True)))
+           .pivot("commodity_desc", commodities).agg(_first("Value", order_col)))
     w = Window.partitionBy("State").orderBy("Year")
     lagged = piv.select("Year", "State", *[F.lag(F.col(c), 1).over(w).alias(f"{c}_Acres_prior_year")
                                            for c in commodities])

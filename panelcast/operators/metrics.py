@@ -102,7 +102,8 @@ def metrics_rollup(records: DataFrame) -> DataFrame:
         F.col("ModelName").alias("model_type"), "r2", "rmse", "mae",
         "wmape",  # null when undefined; rendered as "N/A" in the JSON document
         "train_size", "val_size",
-        F.coalesce(F.col("train_cutoff"), F.lit("N/A")).alias("train_cutoff"),
+        F.coalesce(*[F.col(c).cast("string") for c in ("train_cutoff", "holdout_cutoff") if c in records.columns],
+                   F.lit("N/A")).alias("train_cutoff"),
         F.coalesce(F.col("val_start"), F.lit("N/A")).alias("val_start"),
         F.coalesce(F.col("val_end"), F.lit("N/A")).alias("val_end"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import calendar_columns, time_index
 from panelcast.functions.fiscal import calendar_year, fiscal_year, month_number
-from panelcast.functions.ids import normalize_id
+from panelcast.functions.ids import id_error, normalize_id
 
 FAMILY, ENTITY, MONTH = "Family", "FIPS", "date"
 LAGS = (1, 2, 3, 6, 12)
@@ -61,6 +61,7 @@ def monthly_panel(sales: DataFrame, *, measures: dict[str, str] | None = None,
     span = sales.groupBy(family).agg(F.min(month).alias("_d0"), F.max(month).alias("_d1"))
     if not combine_first:
         sales = sales.repartition(entity)
+    sales = sales.filter(F.col(entity).isNotNull() & F.col(month).isNotNull())
     actual = (sales.groupBy(*keys, month)
               .agg(*[F.sum(F.col(src)).alias(dst) for dst, src in measures.items()]))
     members = sales.select(*keys, *attrs).distinct()
@@ -116,7 +117,15 @@ def entity_state_years(sales: DataFrame, *, family: str = FAMILY, entity: str =
 def national_series(sales: DataFrame, *, measure: str = "Sales QTY", family: str = FAMILY,
                     month: str = MONTH) -> DataFrame:
     """National monthly total per family from raw rows (months without sales are absent)."""
-    return sales.groupBy(family, month).agg(F.sum(measure).alias("Sales_QTY"))
+    return sales.filter(F.col(month).isNotNull()).groupBy(family, month).agg(F.sum(measure).alias("Sales_QTY"))
+
+
+def rejects(sales: DataFrame, *, entity: str = ENTITY, month: str = MONTH) -> DataFrame:
+    """How many parsed sales rows cannot be used, by reason: no entity id, or no known month."""
+    reasons = {"entity_id": id_error(F.col(entity)).isNotNull(), "month": F.col(month).isNull()}
+    counts = sales.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(r) for r, c in reasons.items()])
+    one = F.explode(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(r).alias("n_rejected")) for r in reasons]))
+    return counts.select("n_rows", one.alias("_r")).select("_r.reason", "_r.n_rejected", "n_rows")
 
 
 def national_features(national: DataFrame, *, family: str = FAMILY,
@@ -153,7 +162,10 @@ def add_time_index(df: DataFrame, *, base=None, family: str = FAMILY,
 def internal_features(panel: DataFrame, national: DataFrame) -> DataFrame:
     """Calendar, time index, entity lags/rolling, returns lag, national context."""
     w = entity_window()
-    df = add_time_index(add_calendar(panel))
+    # the first month of a family's panel is the first month of its national series
+    base = national.groupBy(FAMILY).agg(F.min(MONTH).alias("_base"))
+    df = (add_calendar(panel).join(F.broadcast(base), FAMILY)
+          .withColumn("time_idx", time_index(F.col(MONTH), F.col("_base"))).drop("_base"))
     df = add_lags(df, w=w)
     df = add_rolling(df, w=w)
     df = df.withColumn("returns_lag_1", F.lag("Returns_QTY", 1).over(w))

@@ -51,9 +51,9 @@ def static_shares(panel: DataFrame, cutoff, *, sales: str = "Sales_QTY",
         (active < SPARSE_BELOW).cast("int").alias("county_is_sparse"))
 
 
-def add_static_shares(panel: DataFrame, cutoff, *, state: str = "State") -> DataFrame:
-    """Attach :func:`static_shares` to every panel row; absent entity -> 0 / sparse."""
-    sh = static_shares(panel, cutoff, state=state)
+def add_static_shares(panel: DataFrame, cutoff, *, state: str = "State", monthly: DataFrame | None = None) -> DataFrame:
+    """Attach :func:`static_shares` of ``monthly`` (else of the panel) to every panel row; absent entity -> 0 / sparse."""
+    sh = static_shares(panel if monthly is None else monthly, cutoff, state=state)
     df = panel.join(sh, [FAMILY, ENTITY, state], "left")
     return df.withColumns({
         "county_alltime_share": F.coalesce("county_alltime_share", F.lit(0.0)),

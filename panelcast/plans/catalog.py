@@ -102,6 +102,14 @@ def q_entity_id_normalize(spark, sf):
     return raw.withColumn("FIPS", normalize_id(F.col("FIPS_raw")))
 
 
+@register("sales_rejects", sql_with("sales", """SELECT reason, n_rejected, n_rows FROM (
+  SELECT count(*) AS n_rows, count(*) FILTER (WHERE FIPS IS NULL OR trim(FIPS) = '') AS entity_id,
+         count(*) FILTER (WHERE date IS NULL) AS "month" FROM sales) c
+UNPIVOT (n_rejected FOR reason IN (entity_id, "month"))"""))
+def q_sales_rejects(spark, sf):
+    return P.rejects(sales(spark, sf))
+
+
 @register("panel_grid", fin(sql_with("panel", "SELECT * FROM panel"),
                              doubles=["Sales_QTY", "Returns_QTY"]))
 def q_panel_grid(spark, sf):
@@ -196,7 +204,8 @@ def full_panel(spark, sf, cutoff=None):
     def build():
         inner = internal(spark, sf, s)
         return materialize(A.assemble(inner, weather(spark, sf), acreage(spark, sf, s),
-                                      econ(spark, sf), names(spark, sf), cutoff))
+                                      econ(spark, sf), names(spark, sf), cutoff,
+                                      monthly=P.monthly_panel(s, combine_first=False)))
     return stage(spark, sf, f"panel@{cutoff}", build)
 
 
