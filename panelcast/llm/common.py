@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelcast.session import ensure_checkpoint_dir
 
 #: Bytes of text that a task turns into arrays at once (a longer single text is taken alone).
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,7 +37,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 300) -> None:
     """Bound the rows of an Arrow batch, so that long texts fit a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
