@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm import bitpack, cotrain, ctw, decontam, neardup, packing, substring, topk, url_filter, warc
 from panelcast.llm.common import table
+from panelcast.llm.oracles import OP4_SQL, OP8_SQL, OP9_SQL
 
 def vocabulary(name: str) -> str:
     """Where the installed package of public tokenizers has a vocabulary."""
@@ -78,14 +79,15 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, len(v) AS n, unnest(v) AS x, unnest(range(len(v))) AS i FROM usable),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.vec_id % 50 = 0 AND c.i = q.i AND c.vec_id <> q.vec_id AND c.n = q.n
+  GROUP BY ALL),
 ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored)
@@ -146,6 +148,9 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_filter": OP1_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op5_exact_top_k": OP5_SQL,
     "op7_warc_dictionary": OP7_SQL,
+    "op8_chosen_path_near_dedup": OP8_SQL,
+    "op9_decontamination": OP9_SQL,
 }
