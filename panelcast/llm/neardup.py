@@ -8,15 +8,17 @@
    loses a pair with probability below 0.25 at any depth, and all ten below 1e-6. A node whose
    members do not part (one child holds half of them) is dense: it is cut into pieces that share a pivot.
 3. Small nodes are compared exhaustively on the min-wise values: a maximum spanning forest over the
-   pairs that reach ``FLOOR`` (4.5 standard deviations under 0.8) gives the candidate links.
-4. Candidates are confirmed on the full sets, and connected components are taken.
-5. Where a candidate failed, the forest proves nothing about its node: all pairs of such nodes that
-   still lie in different components are confirmed too. In dense nodes, every member outside the
-   largest component is compared with all members, in blocks. After that no pair that shares a
-   node and reaches the floor is left open: it is in one component, or was refuted on the full sets.
-
-Classes stand for any number of copies and large nodes branch or are cut, so no group of copies
-meets in one task; pairs inside a component are never enumerated.
+   pairs that reach ``FLOOR`` (4.5 standard deviations under 0.8) gives candidate links, never more than
+   members. In dense nodes, every member outside the largest cluster is compared with all members, in blocks.
+4. The connected clusters of the candidate links hold every pair that shares a node and reaches the
+   floor. A cluster of up to ``CLUSTER`` classes is decided exactly in one task: the sizes of all its
+   intersections come from products of its membership matrix over the full shingle sets.
+5. In larger clusters the candidate links are confirmed on the full sets first (one row per link);
+   then only classes outside the largest confirmed component are compared with all others, in
+   blocks of that size. Blocks return one row per member, and components are taken.
+
+Classes stand for any number of copies, large nodes branch or are cut, and large clusters are
+confirmed link by link, so no group of copies meets in one task and rows stay in proportion to members.
 
 Defined results: a text of fewer words than a shingle is one shingle of all its words; null and
 empty texts (or without words) have an empty set and are linked with nothing; rows with equal id
@@ -40,7 +42,10 @@ from panelcast.llm.components import components
 COORDINATES = 128
 TREES = 10
 NODE = 600
+CLUSTER = 1000
 FLOOR = 82
+#: Columns of a membership matrix that are multiplied at once.
+COLUMNS = 4096
 
 _MULTIPLY = np.random.RandomState(7).randint(0, 2**63 - 1, COORDINATES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -141,11 +146,11 @@ def _pieces(dense: DataFrame) -> DataFrame:
     return own.unionByName(shared.select(F.xxhash64("node", F.lit("piece"), F.col("i")).alias("node"), "cls")).distinct()
 
 
-_PAIRS = "node long, a long, b long"
-_PAIRS_ARROW = pa.schema([("node", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_PAIRS = "a long, b long"
+_PAIRS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _forest(cls: np.ndarray, sig: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
+def _forest(cls: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
     """Maximum spanning forest over the pairs that agree in FLOOR values (Prim, one row of similarities at a time)."""
     rest = np.arange(1, len(cls))
     best, via, now, out = np.zeros(len(rest), np.int64), np.zeros(len(rest), np.int64), 0, []
@@ -161,64 +166,107 @@ def _forest(cls: np.ndarray, sig: np.ndarray, comp: np.ndarray) -> list[tuple[in
     return out
 
 
-def _across(cls: np.ndarray, sig: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
-    """All pairs of different components that agree in FLOOR values."""
-    out = []
-    for i in range(len(cls) - 1):
-        near = np.flatnonzero((comp[i + 1:] != comp[i])) + i + 1
-        if len(near):
-            near = near[(sig[near] == sig[i]).sum(axis=1) >= FLOOR]
-            out += [(int(cls[i]), int(cls[j])) for j in near]
-    return out
-
-
-def _compare(pairs_of):
-    """Over rows sorted by node: the candidate pairs of every node."""
-
-    def emit(node: np.ndarray, cls: np.ndarray, comp: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows again, in batches that cut no run of equal values of the first column."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        last = int(np.searchsorted(key, key[-1]))
+        if held and (last or held[-1].column(0)[-1].as_py() != key[0]):
+            cut = last if held[-1].column(0)[-1].as_py() == key[0] else 0
+            yield pa.concat_batches([*held, batch.slice(0, cut)])
+            held, batch, last = [], batch.slice(cut), last - cut
+        if last:
+            yield batch.slice(0, last)
+        held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (node, cls, sig) sorted by node: the candidate links of every node."""
+    for batch in _groups(batches):
+        node, cls = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        sig = batch.column(2).flatten().to_numpy().reshape(-1, COORDINATES)
         cut = np.concatenate([[0], np.flatnonzero(np.diff(node)) + 1, [len(node)]])
         size = np.diff(cut)
         two = cut[:-1][size == 2]
-        if len(two):
-            agree = ((sig[two] == sig[two + 1]).sum(axis=1) >= FLOOR) & (comp[two] != comp[two + 1])
-            two = two[agree]
-        rows = [np.stack([node[two], cls[two], cls[two + 1]], axis=1)] if len(two) else []
+        two = two[(sig[two] == sig[two + 1]).sum(axis=1) >= FLOOR] if len(two) else two
+        made = [np.stack([cls[two], cls[two + 1]], axis=1)]
         for a, n in zip(cut[:-1][size > 2], size[size > 2]):
-            found = pairs_of(cls[a:a + n], sig[a:a + n], comp[a:a + n])
-            if found:
-                pairs = np.array(found, np.int64)
-                rows.append(np.concatenate([np.full((len(pairs), 1), node[a]), pairs], axis=1))
-        made = np.concatenate([np.zeros((0, 3), np.int64), *rows])
-        low, high = made[:, 1:].min(axis=1), made[:, 1:].max(axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(low), pa.array(high)], schema=_PAIRS_ARROW)
+            made.append(np.array(_forest(cls[a:a + n], sig[a:a + n]), np.int64).reshape(-1, 2))
+        pairs = np.concatenate(made)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], schema=_PAIRS_ARROW)
+
+
+def _candidates(members: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    rows = members.join(classes.select("cls", "sig"), "cls").select("node", "cls", "sig")
+    rows = rows.repartition("node").sortWithinPartitions("node", "cls")
+    return written(rows.mapInArrow(_compare, _PAIRS), name)
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of the sets, by products of their membership matrix."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    shared = (count > 1)[column]
+    owner, column = owner[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        x = np.zeros((len(sets), COLUMNS), np.float32)
+        x[owner[a:b], column[a:b] - low] = 1
+        out += x @ x.T
+    out[np.arange(len(sets)), np.arange(len(sets))] = [len(x) for x in sets]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            node, cls, comp = (batch.column(i).to_numpy() for i in range(3))
-            sig = batch.column(3).flatten().to_numpy().reshape(-1, COORDINATES)
-            if held is not None:
-                node, cls, comp, sig = (np.concatenate(x) for x in zip(held, (node, cls, comp, sig)))
-            last = int(np.searchsorted(node, node[-1]))
-            if last:
-                yield emit(node[:last], cls[:last], comp[:last], sig[:last])
-            held = (node[last:], cls[last:], comp[last:], sig[last:])
-        if held is not None:
-            yield emit(*held)
 
-    return run
+def _exact(size: int, percent: int):
+    """Over rows (group, cls, comp, text) sorted by group: cls and label, the least class that links inside the
+    group connect it with; classes of one comp are connected already."""
+    schema = pa.schema([("cls", pa.int64()), ("label", pa.int64())])
+
+    def label(cls: np.ndarray, comp: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+        n = np.array([len(x) for x in sets])
+        both = intersections(sets)
+        linked = (both > 0) & (100 * both >= percent * (n[:, None] + n[None, :] - both))
+        out = np.full(len(cls), -1)
+        of_comp: dict[int, list[int]] = {}
+        for i, c in enumerate(comp.tolist()):
+            of_comp.setdefault(c, []).append(i)
+        for i in range(len(cls)):
+            if out[i] < 0:
+                out[i], todo, done = i, [i], set()
+                while todo:
+                    j = todo.pop()
+                    near = np.flatnonzero(linked[j] & (out < 0)).tolist()
+                    if comp[j] not in done:
+                        done.add(comp[j])
+                        near += [k for k in of_comp[int(comp[j])] if out[k] < 0]
+                    out[near] = i
+                    todo += dict.fromkeys(near)
+        least = np.full(len(cls), np.iinfo(np.int64).max)
+        np.minimum.at(least, out, cls)
+        return least[out]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            group, cls, comp = (batch.column(i).to_numpy() for i in range(3))
+            texts = batch.column(3).cast(pa.binary()).to_pylist()
+            sets: list[np.ndarray] = []
+            for some in chunks(((t,) for t in texts), lambda r: len(r[0])):
+                h, at = shingle_hashes([t for t, in some], size)
+                sets += [np.unique(h[a:b]) for a, b in zip(at[:-1], at[1:])]
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+            made = [label(cls[a:b], comp[a:b], sets[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.concatenate(made))], schema=schema)
 
-def _candidates(members: DataFrame, classes: DataFrame, labels: DataFrame | None, pairs_of, name: str) -> DataFrame:
-    rows = members.join(classes.select("cls", "sig"), "cls")
-    if labels is None:
-        rows = rows.withColumn("comp", F.col("cls"))
-    else:
-        rows = rows.join(labels, F.col("cls") == F.col("vertex"), "left").withColumn("comp", F.coalesce("component", "cls"))
-    rows = rows.select("node", "cls", "comp", "sig").repartition("node").sortWithinPartitions("node", "cls")
-    return written(rows.mapInArrow(_compare(pairs_of), _PAIRS), name)
+    return run
 
 
 def _confirm(size: int, percent: int):
@@ -246,10 +294,6 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(docs.join(keys, "key").dropDuplicates(["key"]).select("cls", "text"), "texts")
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-
-
 def find_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: key (see ``row_key``), id, n_shingles, component_id and kept (id = component_id)."""
     small_batches(docs.sparkSession)
@@ -257,51 +301,60 @@ def find_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     features = written(held.mapInArrow(_features(shingle), _FEATURES), "features")
     classes = written(features.where("cls is not null").groupBy("cls")
                       .agg(F.min("key").alias("key"), F.min("id").alias("id"), F.any_value("sig").alias("sig")), "classes")
-    members, dense = tree_nodes(classes)
-    if dense is not None:
-        members = members.unionByName(_pieces(dense))
-    members = written(members, "members")
-    pairs = _candidates(members, classes, None, _forest, "forest")
-
-    def confirmed(some: DataFrame, texts: DataFrame) -> DataFrame:
-        a, b = (texts.select(F.col("cls").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-        both = some.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-        return written(both.mapInArrow(_confirm(shingle, percent), "a long, b long, linked boolean"), "confirmed")
-
-    distinct = pairs.select("a", "b").distinct()
-    texts = _texts(held, classes, _ends(pairs))
-    tested = confirmed(distinct, texts)
-    labels = components(tested.where("linked"))
-
-    # where a link of the forest failed, and in dense nodes, all pairs across components
-    failed = pairs.join(tested.where("not linked"), ["a", "b"], "left_semi").select("node").distinct()
-    open_rows = members.join(failed, "node", "left_semi")
-    if dense is not None:
-        open_rows = open_rows.unionByName(_outsiders(dense, labels))
-    more = _candidates(open_rows, classes, labels, _across, "across").select("a", "b").distinct()
-    more = written(more.join(tested, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        texts = texts.unionByName(_texts(held, classes, _ends(more).join(texts, "cls", "left_anti")))
-        labels = components(tested.where("linked").select("a", "b").unionByName(confirmed(more, texts).where("linked").select("a", "b")))
-
-    named = classes.select("cls", "id").join(labels, F.col("cls") == F.col("vertex"), "left").select("cls", "id", F.coalesce("component", "cls").alias("component"))
-    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    of_class = written(named.join(least, "component").select("cls", "component_id"), "of_class")
+    labels = _link(held, classes, shingle, percent)
+    named = classes.select("cls", "id").join(labels, "cls", "left").select("cls", "id", F.coalesce("label", "cls").alias("label"))
+    least = named.groupBy("label").agg(F.min("id").alias("component_id"))
+    of_class = written(named.join(least, "label").select("cls", "component_id"), "of_class")
     found = features.drop("sig").join(of_class, "cls", "left")
     component = F.coalesce("component_id", "id")
     return found.select("key", "id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _outsiders(dense: DataFrame, labels: DataFrame) -> DataFrame:
-    """For every dense node, blocks that pair each class outside the node's largest component with all its classes."""
-    half = NODE // 2
-    rows = dense.join(labels, F.col("cls") == F.col("vertex"), "left").select("node", "cls", "count", F.coalesce("component", "cls").alias("comp"))
-    largest = rows.groupBy("node", "comp").count().groupBy("node").agg(F.max(F.struct("count", "comp")).alias("top"))
-    rows = rows.join(largest.select("node", F.col("top.comp").alias("top"), F.col("top.count").alias("in_top")), "node")
-    all_n = F.ceil(F.col("count") / half)
-    out_n = F.ceil((F.col("count") - F.col("in_top")) / half)
-    rows = rows.where(F.col("count") > F.col("in_top"))
+def _link(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """cls and label of every class that is linked with another one; linked classes have equal labels."""
+    members, dense = tree_nodes(classes)
+    if dense is not None:
+        members = members.unionByName(_pieces(dense))
+    pairs = _candidates(members, classes, "forest").distinct()
+    clusters = components(pairs)
+    if dense is not None:
+        rows = dense.join(clusters, F.col("cls") == F.col("vertex"), "left").select("node", "cls", F.coalesce("component", "cls").alias("comp"))
+        pairs = pairs.unionByName(_candidates(_blocks(rows, NODE // 2), classes, "outside")).distinct()
+        clusters = components(pairs)
+    clusters = clusters.select(F.col("vertex").alias("cls"), F.col("component").alias("cluster"))
+    texts = _texts(docs, classes, clusters.select("cls"))
+    sizes = written(clusters.groupBy("cluster").count(), "clusters")
+    exact = lambda rows: rows.join(texts, "cls").select("group", "cls", "comp", "text").repartition("group").sortWithinPartitions(
+        "group", "cls").mapInArrow(_exact(shingle, percent), "cls long, label long")
+    small = clusters.join(sizes.where(F.col("count") <= CLUSTER), "cluster")
+    labels = written(exact(small.select(F.col("cluster").alias("group"), "cls", F.col("cls").alias("comp"))), "labels")
+    large = sizes.where(F.col("count") > CLUSTER)
+    if large.isEmpty():
+        return labels
+    inside = written(clusters.join(large.select("cluster"), "cluster"), "large")
+    a, b = (texts.select(F.col("cls").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    tested = pairs.join(inside.select(F.col("cls").alias("a")), "a").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    links = written(tested.mapInArrow(_confirm(shingle, percent), "a long, b long, linked boolean"), "links").where("linked").select("a", "b")
+    known = components(links)
+    rows = inside.join(known, F.col("cls") == F.col("vertex"), "left").select(
+        F.col("cluster").alias("node"), "cls", F.coalesce("component", "cls").alias("comp"))
+    blocks = _blocks(rows, CLUSTER // 2).select(F.col("node").alias("group"), "cls", "comp")
+    more = written(exact(blocks), "more").where("cls != label").select(F.col("label").alias("a"), F.col("cls").alias("b"))
+    found = components(links.unionByName(more))
+    return labels.unionByName(found.select(F.col("vertex").alias("cls"), F.col("component").alias("label")))
+
+
+def _blocks(rows: DataFrame, half: int) -> DataFrame:
+    """Blocks that pair each class outside its node's largest comp with all classes of the node.
+
+    ``rows`` has node, cls and comp; a block, a node of its own, has about ``half`` classes from either side.
+    """
+    groups = rows.groupBy("node", "comp").count().groupBy("node").agg(
+        F.max(F.struct("count", "comp")).alias("top"), F.sum("count").alias("n"))
+    rows = rows.join(groups.where(F.col("n") > F.col("top.count")), "node")
+    all_n, out_n = F.ceil(F.col("n") / half), F.ceil((F.col("n") - F.col("top.count")) / half)
     every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    left = rows.where(F.col("comp") != F.col("top")).select("node", "cls", F.pmod(F.xxhash64("cls"), out_n).alias("i"), F.explode(every(all_n)).alias("j"))
-    right = rows.select("node", "cls", F.explode(every(out_n)).alias("i"), F.pmod(F.xxhash64("cls"), all_n).alias("j"))
-    return left.unionByName(right).select(F.xxhash64("node", F.lit("block"), "i", "j").alias("node"), "cls").distinct()
+    left = rows.where(F.col("comp") != F.col("top.comp")).select(
+        "node", "cls", "comp", F.pmod(F.xxhash64("cls"), out_n).alias("i"), F.explode(every(all_n)).alias("j"))
+    right = rows.select("node", "cls", "comp", F.explode(every(out_n)).alias("i"), F.pmod(F.xxhash64("cls"), all_n).alias("j"))
+    return left.unionByName(right).select(F.xxhash64("node", F.lit("block"), "i", "j").alias("node"), "cls", "comp").distinct()

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from panelcast.llm import neardup
@@ -68,9 +69,18 @@ def test_edges(spark):
     assert find_groups(lone).count() == 2
 
 
-@pytest.mark.parametrize("node", [600, 24])
-def test_matches_brute_force(spark, monkeypatch, node):
+def test_intersections(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 7)
+    r = np.random.RandomState(1)
+    sets = [np.unique(r.randint(0, 60, n).astype(np.uint64)) for n in (1, 5, 40, 40, 90, 3)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    assert neardup.intersections(sets).tolist() == want
+
+
+@pytest.mark.parametrize(("node", "cluster"), [(600, 1000), (24, 1000), (24, 20)])
+def test_matches_brute_force(spark, monkeypatch, node, cluster):
     monkeypatch.setattr(neardup, "NODE", node)
+    monkeypatch.setattr(neardup, "CLUSTER", cluster)
     rows = varied(3, 12, 14, 120) + [(10_000 + i, t) for i, t in varied(4, 1, 90, 200)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert found(df, 4) == brute(rows, 4, 80)
