@@ -668,7 +668,7 @@ def q_fact_grain_check(spark, sf):
 @register("future_fill", fin(sql_with("ff", "SELECT * FROM ff"), doubles=[c for c in _FACT_D if c != "has_temperature_data"]))
 def q_future_fill(spark, sf):
     fi = reporting_inputs(spark, sf)
-    return rounded(R.fill_future(fact_of(spark, sf, fi)))
+    return rounded(R.fill_future(fact_of(spark, sf, fi), fi.tl.last))
 
 
 @register("national_table", fin(sql_with(["sales", "chunk"], """SELECT date, Family, sum("Sales QTY") AS Sales_QTY,
@@ -707,7 +707,7 @@ def q_importance_long(spark, sf):
 @register("table_profile", fin(sql_with("null_profile", "SELECT * FROM null_profile"), doubles=["null_pct"], dates=()))
 def q_table_profile(spark, sf):
     fi = reporting_inputs(spark, sf)
-    return rounded(R.null_profile(R.fill_future(fact_of(spark, sf, fi))))
+    return rounded(R.null_profile(R.fill_future(fact_of(spark, sf, fi), fi.tl.last)))
 
 
 @register("fact_summary", fin(sql_with("fact_full", """SELECT count(*) AS n_rows, count(DISTINCT FIPS) AS n_fips,

@@ -566,18 +566,18 @@ LEFT JOIN bounds b ON f.FIPS = b.FIPS AND f.Family = b.Family AND f.calendar_mon
 register_sql("ff_last", ("fact_full",), "SELECT max(date) AS last FROM fact_full WHERE DataType = 'Validation'")
 register_sql("ff_hist", ("fact_full", "ff_last"), "SELECT f.* FROM fact_full f, ff_last WHERE f.date <= ff_last.last")
 register_sql("ff_fut", ("fact_full", "ff_last", "ff_hist"), "SELECT f.* REPLACE ("
-             + ", ".join(f"coalesce(f.{c}, cc.{c}_cclim, nc.{c}_nclim) AS {c}" for c in W_METRICS) + ", "
-             + ", ".join(f"coalesce(f.{c}, pb.{c}_pbase) AS {c}" for c in P_COLS)
+             + ", ".join(f"coalesce(f.{c}, entity.{c}, everywhere.{c}) AS {c}" for c in W_METRICS) + ", "
+             + ", ".join(f"coalesce(f.{c}, price.{c}) AS {c}" for c in P_COLS)
              + """) FROM (SELECT f.* FROM fact_full f, ff_last WHERE f.date > ff_last.last) f
-LEFT JOIN (SELECT FIPS, calendar_month, """ + ", ".join(f"avg({c}) AS {c}_cclim" for c in W_METRICS)
-             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 120 MONTH GROUP BY ALL) cc
-  ON f.FIPS = cc.FIPS AND f.calendar_month = cc.calendar_month
-LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}_nclim" for c in W_METRICS)
-             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 120 MONTH GROUP BY ALL) nc
-  ON f.calendar_month = nc.calendar_month
-LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}_pbase" for c in P_COLS)
-             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 12 MONTH GROUP BY ALL) pb
-  ON f.calendar_month = pb.calendar_month""")
+LEFT JOIN (SELECT FIPS, calendar_month, """ + ", ".join(f"avg({c}) AS {c}" for c in W_METRICS)
+             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 120 MONTH GROUP BY FIPS, calendar_month) entity
+  ON f.FIPS = entity.FIPS AND f.calendar_month = entity.calendar_month
+LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}" for c in W_METRICS)
+             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 120 MONTH GROUP BY calendar_month) everywhere
+  ON f.calendar_month = everywhere.calendar_month
+LEFT JOIN (SELECT calendar_month, """ + ", ".join(f"avg({c}) AS {c}" for c in P_COLS)
+             + """ FROM ff_hist, ff_last WHERE date >= ff_last.last - INTERVAL 12 MONTH GROUP BY calendar_month) price
+  ON f.calendar_month = price.calendar_month""")
 register_sql("ff", ("ff_hist", "ff_fut"), "SELECT * EXCLUDE (has_temperature_data) REPLACE ("
              + ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in ACRE_FACT)
              + """) FROM (SELECT * FROM ff_hist UNION ALL BY NAME SELECT * FROM ff_fut) u
