@@ -430,10 +430,28 @@ class ForecastInputs:
         hist_feats = self.state.select("Family", "FIPS", *[c.alias(f) for f, c in rec.items()])
         return self.rows(tgt).join(hist_feats, ["Family", "FIPS"])
 
+    def first_month_long(self):
+        """Contributions of every entity at the first forecast month.
+
+        An entity whose history ends earlier is attributed from its recursion state: for each
+        role, its history goes on with that role's predictions up to the month before.
+        """
+        keys = ["Family", "FIPS", "date"]
+        long = AT.contributions_long(self.first_month_x(), keys, model_spec(), self.features)
+        start = F.lit(self.tl.forecast_start).cast("date")
+        late = self.state.filter(F.add_months("last_date", 1) < start)
+        if late.isEmpty():
+            return long
+        for role, m in model_spec().items():
+            folded = FC.fold_linear(late, self.rows(FC.horizon_targets(late, self.tl.last)), {role: m})
+            rec = FC.recursive_features(F.concat("h", "preds"), F.lit(0.0))
+            x = self.rows(late.select("Family", "FIPS", start.alias("date"))).join(
+                folded.select("Family", "FIPS", *[c.alias(f) for f, c in rec.items()]), ["Family", "FIPS"])
+            long = long.unionByName(AT.contributions_long(x, keys, {role: m}, self.features))
+        return long
+
     def ranked(self):
-        long = AT.contributions_long(self.first_month_x(), ["Family", "FIPS", "date"],
-                                     model_spec(), self.features)
-        return AT.rank_external(long, ["Family", "FIPS", "date"], self.features)
+        return AT.rank_external(self.first_month_long(), ["Family", "FIPS", "date"], self.features)
 
     def chunk(self):
         """Forecast chunk: all months; the first one carries share and Top-5 drivers."""
