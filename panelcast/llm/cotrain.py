@@ -21,17 +21,19 @@ all scores are 0 and nothing is rejected; other columns are kept as they are.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import chunks, packed, small_batches, token_spans
 
-LABELLED = 12_000
-UNLABELLED = 6_000
+LABELLED = 10_000
+UNLABELLED = 5_000
 ROUNDS = 3
 SURE_BAD, SURE_GOOD = 0.98, 0.005
 FALSE_REJECTS = 0.002
@@ -59,7 +61,7 @@ def text_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     full = np.diff(at) > 0
     if full.any():
         most[full] = np.maximum.reduceat(counts, at[:-1][full])
-    return (keys & np.uint64(BUCKETS - 1)).astype(np.int64), at, np.stack([np.diff(first), np.diff(at), most], axis=1)
+    return (keys & np.uint64(BUCKETS - 1)).astype(np.int32), at, np.stack([np.diff(first), np.diff(at), most], axis=1)
 
 
 #: Numeric metadata are cut into so many bins.
@@ -114,16 +116,15 @@ def _fit_text(idx, at, y, steps: int = 40, l2: float = 4.0) -> np.ndarray:
     for buckets of fewer than ``LEAST_TEXTS`` texts); the steps are accelerated and scaled per bucket.
     """
     n = np.diff(at)
-    of = np.repeat(y, n)
-    all_texts, bad = np.bincount(idx, minlength=BUCKETS), np.bincount(idx, weights=of, minlength=BUCKETS)
+    all_texts, bad = np.bincount(idx, minlength=BUCKETS), np.bincount(idx, weights=np.repeat(y, n), minlength=BUCKETS)
     ratio = np.log((bad + 1) / (y.sum() + 2)) - np.log((all_texts - bad + 1) / (len(y) - y.sum() + 2))
     ratio = np.where(all_texts >= LEAST_TEXTS, ratio, 0)
     # leave out the buckets that say nothing
     use = np.abs(ratio) > 0.3
-    column = np.cumsum(use) - 1
+    column = (np.cumsum(use) - 1).astype(np.int32)
     inside = use[idx]
-    doc = np.repeat(np.arange(len(y)), n)[inside]
-    col, value = column[idx[inside]], ratio[idx[inside]]
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), n)[inside]
+    col, value = column[idx[inside]], ratio[idx[inside]].astype(np.float32)
     size = np.bincount(doc, weights=value * value, minlength=len(y))
     reach = np.bincount(col, weights=value * value * np.sqrt(np.maximum(size, 1))[doc] / np.abs(value), minlength=int(use.sum()))
     step = np.concatenate([1 / (0.25 * reach + l2), [1 / (0.25 * len(y))]])
@@ -183,16 +184,22 @@ def _mixed(text_odds, meta_odds):
 
 
 def cotrain(texts: list[bytes], n_chars: list, names: list[tuple], label: np.ndarray, rounds: int = ROUNDS) -> Model | None:
-    """``label`` is 1 (bad), 0 (good) or -1 (unlabelled); every fifth labelled row calibrates."""
+    """The model of whole texts and their metadata."""
     parts = [text_features([t for t, in some]) for some in chunks(((t,) for t in texts), lambda r: len(r[0]))]
-    idx = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int64)])
+    idx = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int32)])
     lengths = np.concatenate([np.diff(p[1]) for p in parts] or [np.zeros(0, np.int64)])
+    numbers = meta_numbers(texts, n_chars, np.concatenate([p[2] for p in parts] or [np.zeros((0, 3))]))
+    return cotrain_features(idx, lengths, numbers, names, label, rounds)
+
+
+def cotrain_features(idx: np.ndarray, lengths: np.ndarray, numbers: np.ndarray, names: list[tuple], label: np.ndarray,
+                     rounds: int = ROUNDS) -> Model | None:
+    """``label`` is 1 (bad), 0 (good) or -1 (unlabelled); every fifth labelled row calibrates."""
     at = np.concatenate([[0], np.cumsum(lengths)])
     labelled = np.flatnonzero(label >= 0)
     held, own = labelled[::5], np.setdiff1d(labelled, labelled[::5])
     if min(len(set(label[held])), len(set(label[own]))) < 2:
         return None
-    numbers = meta_numbers(texts, n_chars, np.concatenate([p[2] for p in parts]))
     edges = np.quantile(numbers[own], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
     x = meta_matrix(numbers, names, edges)
 
@@ -226,8 +233,30 @@ def cotrain(texts: list[bytes], n_chars: list, names: list[tuple], label: np.nda
     return Model(edges, text, meta, text_scale, meta_scale, mixed, float(max(0.5, np.nextafter(allowed, 2))))
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> pd.DataFrame:
-    """The bounded sample that the classifier is fitted on."""
+_SAMPLE = "id long, lang string, source string, bad int, buckets array<int>, numbers array<double>"
+
+
+def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of the sampled texts; the texts stay in their task."""
+    for batch in batches:
+        text, n_chars = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("n_chars").to_pylist()
+        place = 0
+        for some in chunks(zip(text, n_chars), lambda r: len(r[0] or b"")):
+            texts = [t or b"" for t, _ in some]
+            idx, at, repeats = text_features(texts)
+            numbers = meta_numbers(texts, [n for _, n in some], repeats)
+            rest = batch.slice(place, len(some))
+            place += len(some)
+            width = np.arange(0, numbers.size + 1, numbers.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*(rest.column(c) for c in ("id", "lang", "source", "bad")),
+                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(idx)),
+                 pa.ListArray.from_arrays(pa.array(width), pa.array(numbers.ravel()))],
+                names=["id", "lang", "source", "bad", "buckets", "numbers"])
+
+
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Features of the bounded sample that the classifier is fitted on, in the order of ids."""
     bad = F.greatest(1 - F.col("quality"), F.coalesce("toxic", F.lit(0))).cast("int")
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(bad).alias("bad"))
     ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct()
@@ -235,15 +264,18 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> pd
     picked = first(ids.join(known, "id"), LABELLED).unionByName(
         first(ids.join(known, "id", "left_anti"), UNLABELLED).withColumn("bad", F.lit(-1)))
     held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "n_chars", "lang", "source")
-    rows = held.join(F.broadcast(picked), "id").dropDuplicates(["id"])
-    return rows.orderBy("id").toPandas()
+    rows = held.join(F.broadcast(picked), "id").dropDuplicates(["id"]).select("id", "text", "n_chars", "lang", "source", "bad")
+    return rows.mapInArrow(_sample_features, _SAMPLE).orderBy("id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    rows = sample(docs, labels, id_col, text_col)
-    texts = [(t or "").encode() for t in rows["text"]]
-    n_chars = [0 if pd.isna(n) else n for n in rows["n_chars"]]
-    return cotrain(texts, n_chars, list(zip(rows["lang"], rows["source"])), rows["bad"].to_numpy(np.int64))
+    small_batches(docs.sparkSession)
+    rows = sample(docs, labels, id_col, text_col).toArrow().combine_chunks()
+    if not rows.num_rows:
+        return None
+    buckets, numbers = rows["buckets"].combine_chunks(), rows["numbers"].combine_chunks()
+    return cotrain_features(buckets.flatten().to_numpy(), np.diff(buckets.offsets.to_numpy()), numbers.flatten().to_numpy().reshape(rows.num_rows, -1),
+                            list(zip(rows["lang"].to_pylist(), rows["source"].to_pylist())), rows["bad"].to_numpy().astype(np.int64))
 
 
 def classify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
