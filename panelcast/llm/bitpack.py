@@ -27,6 +27,7 @@ from panelcast.llm.files import read_file, shared_uri, write_file
 from panelcast.llm.tokens import encoder
 
 MAGIC = b"IDPACK01"
+WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 HEAD = struct.Struct("<IIQQQ")
 #: Ids of a block (a multiple of 64), text of a shard, and ids after which a shard goes on in another file.
 BLOCK = 8192
@@ -43,6 +44,10 @@ def pack(ids: np.ndarray, width: int) -> bytes:
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"id {int(ids.max())} needs more than {width} bits")
     groups = -(-len(ids) // 64)
+    if width in WHOLE:  # the same words, as whole bytes
+        out = np.zeros(groups * 64, WHOLE[width])
+        out[:len(ids)] = ids
+        return out.tobytes()
     rows = np.zeros((groups, 64), np.uint64)
     rows.ravel()[:len(ids)] = ids
     words = np.zeros((groups, width), "<u8")
@@ -55,6 +60,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 
 
 def unpack(data: bytes, width: int, count: int) -> np.ndarray:
+    if width in WHOLE:
+        return np.frombuffer(data, WHOLE[width], count).astype(np.uint32)
     words = np.frombuffer(data, "<u8").reshape(-1, width)
     out = np.empty((len(words), 64), np.uint64)
     for j in range(64):
