@@ -25,7 +25,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document of the smallest id of every group of near-duplicates (five-word shingles, 0.8)."""
     gone = neardup.find_groups(docs, shingle=5, percent=80).where("not kept").select("key").distinct()
     keyed = docs.withColumn("__near_key", neardup.row_key("doc_id", "text"))
-    return keyed.join(gone, F.col("__near_key") == gone["key"], "left_anti").select(*docs.columns)
+    kept = keyed.join(gone, F.col("__near_key") == gone["key"], "left_anti").select(*docs.columns)
+    # the next stage works on blocks of consecutive ids: give it few blocks per task
+    return kept.repartitionByRange("doc_id")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,8 +29,8 @@ from pyspark.sql.types import StructType
 from panelcast.llm.common import chunks, id_ranges, packed, range_of, rolling, small_batches, word_hashes
 
 #: Text of one block, and window hashes that a task holds before it sends them.
-BLOCK_BYTES = 8_000_000
-FLUSH_HASHES = 1_500_000
+BLOCK_BYTES = 4_000_000
+FLUSH_HASHES = 1_000_000
 
 
 def _windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
