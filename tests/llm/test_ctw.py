@@ -131,3 +131,32 @@ def test_nothing_to_learn(spark):
     r = score(df, F.lit(True)).first()
     assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and r.score == pytest.approx(-24 * math.log10(2))
     assert score(df.limit(0), F.lit(False)).count() == 0
+
+
+def unpruned(rows, out):
+    """The tree of all contexts of the training texts, in memory."""
+    codes, n = np.unique(np.concatenate([grams(coded([t]), ctw.DEPTH)[0] for i, t in rows.items() if i not in out]), return_counts=True)
+    nodes = []
+    for d in range(ctw.DEPTH + 1):
+        context, byte = (codes >> np.uint64(8)) & np.uint64((1 << 8 * d) - 1), codes & np.uint64(255)
+        key = np.concatenate([context << np.uint64(8) | np.uint64(1 << k) | byte >> np.uint64(8 - k) for k in range(8)])
+        one = np.concatenate([(byte >> np.uint64(7 - k)) & np.uint64(1) for k in range(8)]).astype(bool)
+        keys, at = np.unique(key, return_inverse=True)
+        nodes.append((keys, *(np.bincount(at, weights=np.tile(n, 8) * x, minlength=len(keys)) for x in (~one, one))))
+    return Tree(nodes)
+
+
+@pytest.mark.parametrize("block", [100_000, 32_000_000])
+def test_every_context_counts_on_a_table(spark, monkeypatch, block):
+    """More training bytes than any bound on contexts used to allow for; a text of a context seen once among them."""
+    monkeypatch.setattr(ctw, "BLOCK", block)
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    df = df.unionByName(spark.createDataFrame([(-1, "qzxj wvkq jjxq"), (-2, "qzxj wvkq jjxq")], "doc_id long, text string"))
+    held = (F.col("doc_id") % 5 == 1) | (F.col("doc_id") == -2)
+    rows = {r.doc_id: (r.text or "").encode() for r in df.collect()}
+    out = {i for i in rows if (i > 0 and i % 5 == 1) or i == -2}
+    tree = unpruned(rows, out)
+    got = {r.doc_id: r.score for r in score(df, held).collect()}
+    assert len(got) == len(rows)
+    for i in [-2, -1, *sorted(rows)[2::40]]:
+        assert got[i] == pytest.approx(tree.log10(grams(coded([rows[i]]), ctw.DEPTH)[0]).sum(), rel=1e-6)
