@@ -34,6 +34,29 @@ def test_views_teach_each_other():
     assert weight(cotrain.cotrain(texts, n, names, label, rounds=0)) == 0
 
 
+def test_every_unlabelled_document_teaches(spark):
+    """A word of 30 among 20,000 unlabelled documents, none of them first by hash, reaches the text view."""
+    r = np.random.RandomState(0)
+
+    def doc(i, bad, word):
+        return i, " ".join([f"w{r.randint(50)}" for _ in range(30)] + ([word] * bad)), "xx" if bad else "en", "s", 100
+
+    n = 20_000
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    known = [doc(i, i % 2, "spam") for i in range(600)]
+    ids = spark.range(1000, 1000 + n).orderBy(F.xxhash64("id")).toPandas()["id"].tolist()
+    made = known + [doc(i, int(k >= n - 30), "novel") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(made, schema)
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    model = fit(docs, labels)
+    assert model.text[cotrain.text_features([b"novel"])[0]].sum() > 0.3
+    # the sums of tasks are those of arrays
+    texts, names = [d[1].encode() for d in made], [d[2:4] for d in made]
+    label = np.array([i % 2 for i in range(600)] + [-1] * n)
+    same = cotrain.cotrain(texts, [100] * len(made), names, label)
+    assert np.allclose(model.text, same.text, atol=1e-6) and np.allclose(model.meta, same.meta, atol=1e-6)
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, q int"
     rows = [(1, None, None, None, None, "x", 1), (2, "", "en", "s", 0, "x", 1), (None, "a b", "en", "s", 3, "x", 1), (3, "w " * 50_000, "de", None, 9, "x", 1),
