@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bitpack, cotrain, ctw, decontam, neardup, packing, substring, topk, url_filter, warc
+from panelcast.llm import bitpack, cotrain, ctw, decontam, fim, mil, neardup, packing, substring, topk, turns, url_filter, warc
 from panelcast.llm.common import table
-from panelcast.llm.oracles import OP4_SQL, OP8_SQL, OP9_SQL
+from panelcast.llm.oracles import OP4_SQL, OP8_SQL, OP9_SQL, OP12_SQL
 
 def vocabulary(name: str) -> str:
     """Where the installed package of public tokenizers has a vocabulary."""
@@ -133,6 +133,69 @@ def op10_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_ids(bitpack.write_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2))
 
 
+def op11_rank_index_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), seed=42, rate=50, spm_rate=80)
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select(F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+OP11_SQL = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS x,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t
+  FROM documents),
+d AS (
+  SELECT doc_id, text, t, len(t) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (len(t) + 1) AS c1,
+         CAST('0x' || substr(x, 9, 8) AS BIGINT) % (len(t) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+cut AS (
+  SELECT *, array_to_string(list_slice(t, 1, least(c1, c2)), '') AS prefix,
+         array_to_string(list_slice(t, least(c1, c2) + 1, greatest(c1, c2)), '') AS middle,
+         array_to_string(list_slice(t, greatest(c1, c2) + 1, n), '') AS suffix
+  FROM d)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage to ``conversations``, as prepared rows."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    hurt = rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+                       F.when(kind != 0, text).alias("text"), F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"))
+    return turns.prepared(hurt, copies=F.col("copies"))
+
+
+def op12_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = turns.repair(damaged(table(spark, sf_dir, "conversations")))
+    texts = turns.digests(found.pieces).withColumnRenamed("conv", "__conv")
+    report = found.report.join(texts, F.col("conv").eqNullSafe(F.col("__conv")))
+    return report.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op13_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = mil.fit(docs, labels, trained=~held_out)
+    scored = mil.score(docs.select("doc_id", "text"), model)
+    remainder = F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 4
+    return scored.select(F.col("row.doc_id").alias("doc_id"), F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_ctw_scoring": op2_ctw_scoring,
@@ -144,6 +207,9 @@ QUERIES = {
     "op8_chosen_path_near_dedup": op8_chosen_path_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bit_packing": op10_bit_packing,
+    "op11_rank_index_fim": op11_rank_index_fim,
+    "op12_hirschberg_repair": op12_hirschberg_repair,
+    "op13_noisy_or_toxicity": op13_noisy_or_toxicity,
 }
 
 ORACLES = {
@@ -153,4 +219,6 @@ ORACLES = {
     "op7_warc_dictionary": OP7_SQL,
     "op8_chosen_path_near_dedup": OP8_SQL,
     "op9_decontamination": OP9_SQL,
+    "op11_rank_index_fim": OP11_SQL,
+    "op12_hirschberg_repair": OP12_SQL,
 }
