@@ -10,8 +10,9 @@ as 64-bit hashes; nothing else of a document is looked at. Fitting takes every l
 
 1. the labelled texts are joined to their labels and written once;
 2. tasks count, for hash buckets, in how many texts (of either label) they occur; buckets that part the
-   labels are counted again by exact hash, and the features whose counts lie more than ``LEAST_Z`` standard
-   deviations off make the model, at most ``FEATURES`` of them (its documented size);
+   labels are counted again by exact hash, and the features that part them make the model, at most ``FEATURES`` of
+   them (its documented size). Parting means: shares among toxic and other texts that differ by a factor
+   of ``LEAST_RATIO``, and counts more than ``LEAST_Z`` standard deviations off;
 3. the sentences are written with the features that are left, and ``PASSES`` passes sum the gradient over them.
 
 What reaches the driver is bounded by the model's size, whatever the tables hold.
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +42,10 @@ from panelcast.llm.common import chunks, mix, packed, small_batches, token_spans
 PREFIXES = (4, 5, 6)
 BUCKETS = 1 << 20
 SLICES = 16
-#: Features of fewer labelled texts, or fewer standard deviations off the toxic share, are not used.
-LEAST_TEXTS, LEAST_Z = 5, 4.5
+#: Features of fewer labelled texts, fewer standard deviations off the toxic share, or shares that are more alike, are not used.
+LEAST_TEXTS, LEAST_Z, LEAST_RATIO = 5, 4.5, 2.5
+#: Counts that a task holds before it hands them on.
+HELD_COUNTS = 300_000
 FEATURES = 50_000
 PASSES = 30
 RATE, SHRINK = 0.3, 0.02
@@ -205,20 +209,34 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(list(totals), pa.int32()), pa.array([v.tobytes() for v in totals.values()], pa.binary())], names=["slice", "counts"])
 
 
-def _apart(n: np.ndarray, bad: np.ndarray, share: float, least_texts: int) -> np.ndarray:
-    """Standard deviations between the toxic texts of each feature and the share of all; 0 for rare ones."""
-    z = (bad - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-12))
-    return np.where(n >= least_texts, z, 0.0)
+@dataclass(frozen=True)
+class _Parting:
+    """Which features part the labels, by the texts and the toxic texts that have them."""
 
+    texts: int
+    toxic: int
+    least_texts: int
+    least_z: float
+    least_ratio: float
 
-def _pick_buckets(share: float, least_texts: int, least_z: float):
+    def off(self, n: np.ndarray, bad: np.ndarray) -> np.ndarray:
+        """Standard deviations between a feature's toxic texts and the share of all; 0 where it does not part them."""
+        share, n, bad = self.toxic / self.texts, np.asarray(n, float), np.asarray(bad, float)
+        z = np.abs(bad - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-12))
+        return np.where((n >= self.least_texts) & (z >= self.least_z) & (np.abs(self.log_ratio(n, bad)) >= np.log(self.least_ratio)), z, 0.0)
+
+    def log_ratio(self, n: np.ndarray, bad: np.ndarray) -> np.ndarray:
+        return np.log((bad + 0.5) / (self.toxic + 1)) - np.log((n - bad + 0.5) / (self.texts - self.toxic + 1))
+
+
+def _pick_buckets(parting: _Parting):
     """The buckets of a slice that part the labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _add_counts(batches):
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 n, bad = np.frombuffer(blob, np.int64).reshape(2, -1)
-                found = np.flatnonzero(np.abs(_apart(n, bad, share, least_texts)) >= least_z) + k * (BUCKETS // SLICES)
+                found = np.flatnonzero(parting.off(n, bad)) + k * (BUCKETS // SLICES)
                 yield pa.record_batch([pa.array(found, pa.int64())], names=["bucket"])
 
     return run
@@ -229,14 +247,26 @@ def _count_exact(buckets: np.ndarray):
     wanted = np.zeros(BUCKETS, bool)
     wanted[buckets] = True
 
+    def added(parts: list[np.ndarray]) -> np.ndarray:
+        """Columns of hash, texts and toxic texts, each hash once."""
+        table = np.concatenate(parts, axis=1)
+        hashes, at = np.unique(table[0], return_inverse=True)
+        return np.stack([hashes, *(np.bincount(at, weights=row, minlength=len(hashes)).astype(np.int64) for row in table[1:])])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [np.zeros((3, 0), np.int64)], 0
         for texts, toxic in _blocks(batches):
             feature, owner = _text_features(bags(texts))
             inside = wanted[(feature % np.uint64(BUCKETS)).astype(np.int64)]
-            hashes, at = np.unique(feature[inside], return_inverse=True)
-            bad = np.bincount(at, weights=toxic[owner[inside]], minlength=len(hashes))
-            yield pa.record_batch([pa.array(hashes.astype(np.int64)), pa.array(np.bincount(at, minlength=len(hashes)).astype(np.int64)),
-                                   pa.array(bad.astype(np.int64))], names=["hash", "n", "bad"])
+            held.append(added([np.stack([feature[inside].view(np.int64), np.ones(int(inside.sum()), np.int64), toxic[owner[inside]].astype(np.int64)])]))
+            size += held[-1].shape[1]
+            if size > HELD_COUNTS:
+                held = [added(held)]
+                size = held[0].shape[1]
+                if size > HELD_COUNTS // 2:
+                    yield pa.record_batch([pa.array(row) for row in held[0]], names=["hash", "n", "bad"])
+                    held, size = [np.zeros((3, 0), np.int64)], 0
+        yield pa.record_batch([pa.array(row) for row in added(held)], names=["hash", "n", "bad"])
 
     return run
 
@@ -292,7 +322,7 @@ def _add_slopes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, trained: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        least_texts: int = LEAST_TEXTS, least_z: float = LEAST_Z, features: int = FEATURES, passes: int = PASSES) -> Model:
+        least_texts: int = LEAST_TEXTS, least_z: float = LEAST_Z, least_ratio: float = LEAST_RATIO, features: int = FEATURES, passes: int = PASSES) -> Model:
     """Fits the model to all labelled documents for which ``trained`` (a column over ``docs``; default all) holds."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -300,19 +330,24 @@ def fit(docs: DataFrame, labels: DataFrame, trained: Column | None = None, id_co
         .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     held = (docs if trained is None else docs.where(trained)).where(F.col(id_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")).alias("text"))
-    texts = written(held.join(told, held["id"] == told["__id"]).select("text", (F.col("toxic") != 0).alias("toxic")), "toxic-texts")
+    # a shuffle of both at every size: the labels may be as long as the documents
+    texts = written(held.join(told.hint("merge"), held["id"] == told["__id"]).select("text", (F.col("toxic") != 0).alias("toxic")), "toxic-texts")
     rows, toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0))).first()
     none = np.zeros(0, np.uint64)
     if not 0 < toxic < rows:
         return Model(none, np.zeros(0), 0.0, constant=toxic / rows if rows else 0.0)
-    share = toxic / rows
+    parting = _Parting(rows, toxic, least_texts, least_z, least_ratio)
 
     counted = texts.mapInArrow(_count_buckets, "slice int, counts binary").repartition(SLICES, "slice")
-    picked = counted.mapInArrow(_pick_buckets(share, least_texts, least_z), "bucket long").collect()  # BUCKETS at most
+    picked = counted.mapInArrow(_pick_buckets(parting), "bucket long").collect()  # BUCKETS at most
     exact = texts.mapInArrow(_count_exact(np.array([r.bucket for r in picked], np.int64)), "hash long, n long, bad long") \
         .groupBy("hash").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("n") >= least_texts)
-    off = F.abs(F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
-    best = exact.withColumn("off", off).where(F.col("off") >= least_z).orderBy(F.desc("off"), "hash").limit(features).collect()
+
+    @F.pandas_udf("double")
+    def offs(n: pd.Series, bad: pd.Series) -> pd.Series:
+        return pd.Series(parting.off(n, bad))
+
+    best = exact.withColumn("off", offs("n", "bad")).where(F.col("off") > 0).orderBy(F.desc("off"), "hash").limit(features).collect()
     known = np.array([r.hash for r in best], np.int64).astype(np.uint64)
     order = np.argsort(known)
     known = known[order]
@@ -322,7 +357,7 @@ def fit(docs: DataFrame, labels: DataFrame, trained: Column | None = None, id_co
     train = written(texts.mapInArrow(_train_rows(known, to_arrow_schema(train_as)), train_as), "toxic-bags")
     sentences = train.agg(F.sum("sentences")).first()[0]
     # start from the log ratios of the counts, and from a bias under which few sentences are toxic
-    weight = np.log((bad + 0.5) / (toxic + 1)) - np.log((n - bad + 0.5) / (rows - toxic + 1))
+    weight = parting.log_ratio(n, bad)
     bias = float(np.log(max(0.1 * toxic, 1.0) / sentences))
     mean, spread = np.zeros(len(weight) + 1), np.zeros(len(weight) + 1)
     for step in range(1, passes + 1):
