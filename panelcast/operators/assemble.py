@@ -6,30 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.features import panel_columns
-from panelcast.operators.external import add_economic_changes
+from panelcast.operators.external import economic_changes
 from panelcast.operators.static import add_static_shares
 
 MONTH = "date"
 
 
-def entity_state_years(internal: DataFrame) -> DataFrame:
-    return internal.select("FIPS", "State", F.year(MONTH).alias("Year")).distinct()
-
-
 def assemble(internal: DataFrame, weather: DataFrame, acreage: DataFrame, econ: DataFrame,
-             names: DataFrame, cutoff, monthly: DataFrame | None = None) -> DataFrame:
+             names: DataFrame, months: DataFrame, cutoff, monthly: DataFrame | None = None) -> DataFrame:
     """Left-join every external table onto the internal panel, add static shares and names.
 
     ``monthly`` is the dense monthly panel that ``internal`` was made of: the shares are
-    taken from it, not from the joined frame. ``econ`` has one row per month (bounded by the calendar) and is broadcast;
-    the other tables are per entity and join on the panel's entity partitioning.
+    taken from it, not from the joined frame. ``months`` lists the months of each family: the series of these have one row per
+    family and month (bounded by the calendar) and are broadcast; the other tables are per entity and join on the panel's entity partitioning.
     """
-    econ_cols = [c for c in econ.columns if c != MONTH]
     d = internal.join(weather, ["FIPS", MONTH], "left")
     d = d.withColumn("Year", F.year(MONTH))
     d = d.join(acreage.drop("State"), ["FIPS", "Year"], "left")
-    d = d.join(F.broadcast(econ), MONTH, "left")
-    d = add_economic_changes(d, econ_cols)
+    d = d.join(F.broadcast(economic_changes(econ, months)), ["Family", MONTH], "left")
     d = add_static_shares(d, cutoff, monthly=monthly)
     d = d.join(names, "FIPS", "left")
     return d.select(*panel_columns(d.columns))

@@ -6,7 +6,7 @@ plug in through the same long (keys, Feature, SHAP_Value) shape.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.features import (outside_features,
@@ -17,62 +17,76 @@ TOP_K = 5
 TOP_VOLUME = 30
 
 
-def contributions_long(x: DataFrame, keys: list[str], models: dict[str, LinearModel],
-                       features: list[str]) -> DataFrame:
-    """One row per (keys, role, feature): ``SHAP_Value = coef * coalesce(x, 0)``.
+def with_roles(x: DataFrame, models: dict[str, LinearModel]) -> DataFrame:
+    """Rows fanned out to every role, with its model's name."""
+    roles = F.array(*[F.struct(F.lit(r).alias("ModelRole"), F.lit(m.name).alias("ModelName")) for r, m in models.items()])
+    return x.select("*", F.explode(roles).alias("_r")).select(*x.columns, "_r.ModelRole", "_r.ModelName")
 
-    Features the model has no coefficient for contribute 0 and are kept, so
-    rankings cover the whole feature list. Roles fan out with ``explode``.
+
+def contributions(x: DataFrame, keys: list[str], models: dict[str, LinearModel], features: list[str]) -> DataFrame:
+    """One row per (keys, role) with the value ``coef * coalesce(x, 0)`` of every feature, in feature order.
+
+    ``x`` has a row per (keys, ``ModelRole``). Features the model has no coefficient for contribute 0.
     """
-    per_role = []
+    def values(m: LinearModel) -> Column:
+        return F.array(*[F.lit(float(m.coefs.get(f, 0.0))) * F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
+
+    vals = None
     for role, m in models.items():
-        vals = [F.struct(F.lit(f).alias("Feature"),
-                         (F.lit(float(m.coefs.get(f, 0.0))) * F.coalesce(F.col(f), F.lit(0.0)))
-                         .alias("v")) for f in features]
-        per_role.append(F.struct(F.lit(role).alias("ModelRole"), F.lit(m.name).alias("ModelName"),
-                                 F.array(*vals).alias("vals")))
-    r = x.select(*keys, F.explode(F.array(*per_role)).alias("_r"))
-    return r.select(*keys, "_r.ModelRole", "_r.ModelName",
-                    F.explode("_r.vals").alias("_c")).select(
-        *keys, "ModelRole", "ModelName", F.col("_c.Feature").alias("Feature"),
-        F.col("_c.v").alias("SHAP_Value"))
+        at = F.col("ModelRole") == role
+        vals = F.when(at, values(m)) if vals is None else vals.when(at, values(m))
+    return x.select(*keys, "ModelRole", "ModelName", vals.alias("vals"))
+
+
+def contributions_long(contributed: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """One row per (keys, role, feature)."""
+    names = F.array(*[F.lit(f) for f in features])
+    return contributed.select(*keys, "ModelRole", "ModelName", F.explode(F.arrays_zip(names.alias("Feature"), F.col("vals").alias("v"))).alias("_c")) \
+        .select(*keys, "ModelRole", "ModelName", F.col("_c.Feature").alias("Feature"), F.col("_c.v").alias("SHAP_Value"))
 
 
-def rank_external(long: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
-    """External features ranked by |value| desc (ties: feature order) + external share.
+def ranked_arrays(contributed: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """External features as an array by |value| descending (ties: feature order), and the external share.
 
     ``External_Factors_Share_Pct = 100 * sum|external| / sum|all|`` rounded to
-    one decimal (0 when all are 0); values are rounded to 2 after ranking.
-    Windows are partitioned by (keys, role): one entity's features each.
+    one decimal (0 when all are 0); values are rounded to 2 after ranking. An entity's
+    features stay in its row: no shuffle.
     """
-    ext = outside_features(features)
-    grp = [*keys, "ModelRole"]
-    wall = Window.partitionBy(*grp)
-    is_ext = F.col("Feature").isin(ext)
-    a = F.abs(F.col("SHAP_Value"))
-    tot = F.sum(a).over(wall)
-    ext_tot = F.sum(F.when(is_ext, a).otherwise(F.lit(0.0))).over(wall)
-    share = F.when(tot > 0, F.round(ext_tot / tot * 100, 1)).otherwise(F.lit(0.0))
-    scored = long.withColumn("External_Factors_Share_Pct", share).filter(is_ext)
+    outside = set(outside_features(features))
+    at = [i for i, f in enumerate(features) if f in outside]
+    vals = F.col("vals")
     # rank on |value| rounded to 9 dp: float noise (1e-16 vs 0) must not reorder ties
-    w = Window.partitionBy(*grp).orderBy(F.round(a, 9).desc(), F.col("Feature").asc())
-    return scored.withColumn("Rank", F.row_number().over(w)) \
-        .withColumn("SHAP_Value", F.round(F.col("SHAP_Value"), 2))
+    entries = F.array(*[F.struct((F.lit(0.0) - F.round(F.abs(vals[i]), 9)).alias("k"), F.lit(features[i]).alias("Feature"),
+                                 vals[i].alias("v")) for i in at]) if at else F.array().cast("array<struct<k:double,Feature:string,v:double>>")
+
+    def total(a: Column) -> Column:
+        return F.aggregate(a, F.lit(0.0), lambda acc, v: acc + F.abs(v))
+
+    held = contributed.select(*keys, "ModelRole", "ModelName", total(vals).alias("_tot"), F.sort_array(entries).alias("_e"))
+    outer = F.aggregate("_e", F.lit(0.0), lambda acc, e: acc + F.abs(e["v"]))
+    share = F.when(F.col("_tot") > 0, F.round(outer / F.col("_tot") * 100, 1)).otherwise(F.lit(0.0))
+    ranked = F.transform("_e", lambda e: F.struct(e["Feature"].alias("Feature"), F.round(e["v"], 2).alias("SHAP_Value")))
+    return held.select(*keys, "ModelRole", "ModelName", share.alias("External_Factors_Share_Pct"), ranked.alias("ranked"))
+
+
+def rank_external(arrays: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per external feature, with its rank."""
+    return arrays.select(*keys, "ModelRole", "ModelName", "External_Factors_Share_Pct", F.posexplode("ranked").alias("_i", "_e")).select(
+        *keys, "ModelRole", "ModelName", F.col("_e.Feature").alias("Feature"), F.col("_e.SHAP_Value").alias("SHAP_Value"),
+        "External_Factors_Share_Pct", (F.col("_i") + 1).alias("Rank"))
 
 
-def top_k_wide(ranked: DataFrame, keys: list[str], k: int = TOP_K) -> DataFrame:
-    """``Top{i}_Feature`` / ``Top{i}_SHAP`` columns for ranks 1..k (pivot by rank)."""
-    grp = [*keys, "ModelRole", "ModelName", "External_Factors_Share_Pct"]
-    top = ranked.filter(F.col("Rank") <= k)
-    aggs = []
+def top_k_wide(arrays: DataFrame, keys: list[str], k: int = TOP_K) -> DataFrame:
+    """``Top{i}_Feature`` / ``Top{i}_SHAP`` columns for ranks 1..k."""
+    cells = []
     for i in range(1, k + 1):
-        aggs.append(F.max(F.when(F.col("Rank") == i, F.col("Feature"))).alias(f"Top{i}_Feature"))
-        aggs.append(F.max(F.when(F.col("Rank") == i, F.col("SHAP_Value"))).alias(f"Top{i}_SHAP"))
-    return top.groupBy(*grp).agg(*aggs)
+        one = F.try_element_at("ranked", F.lit(i))
+        cells += [one["Feature"].alias(f"Top{i}_Feature"), one["SHAP_Value"].alias(f"Top{i}_SHAP")]
+    return arrays.select(*keys, "ModelRole", "ModelName", "External_Factors_Share_Pct", *cells)
 
 
 def county_importance(ranked: DataFrame, names: DataFrame) -> DataFrame:
-    """County-level long importance rows (external features only)."""
+    """County-level long importance rows (external features only) from :func:`rank_external`."""
     r = ranked.join(names, ["Family", "FIPS"], "left")
     return r.select(F.lit("County").alias("Level"), "FIPS", "County_Name", "State", "Family",
                     F.initcap("ModelRole").alias("ModelRole"), "ModelName", "Feature",
@@ -93,32 +107,35 @@ def top_volume_entities(history: DataFrame, n: int = TOP_VOLUME) -> DataFrame:
 
 def global_importance_linear(sample: DataFrame, models: dict[str, LinearModel],
                              features: list[str]) -> DataFrame:
-    """National importance of a linear model: ``|coef * mean(x)|`` over a sample (4 dp).
+    """National importance of linear models: ``|coef * mean(x)|`` over a sample (4 dp).
 
-    ``sample`` holds feature rows (missing -> 0) of the top-volume entities.
+    ``sample`` holds feature rows (missing -> 0) of the top-volume entities, per ``ModelRole``.
     """
-    means = sample.groupBy("Family").agg(*[F.avg(F.coalesce(F.col(f), F.lit(0.0))).alias(f)
-                                           for f in features])
+    means = sample.groupBy("Family", "ModelRole", "ModelName").agg(
+        *[F.avg(F.coalesce(F.col(f).cast("double"), F.lit(0.0))).alias(f) for f in features])
+    each = contributions(means, ["Family"], models, features)
+    return national_rows(each.withColumn("vals", F.transform("vals", lambda v: F.round(F.abs(v), 4))), features)
+
+
+def national_rows(each: DataFrame, features: list[str]) -> DataFrame:
+    """Rows of the importance table from one array of values per (Family, role)."""
     disp = outside_features(features, derived=False)
-    rows = []
-    for role, m in models.items():
-        vals = [F.struct(F.lit(f).alias("Feature"),
-                         F.round(F.abs(F.lit(float(m.coefs.get(f, 0.0))) * F.col(f)), 4)
-                         .alias("SHAP_Value"), F.lit(f in disp).alias("Is_External"))
-                for f in features]
-        rows.append(F.struct(F.lit(role).alias("ModelRole"), F.lit(m.name).alias("ModelName"),
-                             F.array(*vals).alias("vals")))
-    r = means.select("Family", F.explode(F.array(*rows)).alias("_r")).select(
-        "Family", "_r.ModelRole", "_r.ModelName", F.explode("_r.vals").alias("_c"))
-    return r.select(F.lit("National").alias("Level"), F.lit(None).cast("string").alias("FIPS"),
-                    F.lit(None).cast("string").alias("County_Name"),
-                    F.lit(None).cast("string").alias("State"), "Family",
-                    F.initcap("ModelRole").alias("ModelRole"), "ModelName",
-                    F.col("_c.Feature").alias("Feature"),
-                    friendly_name_expr(F.col("_c.Feature")).alias("Friendly_Name"),
-                    F.col("_c.SHAP_Value").alias("SHAP_Value"),
-                    F.col("_c.Is_External").alias("Is_External"),
-                    F.lit(None).cast("int").alias("Rank"))
+    long = contributions_long(each, ["Family"], features)
+    none = [F.lit(None).cast("string").alias(c) for c in ("FIPS", "County_Name", "State")]
+    return long.select(F.lit("National").alias("Level"), *none, "Family", F.initcap("ModelRole").alias("ModelRole"), "ModelName", "Feature",
+                       friendly_name_expr(F.col("Feature")).alias("Friendly_Name"), "SHAP_Value",
+                       F.col("Feature").isin(disp).alias("Is_External"), F.lit(None).cast("int").alias("Rank"))
+
+
+def global_importance_absolute(contributed: DataFrame, features: list[str]) -> DataFrame:
+    """National importance of tree models: mean |value| per feature over the rows given (4 dp).
+
+    The arrays are added up element by element with partial sums, never exploded.
+    """
+    sums = contributed.groupBy("Family", "ModelRole", "ModelName").agg(
+        *[F.avg(F.abs(F.col("vals")[i])).alias(f"_{i}") for i in range(len(features))])
+    each = sums.select("Family", "ModelRole", "ModelName", F.array(*[F.round(f"_{i}", 4) for i in range(len(features))]).alias("vals"))
+    return national_rows(each, features)
 
 
 def state_importance(importance: DataFrame, forecast: DataFrame, weight_month) -> DataFrame:
@@ -142,6 +159,7 @@ def state_importance(importance: DataFrame, forecast: DataFrame, weight_month) -
                     F.lit(None).cast("int").alias("Rank"))
 
 
+# Columns of the importance table, in order.
 IMPORTANCE_COLUMNS = ["Level", "FIPS", "County_Name", "State", "Family", "ModelRole", "ModelName",
                       "Feature", "Friendly_Name", "SHAP_Value", "Is_External", "Rank"]
 

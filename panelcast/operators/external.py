@@ -112,11 +112,15 @@ def economic(macro: DataFrame, prices: DataFrame) -> DataFrame:
     return macro.join(prices, MONTH, "full")
 
 
-def add_economic_changes(df: DataFrame, cols: list[str], *, family: str = "Family") -> DataFrame:
-    """``{c}_lag1`` and ``{c}_chg3m`` per entity inside the panel (row based)."""
-    w = Window.partitionBy(family, ENTITY).orderBy(MONTH)
+def economic_changes(econ: DataFrame, months: DataFrame, *, family: str = "Family") -> DataFrame:
+    """The series of every month of a family, with ``{c}_lag1`` and ``{c}_chg3m`` inside the family's months (row based).
+
+    A series has one value a month, so its changes are worked out once a family, not once an entity.
+    """
+    cols = [c for c in econ.columns if c != MONTH]
+    w = Window.partitionBy(family).orderBy(MONTH)
     out = {}
     for c in cols:
         out[f"{c}_lag1"] = F.lag(F.col(c), 1).over(w)
         out[f"{c}_chg3m"] = F.col(c) - F.lag(F.col(c), 3).over(w)
-    return df.withColumns(out)
+    return months.select(family, MONTH).join(econ, MONTH, "left").withColumns(out)

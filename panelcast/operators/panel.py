@@ -75,6 +75,12 @@ def monthly_panel(sales: DataFrame, *, measures: dict[str, str] | None = None,
                        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in measures])
 
 
+def family_months(sales: DataFrame, *, family: str = FAMILY, month: str = MONTH) -> DataFrame:
+    """Every month of each family's span (bounded by the calendar)."""
+    span = sales.groupBy(family).agg(F.min(month).alias("_d0"), F.max(month).alias("_d1"))
+    return span.select(family, F.explode(F.sequence("_d0", "_d1", F.expr("INTERVAL 1 MONTH"))).alias(month))
+
+
 def entity_window(family: str = FAMILY, entity: str = ENTITY, month: str = MONTH):
     return Window.partitionBy(family, entity).orderBy(month)
 

@@ -204,7 +204,7 @@ def full_panel(spark, sf, cutoff=None):
     def build():
         inner = internal(spark, sf, s)
         return materialize(A.assemble(inner, weather(spark, sf), acreage(spark, sf, s),
-                                      econ(spark, sf), names(spark, sf), cutoff,
+                                      econ(spark, sf), names(spark, sf), P.family_months(s), cutoff,
                                       monthly=P.monthly_panel(s, combine_first=False)))
     return stage(spark, sf, f"panel@{cutoff}", build)
 
@@ -390,6 +390,7 @@ class ForecastInputs:
 
     def __init__(self, spark, sf):
         s = sales(spark, sf)
+        self._arrays = None
         self.tl = tl = stage(spark, sf, "timeline", lambda: timeline(s))
         self.panel = fp = full_panel(spark, sf, tl.train_cutoff)
         self.features = feats = model_features(fp.columns)
@@ -411,68 +412,74 @@ class ForecastInputs:
     def rows(self, targets):
         return FC.serving_rows(targets, self.ext, self.static, self.national, self.bounds)
 
-    def forecast(self, models=None):
-        targets = FC.horizon_targets(self.state, self.tl.forecast_end)
-        fc = FC.forecast_linear(self.state, self.rows(targets), models or model_spec(),
-                                start=self.tl.forecast_start, end=self.tl.forecast_end)
+    def named(self, fc: DataFrame) -> DataFrame:
+        """Forecast rows in the chunk's columns."""
         names = self.static.select("Family", "FIPS", "County_Name", "State")
         return fc.join(names, ["Family", "FIPS"], "left").select(
             "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
             F.initcap("ModelRole").alias("ModelRole"), "ModelName")
 
-    # ---- attribution at the first forecast month
-    def first_month_x(self):
-        """Full feature rows at the first forecast month (history not yet extended)."""
-        start = F.lit(self.tl.forecast_start).cast("date")
-        tgt = self.state.select("Family", "FIPS", F.add_months("last_date", 1).alias("date")) \
-            .filter(F.col("date") == start)
-        rec = FC.recursive_features(F.col("h"), F.col("last_returns"))
-        hist_feats = self.state.select("Family", "FIPS", *[c.alias(f) for f, c in rec.items()])
-        return self.rows(tgt).join(hist_feats, ["Family", "FIPS"])
+    def forecast(self):
+        targets = FC.horizon_targets(self.state, self.tl.forecast_end)
+        return self.named(FC.forecast_linear(self.state, self.rows(targets), model_spec(),
+                                             start=self.tl.forecast_start, end=self.tl.forecast_end))
 
-    def first_month_long(self):
-        """Contributions of every entity at the first forecast month.
+    # ---- attribution at the first forecast month
+    def first_month_x(self, models=None):
+        """Feature rows of every entity and role at the first forecast month (history not yet extended).
 
-        An entity whose history ends earlier is attributed from its recursion state: for each
+        An entity whose history ends earlier is taken from its recursion state: for each
         role, its history goes on with that role's predictions up to the month before.
         """
-        keys = ["Family", "FIPS", "date"]
-        long = AT.contributions_long(self.first_month_x(), keys, model_spec(), self.features)
+        keys = ["Family", "FIPS"]
         start = F.lit(self.tl.forecast_start).cast("date")
-        late = self.state.filter(F.add_months("last_date", 1) < start)
-        if late.isEmpty():
-            return long
-        for role, m in model_spec().items():
-            folded = FC.fold_linear(late, self.rows(FC.horizon_targets(late, self.tl.last)), {role: m})
-            rec = FC.recursive_features(F.concat("h", "preds"), F.lit(0.0))
-            x = self.rows(late.select("Family", "FIPS", start.alias("date"))).join(
-                folded.select("Family", "FIPS", *[c.alias(f) for f, c in rec.items()]), ["Family", "FIPS"])
-            long = long.unionByName(AT.contributions_long(x, keys, {role: m}, self.features))
-        return long
+        due = F.add_months("last_date", 1)
+        rec = FC.recursive_features(F.col("h"), F.col("last_returns"))
+        now = self.state.filter(due == start).select(*keys, start.alias("date"), *[c.alias(f) for f, c in rec.items()])
+        rows = models.with_roles(now) if models else AT.with_roles(now, model_spec())
+        # entities that end with the panel have no months to fold: only late ones cost a fold
+        late = self.state.filter(due < start)
+        rec = FC.recursive_features(F.concat("h", "preds"), F.lit(0.0))
+        months = self.rows(FC.horizon_targets(late, self.tl.last))
+        folded = models.fold(late, months) if models else FC.fold_linear(late, months, model_spec())
+        rows = rows.unionByName(folded.select(*keys, start.alias("date"), *[c.alias(f) for f, c in rec.items()], "ModelRole", "ModelName"))
+        fixed = self.rows(self.state.filter(due <= start).select(*keys, start.alias("date")))
+        return rows.join(fixed, [*keys, "date"])
+
+    def contributed(self):
+        return AT.contributions(self.first_month_x(), ["Family", "FIPS", "date"], model_spec(), self.features)
+
+    def arrays(self):
+        """Ranked drivers of every entity and role, written once: chunk and importance tables read them."""
+        if self._arrays is None:
+            self._arrays = materialize(AT.ranked_arrays(self.contributed(), ["Family", "FIPS", "date"], self.features))
+        return self._arrays
 
     def ranked(self):
-        return AT.rank_external(self.first_month_long(), ["Family", "FIPS", "date"], self.features)
+        return AT.rank_external(self.arrays(), ["Family", "FIPS", "date"])
 
-    def chunk(self):
+    def with_drivers(self, fc: DataFrame, arrays: DataFrame) -> DataFrame:
         """Forecast chunk: all months; the first one carries share and Top-5 drivers."""
-        fc = self.forecast()
-        wide = AT.top_k_wide(self.ranked(), ["Family", "FIPS", "date"]).withColumn(
-            "ModelRole", F.initcap("ModelRole")).drop("ModelName")
+        wide = AT.top_k_wide(arrays, ["Family", "FIPS", "date"]).withColumn("ModelRole", F.initcap("ModelRole")).drop("ModelName")
         j = fc.join(wide, ["Family", "FIPS", "date", "ModelRole"], "left")
         return j.withColumns({
             "External_Factors_Share_Pct": F.coalesce("External_Factors_Share_Pct", F.lit(0.0)),
             **{f"Top{i}_Feature": F.coalesce(f"Top{i}_Feature", F.lit("")) for i in range(1, 6)},
             **{f"Top{i}_SHAP": F.coalesce(f"Top{i}_SHAP", F.lit(0.0)) for i in range(1, 6)}})
 
+    def chunk(self):
+        return self.with_drivers(self.forecast(), self.arrays())
+
     def county_importance(self):
         names = self.static.select("Family", "FIPS", "County_Name", "State")
         return AT.county_importance(self.ranked(), names)
 
+    def of_top_volume(self, df: DataFrame) -> DataFrame:
+        """The rows of the top-volume entities (top-n ids per family: bounded by n x families)."""
+        return df.join(F.broadcast(AT.top_volume_entities(self.history)), ["Family", "FIPS"], "left_semi")
+
     def national_importance(self):
-        top = AT.top_volume_entities(self.history)
-        # top-n ids per family: bounded by n x families
-        sample = self.first_month_x().join(F.broadcast(top), ["Family", "FIPS"], "left_semi")
-        return AT.global_importance_linear(sample, model_spec(), self.features)
+        return AT.global_importance_linear(self.of_top_volume(self.first_month_x()), model_spec(), self.features)
 
 
 def forecast_inputs(spark, sf) -> ForecastInputs:
@@ -628,7 +635,7 @@ def q_linear_attribution(spark, sf):
 @register("top5_drivers", fin(sql_with("wide", "SELECT * FROM wide"), doubles=["External_Factors_Share_Pct"] + _TOP_D))
 def q_top5_drivers(spark, sf):
     fi = forecast_inputs(spark, sf)
-    return rounded(AT.top_k_wide(fi.ranked(), ["Family", "FIPS", "date"]))
+    return rounded(AT.top_k_wide(fi.arrays(), ["Family", "FIPS", "date"]))
 
 
 @register("importance_global", fin(sql_with("imp_national", "SELECT * FROM imp_national"), doubles=["SHAP_Value"], dates=()))
@@ -892,20 +899,6 @@ def q_scenario_what_if(spark, sf):
 
 from panelcast.operators import models as MD  # noqa: E402
 
-# Fixed values: (family, role) -> learner, champions boosted trees, challengers ridge.
-LEARNERS = {("F", "champion"): "boosted_a", ("F", "challenger"): "ridge",
-            ("O", "champion"): "boosted_b", ("O", "challenger"): "ridge"}
-
-
-def learners(fi: ForecastInputs) -> list[tuple[str, str, str]]:
-    """(family, role, learner) for every family of the panel; a family without learners is an error."""
-    families = sorted(r[0] for r in fi.static.select("Family").distinct().collect())
-    unknown = [f for f in families if not any(fam == f for fam, _ in LEARNERS)]
-    if unknown:
-        raise ValueError(f"no learners are named for families {unknown}")
-    return [(fam, role, learner) for (fam, role), learner in sorted(LEARNERS.items()) if fam in families]
-
-
 def fitted_ridge(spark, sf) -> dict[str, "MD.LinearModel"]:
     """Ridge per family, fitted on the training window (one k x k solve each)."""
     def build():
@@ -955,125 +948,124 @@ def q_ridge_forecast(spark, sf):
     return rounded(out)
 
 
-@register("gbt_holdout")
-def q_gbt_holdout(spark, sf):
-    """Boosted-tree champions per family: fit on train, score the holdout, metrics."""
-    fi = forecast_inputs(spark, sf)
-    train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
-    parts = []
-    for fam, role, learner in learners(fi):
-        if learner == "ridge":
-            continue
-        params = MD.BOOSTED_A if learner == "boosted_a" else MD.BOOSTED_B
-        model = MD.fit_gbt(train.filter(F.col("Family") == fam), fi.features, params)
-        p = MD.predict_gbt(model, val.filter(F.col("Family") == fam), fi.features)
-        parts.append(p.select("FIPS", "County_Name", "State", "date",
-                              F.col("Sales_QTY").alias("Actual_QTY"), "Predicted_QTY", "Family",
-                              F.lit(role).alias("ModelRole"), F.lit(f"GBT-{learner}").alias("ModelName")))
-    preds = parts[0]
-    for p_ in parts[1:]:
-        preds = preds.unionByName(p_)
-    return rounded(M.national_metrics(preds))
+# ---------------------------------------------------------------- stage 3b: fitted models served
 
+from panelcast.operators.bundles import load_bundles, write_bundles  # noqa: E402
+from panelcast.operators.served import ServedModels  # noqa: E402
+from panelcast.session import shared_path  # noqa: E402
 
-# ---------------------------------------------------------------- stage 3b: tree champions served
 
-from panelcast.operators import trees as TR  # noqa: E402
+def families_of(fi: ForecastInputs) -> list[str]:
+    return sorted(r[0] for r in fi.static.select("Family").distinct().collect())
 
 
-def fitted_champions(spark, sf) -> dict:
-    """Boosted-tree champions refit on the full panel per family (M7), persisted (M12).
+def fitted(spark, sf, *roles: str, refit: bool = True) -> ServedModels:
+    """The fitted models of the given roles (default: all), read back from their bundles.
 
-    Returns (family, role) -> (name, loaded pipeline, leaf table). The leaf
-    table is read back from the persisted node table; its size is bounded by
-    the tree count and depth.
+    With ``refit`` they are fitted to all months (what is served), else to the training months. Models of
+    one call grow in the same passes over the data; each set is fitted once per application.
     """
+    roles = roles or ("champion", "challenger")
+
     def build():
         fi = forecast_inputs(spark, sf)
-        out = {}
-        for fam, role, learner in learners(fi):
-            if learner == "ridge":
-                continue
-            params = MD.BOOSTED_A if learner == "boosted_a" else MD.BOOSTED_B
-            path = TR.model_path(spark, f"{fam}_{role}")
-            TR.save_model(MD.fit_gbt(fi.panel.filter(F.col("Family") == fam), fi.features, params),
-                          path)
-            model = TR.load_model(path, role)
-            nodes = TR.node_table(spark, TR.booster_of(model), path + "_nodes")
-            leaves = TR.leaf_table(nodes, TR.booster_of(model).treeWeights, len(fi.features))
-            out[(fam, role)] = (f"GBT-{learner}", model, leaves)
-        return out
-    return stage(spark, sf, "champions", build)
-
-
-def tree_attribution_long(spark, sf, rows):
+        learners = MD.named_learners(families_of(fi), roles)
+        train, _ = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+        cutoff = fi.tl.last if refit else fi.tl.train_cutoff
+        models = MD.fit_all(fi.panel if refit else train, fi.features, learners)
+        root = write_bundles(spark, models, shared_path(spark, "bundles"), cutoff)
+        return load_bundles(spark, root, list(learners))
+    return stage(spark, sf, f"fitted-{'-'.join(roles)}-{refit}", build)
+
+
+def fitted_predictions(spark, sf, *roles: str) -> DataFrame:
+    """Holdout predictions of the models fitted to the training months."""
+    fi = forecast_inputs(spark, sf)
+    _, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+    models = fitted(spark, sf, *roles, refit=False)
+    raw = models.predict(models.with_roles(val))
+    return raw.select("FIPS", "County_Name", "State", "date", F.col("Sales_QTY").alias("Actual_QTY"),
+                      F.greatest("raw", F.lit(0.0)).alias("Predicted_QTY"), "Family", "ModelRole", "ModelName")
+
+
+@register("gbt_holdout")
+def q_gbt_holdout(spark, sf):
+    """Boosted-tree champions of all families, fitted to the training months: metrics of their holdout."""
+    return rounded(M.national_metrics(fitted_predictions(spark, sf, "champion")))
+
+
+@register("fitted_holdout")
+def q_fitted_holdout(spark, sf):
+    """All four fitted models: evaluation records of the holdout, with the quality gate."""
     fi = forecast_inputs(spark, sf)
-    tables = {k: (name, leaves) for k, (name, _, leaves) in fitted_champions(spark, sf).items()}
-    return TR.attribute_trees(rows, ["Family", "FIPS", "date"], tables, fi.features)
+    train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
+    met = M.quality_gate(M.national_metrics(fitted_predictions(spark, sf)))
+    return rounded(M.evaluation_records(met, train, val, cutoff=fi.tl.train_cutoff, val_start=fi.tl.val_start, val_end=fi.tl.val_end))
 
 
-def tree_forecast(spark, sf) -> DataFrame:
-    """24-month recursive forecast of the tree champions, materialised once per application."""
+def fitted_forecast(spark, sf, *roles: str) -> DataFrame:
+    """24-month recursive forecast of the refitted models, written once per application."""
     def build():
         fi = forecast_inputs(spark, sf)
-        rows = fi.rows(FC.horizon_targets(fi.state, fi.tl.forecast_end))
-        out = None
-        for (fam, role), (name, model, _) in fitted_champions(spark, sf).items():
-            fc = TR.forecast_trees(fi.state.filter(F.col("Family") == fam),
-                                   rows.filter(F.col("Family") == fam), model, fi.features,
-                                   role=role, name=name, start=fi.tl.forecast_start,
-                                   end=fi.tl.forecast_end)
-            out = fc if out is None else out.unionByName(fc)
-        names = fi.static.select("Family", "FIPS", "County_Name", "State")
-        return materialize(out.join(names, ["Family", "FIPS"], "left").select(
-            "FIPS", "County_Name", "State", "date", "Predicted_QTY", "Family",
-            F.initcap("ModelRole").alias("ModelRole"), "ModelName"))
-    return stage(spark, sf, "tree_forecast", build)
+        fc = fitted(spark, sf, *roles).forecast(fi.state, fi.rows(FC.horizon_targets(fi.state, fi.tl.forecast_end)),
+                                                start=fi.tl.forecast_start, end=fi.tl.forecast_end)
+        return materialize(fi.named(fc))
+    return stage(spark, sf, f"fitted-forecast-{'-'.join(roles)}", build)
 
 
-@register("gbt_forecast")
-def q_gbt_forecast(spark, sf):
-    """24-month recursive forecast of the tree champions (one transform per month)."""
-    return rounded(tree_forecast(spark, sf))
+def fitted_arrays(spark, sf, *roles: str) -> DataFrame:
+    """Contributions of the refitted models for every entity and role at the first forecast month, written once."""
+    def build():
+        fi, models = forecast_inputs(spark, sf), fitted(spark, sf, *roles)
+        return materialize(models.contribute(fi.first_month_x(models), ["Family", "FIPS", "date"]))
+    return stage(spark, sf, f"fitted-arrays-{'-'.join(roles)}", build)
 
 
-def gbt_chunk(spark, sf):
-    """Tree-champion forecast chunk: all months; the first carries share and Top-5 drivers."""
+def fitted_ranked(spark, sf, *roles: str) -> DataFrame:
     fi = forecast_inputs(spark, sf)
-    fc = tree_forecast(spark, sf)
-    long = tree_attribution_long(spark, sf, fi.first_month_x())
-    ranked = AT.rank_external(long, ["Family", "FIPS", "date"], fi.features)
-    wide = AT.top_k_wide(ranked, ["Family", "FIPS", "date"]).withColumn(
-        "ModelRole", F.initcap("ModelRole")).drop("ModelName")
-    j = fc.join(wide, ["Family", "FIPS", "date", "ModelRole"], "left")
-    return j.withColumns({
-        "External_Factors_Share_Pct": F.coalesce("External_Factors_Share_Pct", F.lit(0.0)),
-        **{f"Top{i}_Feature": F.coalesce(f"Top{i}_Feature", F.lit("")) for i in range(1, 6)},
-        **{f"Top{i}_SHAP": F.coalesce(f"Top{i}_SHAP", F.lit(0.0)) for i in range(1, 6)}})
+    return AT.ranked_arrays(fitted_arrays(spark, sf, *roles), ["Family", "FIPS", "date"], fi.features)
+
+
+def fitted_chunk(spark, sf, *roles: str) -> DataFrame:
+    """Forecast chunk of the fitted models: all months; the first carries share and Top-5 drivers."""
+    return forecast_inputs(spark, sf).with_drivers(fitted_forecast(spark, sf, *roles), fitted_ranked(spark, sf, *roles))
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf):
+    """24-month recursive forecast of the tree champions: all months of an entity in one task."""
+    return rounded(fitted_forecast(spark, sf, "champion"))
 
 
 @register("gbt_forecast_chunk")
 def q_gbt_forecast_chunk(spark, sf):
-    return rounded(gbt_chunk(spark, sf))
+    return rounded(fitted_chunk(spark, sf, "champion"))
 
 
 @register("gbt_attribution")
 def q_gbt_attribution(spark, sf):
     """Exact tree attribution at the first forecast month: external drivers ranked + share."""
-    fi = forecast_inputs(spark, sf)
-    long = tree_attribution_long(spark, sf, fi.first_month_x())
-    ranked = AT.rank_external(long, ["Family", "FIPS", "date"], fi.features)
-    return rounded(ranked.drop("date"))
+    return rounded(AT.rank_external(fitted_ranked(spark, sf, "champion"), ["Family", "FIPS", "date"]).drop("date"))
 
 
 @register("gbt_importance_national")
 def q_gbt_importance_national(spark, sf):
-    """Mean |attribution| of the tree champions over the top-volume entities' rows."""
+    """Mean |attribution| of the tree champions over the top-volume entities, with labels and external flags."""
     fi = forecast_inputs(spark, sf)
-    top = AT.top_volume_entities(fi.history)
-    # top-n ids per family: bounded by n x families
-    sample = fi.first_month_x().join(F.broadcast(top), ["Family", "FIPS"], "left_semi")
-    return rounded(TR.global_importance_trees(tree_attribution_long(spark, sf, sample)))
+    sample = fi.of_top_volume(fitted_arrays(spark, sf, "champion"))
+    return rounded(AT.global_importance_absolute(sample, fi.features).drop("Rank"))
+
+
+@register("fitted_importance_levels")
+def q_fitted_importance_levels(spark, sf):
+    """National, state and county importance of all four fitted models in one table."""
+    fi, models = forecast_inputs(spark, sf), fitted(spark, sf)
+    arrays, chunk = fitted_arrays(spark, sf), fitted_chunk(spark, sf)
+    ranked = AT.rank_external(AT.ranked_arrays(arrays, ["Family", "FIPS", "date"], fi.features), ["Family", "FIPS", "date"])
+    county = AT.county_importance(ranked, fi.static.select("Family", "FIPS", "County_Name", "State"))
+    national = AT.global_importance_absolute(fi.of_top_volume(arrays), fi.features)
+    out = AT.all_levels(national, county, AT.state_importance(county, chunk, fi.tl.forecast_start))
+    return rounded(out.withColumn("Rank", F.col("Rank").cast("double")))
 
 
 # ---------------------------------------------------------------- stage 6b: streaming requests

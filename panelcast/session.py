@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,12 +88,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet to the shared folder and cut its lineage.
 
     Used for tables that several later steps read (the aggregated sales
-    binding, the feature panel): they are computed once, and a lost executor
-    re-reads the checkpoint instead of recomputing from the raw scan.
+    binding, the feature panel): they are computed once, later reads take only the columns they need, and a lost
+    executor re-reads the files instead of recomputing from the raw scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return shared_table(df, name)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def shared_table(df, name: str):
+    """``df`` written as Parquet to the shared folder and read back."""
+    path = shared_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
