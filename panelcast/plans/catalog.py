@@ -909,7 +909,7 @@ def fitted_ridge(spark, sf) -> dict[str, "MD.LinearModel"]:
     return stage(spark, sf, "ridge", build)
 
 
-@register("ridge_holdout")
+@register("ridge_holdout", fin(sql_with("ridge_records", "SELECT * FROM ridge_records"), doubles=_MET, dates=(), digits=4))
 def q_ridge_holdout(spark, sf):
     fi = forecast_inputs(spark, sf)
     train, val = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
@@ -922,18 +922,20 @@ def q_ridge_holdout(spark, sf):
         preds = preds.unionByName(p_)
     met = M.national_metrics(preds)
     return rounded(M.evaluation_records(met, train, val, cutoff=fi.tl.train_cutoff,
-                                        val_start=fi.tl.val_start, val_end=fi.tl.val_end))
+                                        val_start=fi.tl.val_start, val_end=fi.tl.val_end), 4)
 
 
-@register("ridge_coefficients")
+@register("ridge_coefficients", sql_with("ridge_coef", "SELECT Family, Feature, CAST(printf('%.5e', coef) AS DOUBLE) + 0.0 AS coef FROM ridge_coef"))
 def q_ridge_coefficients(spark, sf):
     rows = [(fam, f, float(c)) for fam, m in fitted_ridge(spark, sf).items()
             for f, c in sorted(m.coefs.items())]
     rows += [(fam, "(intercept)", float(m.intercept)) for fam, m in fitted_ridge(spark, sf).items()]
-    return rounded(spark.createDataFrame(rows, "Family string, Feature string, coef double"))
+    table = spark.createDataFrame(rows, "Family string, Feature string, coef double")
+    # six significant digits: coefficients differ by many orders of magnitude
+    return table.withColumn("coef", F.format_string("%.5e", "coef").cast("double") + F.lit(0.0))
 
 
-@register("ridge_forecast")
+@register("ridge_forecast", fin(sql_with("ridge_fc", "SELECT * FROM ridge_fc"), doubles=["Predicted_QTY"], digits=3))
 def q_ridge_forecast(spark, sf):
     """Recursive forecast with the fitted ridge of each family (one fold per family)."""
     fi = forecast_inputs(spark, sf)
@@ -945,7 +947,7 @@ def q_ridge_forecast(spark, sf):
         fc = FC.forecast_linear(st, rows.filter(F.col("Family") == fam), {"challenger": m},
                                 start=fi.tl.forecast_start, end=fi.tl.forecast_end)
         out = fc if out is None else out.unionByName(fc)
-    return rounded(out)
+    return rounded(out, 3)
 
 
 # ---------------------------------------------------------------- stage 3b: fitted models served

@@ -596,3 +596,64 @@ register_sql("null_profile", ("ff",), """SELECT "column", null_count, round(null
              + " UNION ALL ".join(f"SELECT n, '{c}' AS \"column\", nn_{i} AS null_count FROM a"
                                   for i, c in enumerate(FF_COLS))
              + ") b) c WHERE rank <= 10")
+
+# ---------------------------------------------------------------- fitted ridge
+
+# Rows in long form, their standardised values (population std; a constant column is 0), the normal equations with the
+# penalty 1 on the diagonal as a list of rows, and their elimination column by column.
+_RX = [*FEATURES, "Sales_QTY"]
+_K = len(FEATURES)
+register_sql("ridge_long", ("train",), "SELECT Family, rid, j, v FROM (SELECT Family, row_number() OVER () AS rid, unnest(["
+             + ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0.0)" for f in _RX) + f"]) AS v, unnest(range(1, {_K + 2})) AS j FROM train) u")
+register_sql("ridge_stat", ("ridge_long",), "SELECT Family, j, avg(v) AS mean, stddev_pop(v) AS sd FROM ridge_long GROUP BY ALL")
+register_sql("ridge_z", ("ridge_long", "ridge_stat"), f"""SELECT l.Family, l.rid, l.j,
+  CASE WHEN s.sd > 0 THEN (l.v - s.mean) / CASE WHEN l.j <= {_K} THEN s.sd ELSE 1.0 END ELSE 0.0 END AS z
+FROM ridge_long l JOIN ridge_stat s USING (Family, j)""")
+register_sql("ridge_gram", ("ridge_z",), f"""SELECT a.Family, a.j AS i, b.j AS j,
+  sum(a.z * b.z) + max(CASE WHEN a.j = b.j THEN 1.0 ELSE 0.0 END) AS g
+FROM ridge_z a JOIN ridge_z b ON a.Family = b.Family AND a.rid = b.rid AND a.j <= {_K} GROUP BY ALL""")
+register_sql("ridge_rows", ("ridge_gram",), """SELECT Family, list(line ORDER BY i) AS m
+FROM (SELECT Family, i, list(g ORDER BY j) AS line FROM ridge_gram GROUP BY Family, i) r GROUP BY Family""")
+register_sql("ridge_elim", ("ridge_rows",), f"""SELECT Family, 1, m FROM ridge_rows
+  UNION ALL
+  SELECT Family, k + 1, list_transform(m, lambda line, i: CASE WHEN i = k THEN line
+    ELSE list_transform(line, lambda x, j: x - line[k] * m[k][j] / m[k][k]) END)
+  FROM ridge_elim WHERE k <= {_K}""", recursive_columns="Family, k, m")
+register_sql("ridge_w", ("ridge_elim", "ridge_stat"), f"""SELECT e.Family, e.j, CASE WHEN s.sd > 0 THEN e.w / s.sd ELSE 0.0 END AS coef, s.mean
+FROM (SELECT Family, unnest(range(1, {_K + 1})) AS j,
+             unnest(list_transform(range(1, {_K + 1}), lambda j: m[j][{_K + 1}] / m[j][j])) AS w
+      FROM ridge_elim WHERE k = {_K + 1}) e
+JOIN ridge_stat s USING (Family, j)""")
+register_sql("ridge_coef", ("ridge_w", "ridge_stat"), "SELECT Family, (["
+             + ", ".join(f"'{f}'" for f in FEATURES) + f"""])[j] AS Feature, coef FROM ridge_w
+UNION ALL
+SELECT w.Family, '(intercept)', s.mean - sum(w.coef * w.mean) FROM ridge_w w JOIN ridge_stat s ON s.Family = w.Family AND s.j = {_K + 1}
+GROUP BY w.Family, s.mean""")
+register_sql("ridge_wide", ("ridge_coef",), "SELECT Family, max(coef) FILTER (WHERE Feature = '(intercept)') AS c0, "
+             + ", ".join(f"max(coef) FILTER (WHERE Feature = '{f}') AS c_{f}" for f in FEATURES) + " FROM ridge_coef GROUP BY Family")
+
+
+def _ridge_sum(row: str, features) -> str:
+    return " + ".join(["c.c0", *(f"c.c_{f} * coalesce(CAST({row}.{f} AS DOUBLE), 0.0)" for f in features)])
+
+
+register_sql("ridge_pred", ("val", "ridge_wide"), f"""SELECT v.FIPS, v.County_Name, v.State, v.date, v.Sales_QTY AS Actual_QTY,
+  greatest({_ridge_sum('v', FEATURES)}, 0.0) AS Predicted_QTY, v.Family, 'challenger' AS ModelRole, 'Ridge' AS ModelName
+FROM val v JOIN ridge_wide c USING (Family)""")
+register_sql("ridge_metrics", ("ridge_pred",), SQL["nat_metrics"][1].replace("val_pred", "ridge_pred"))
+register_sql("ridge_records", ("ridge_metrics", "train", "val", "tl"), SQL["eval_records"][1].replace("nat_metrics", "ridge_metrics"))
+_RIDGE_REC = sorted(RECURSIVE)
+register_sql("ridge_steps", ("srows", "ridge_wide"), f"""SELECT s.Family, s.FIPS, s.date, s._hi AS hi,
+  {_ridge_sum('s', [f for f in FEATURES if f not in RECURSIVE])} AS off, {", ".join(f"c.c_{f} AS rc_{f}" for f in _RIDGE_REC)}
+FROM srows s JOIN ridge_wide c USING (Family)""")
+_RIDGE_RAW = "st.off" + "".join(f" + st.rc_{f} * {rec_feature_sql(f)}" for f in _RIDGE_REC)
+_RIDGE_PRED = f"(CASE WHEN st.hi IS NULL THEN greatest({_RIDGE_RAW}, 0.0) ELSE least(greatest({_RIDGE_RAW}, 0.0), st.hi) END)"
+register_sql("ridge_rec", ("state", "ridge_steps"), f"""SELECT s.Family, s.FIPS, 0, s.h, s.last_returns, s.last_date, CAST(NULL AS DATE), CAST(NULL AS DOUBLE)
+  FROM state s
+  UNION ALL
+  SELECT r.Family, r.FIPS, r.step + 1, list_append(r.h, {_RIDGE_PRED}), 0.0, r.last_date, st.date, {_RIDGE_PRED}
+  FROM ridge_rec r JOIN ridge_steps st ON st.Family = r.Family AND st.FIPS = r.FIPS
+   AND st.date = CAST(r.last_date + to_months(CAST(r.step + 1 AS INTEGER)) AS DATE)""",
+             recursive_columns="Family, FIPS, step, h, ret, last_date, date, pred")
+register_sql("ridge_fc", ("ridge_rec", "tl"), """SELECT Family, FIPS, 'challenger' AS ModelRole, 'Ridge' AS ModelName, date, pred AS Predicted_QTY
+FROM ridge_rec, tl WHERE step > 0 AND date >= tl.fc_start AND date <= tl.fc_end""")
