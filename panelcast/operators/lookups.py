@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.features import STATIC_FEATURES, outside_features
+from panelcast.functions.features import outside_features
+from panelcast.operators.static import with_shares
 
 KEYS = ("Family", "FIPS")
 MONTH = "date"
@@ -24,11 +25,13 @@ def national_trailing(panel: DataFrame) -> DataFrame:
     return panel.groupBy("Family", MONTH).agg(F.sum("Sales_QTY").alias("Sales_QTY"))
 
 
-def entity_static(panel: DataFrame) -> DataFrame:
-    """Name, state and static shares per entity, taken from its earliest row with a value."""
-    cols = ["County_Name", "State"] + [c for c in STATIC_FEATURES if c in panel.columns]
-    return panel.groupBy(*KEYS).agg(*[
-        F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(MONTH))).alias(c) for c in cols])
+def entity_static(panel: DataFrame, shares: DataFrame) -> DataFrame:
+    """Name and state per entity, from its earliest row with a value, with its static ``shares``.
+
+    ``shares`` are as of the month that is served from, not as of the training cut-off of ``panel``.
+    """
+    names = panel.groupBy(*KEYS).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(MONTH))).alias(c) for c in ("County_Name", "State")])
+    return with_shares(names, shares, [*KEYS, "State"])
 
 
 def external_lookup(panel: DataFrame, features: list[str]) -> DataFrame:

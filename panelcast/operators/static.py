@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FAMILY, ENTITY, MONTH = "Family", "FIPS", "date"
@@ -51,14 +51,42 @@ def static_shares(panel: DataFrame, cutoff, *, sales: str = "Sales_QTY",
         (active < SPARSE_BELOW).cast("int").alias("county_is_sparse"))
 
 
+def shares_by_month(panel: DataFrame, *, sales: str = "Sales_QTY", state: str = "State", as_of: str = "as_of") -> DataFrame:
+    """:func:`static_shares` as of every month of the dense panel: one row per (Family, FIPS, State, ``as_of``).
+
+    Running sums of entities, states and families over the months, joined by month: one pass serves any number of
+    cut-offs, and no month knows a later one. The sums of states and families are small (states x months) and broadcast; those of
+    entities stay in the panel's entity partitioning.
+    """
+    def running(keys: list[str], prefix: str) -> DataFrame:
+        upto = Window.partitionBy(*keys).orderBy(MONTH).rowsBetween(Window.unboundedPreceding, 0)
+        recent = Window.partitionBy(*keys).orderBy(MONTH).rowsBetween(-RECENT_MONTHS, 0)
+        months = panel.groupBy(*keys, MONTH).agg(F.sum(sales).alias("_s"), F.count_if(F.col(sales) > 0).alias("_a"))
+        return months.select(*keys, MONTH, F.sum("_s").over(upto).alias(f"_{prefix}tot"), F.sum("_s").over(recent).alias(f"_{prefix}rec"),
+                             F.sum("_a").over(upto).alias(f"_{prefix}active"))
+
+    members = panel.select(FAMILY, ENTITY, state).distinct()
+    out = (members.join(running([FAMILY, ENTITY], "e"), [FAMILY, ENTITY])
+           .join(F.broadcast(running([FAMILY], "f").drop("_factive")), [FAMILY, MONTH], "left")
+           .join(F.broadcast(running([FAMILY, state], "s").select(FAMILY, state, MONTH, "_stot")), [FAMILY, state, MONTH], "left"))
+    return out.select(
+        FAMILY, ENTITY, state, F.col(MONTH).alias(as_of),
+        _share("_etot", "_ftot").alias("county_alltime_share"),
+        _share("_erec", "_frec").alias("county_recent_share"),
+        _share("_stot", "_ftot").alias("state_share"),
+        F.col("_eactive").cast("double").alias("county_active_months"),
+        (F.col("_eactive") < SPARSE_BELOW).cast("int").alias("county_is_sparse"))
+
+
 def add_static_shares(panel: DataFrame, cutoff, *, state: str = "State", monthly: DataFrame | None = None) -> DataFrame:
     """Attach :func:`static_shares` of ``monthly`` (else of the panel) to every panel row; absent entity -> 0 / sparse."""
     sh = static_shares(panel if monthly is None else monthly, cutoff, state=state)
-    df = panel.join(sh, [FAMILY, ENTITY, state], "left")
-    return df.withColumns({
-        "county_alltime_share": F.coalesce("county_alltime_share", F.lit(0.0)),
-        "county_recent_share": F.coalesce("county_recent_share", F.lit(0.0)),
-        "state_share": F.coalesce("state_share", F.lit(0.0)),
-        "county_active_months": F.coalesce("county_active_months", F.lit(0.0)),
-        "county_is_sparse": F.coalesce("county_is_sparse", F.lit(1)),
-    })
+    return with_shares(panel, sh, [FAMILY, ENTITY, state])
+
+
+def with_shares(df: DataFrame, shares: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the share columns of ``shares`` (instead of its own, if any); an absent entity has 0 and is sparse."""
+    absent = {"county_alltime_share": F.lit(0.0), "county_recent_share": F.lit(0.0), "state_share": F.lit(0.0),
+              "county_active_months": F.lit(0.0), "county_is_sparse": F.lit(1)}
+    joined = df.drop(*absent).join(shares.select(*keys, *absent), keys, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), d) for c, d in absent.items()})

@@ -209,6 +209,12 @@ def full_panel(spark, sf, cutoff=None):
     return stage(spark, sf, f"panel@{cutoff}", build)
 
 
+@register("shares_by_month", fin(sql_with("shares_any", "SELECT * FROM shares_any"), digits=9, dates=("as_of",), doubles=_STATIC))
+def q_shares_by_month(spark, sf):
+    """Static shares as of every month of the panel."""
+    return rounded(S.shares_by_month(panel(spark, sf)), 9)
+
+
 @register("weather_pivot", fin(sql_with("wpiv", "SELECT * FROM wpiv"),
                                doubles=["PRCP", "TAVG", "TMAX", "TMIN"]))
 def q_weather_pivot(spark, sf):
@@ -342,17 +348,18 @@ def q_quality_gate(spark, sf):
         "Family", "ModelRole", "ModelName", "r2", "approved"))
 
 
-def model_registry(fi) -> DataFrame:
+def model_registry(fi, monthly: DataFrame) -> DataFrame:
     """One version per (family, role) and monthly run: national metrics of its holdout + gate.
 
     There is a run for every month that ends twelve months of the panel; it
-    validates those. Each panel row is fanned out to the runs whose window holds
+    validates those, with the static shares of ``monthly`` as of the month before them. Each panel row is fanned out to the runs whose window holds
     it (twelve at most), so all runs are scored in one aggregation.
     """
     first, last = F.lit(fi.tl.first).cast("date"), F.lit(fi.tl.last).cast("date")
     runs = F.filter(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.add_months("date", k)),
                     lambda e: (e <= last) & (F.add_months(e, -11) >= first))
-    rows = fi.panel.select("*", F.explode(runs).alias("run_end"))
+    rows = fi.panel.select("*", F.explode(runs).alias("run_end")).withColumn("as_of", F.add_months("run_end", -12))
+    rows = S.with_shares(rows, S.shares_by_month(monthly), ["Family", "FIPS", "State", "as_of"])
     roles = F.explode(F.array(*[
         F.struct(F.lit(role).alias("role"), F.lit(m.name).alias("name"),
                  F.greatest(m.score(), F.lit(0.0)).alias("pred"))
@@ -369,7 +376,7 @@ def model_registry(fi) -> DataFrame:
 @register("model_registry", fin(sql_with(["registry"], "SELECT * FROM registry"),
                                 doubles=["r2"], dates=("created",)))
 def q_model_registry(spark, sf):
-    return rounded(model_registry(forecast_inputs(spark, sf)))
+    return rounded(model_registry(forecast_inputs(spark, sf), panel(spark, sf)))
 
 
 @register("latest_approved_model", fin(sql_with(["registry"], """SELECT g."group", b.version, b.created,
@@ -380,11 +387,21 @@ LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "group" ORDE
 """),
     doubles=["r2"], dates=("created",)))
 def q_latest_approved_model(spark, sf):
-    return rounded(M.latest_approved(model_registry(forecast_inputs(spark, sf))))
+    return rounded(M.latest_approved(model_registry(forecast_inputs(spark, sf), panel(spark, sf))))
 
 
 # ---------------------------------------------------------------- stage 4: lookups + forecast
 
+def static_lookup(spark, sf) -> DataFrame:
+    """Names and static shares of every entity as of the last month, which is what serving knows."""
+    def build():
+        s = sales(spark, sf)
+        tl = stage(spark, sf, "timeline", lambda: timeline(s))
+        shares = S.static_shares(P.monthly_panel(s, combine_first=False), tl.last)
+        return materialize(L.entity_static(full_panel(spark, sf, tl.train_cutoff), shares))
+    return stage(spark, sf, "static_lookup", build)
+
+
 class ForecastInputs:
     """Everything the batch forecast needs, derived once from the full panel."""
 
@@ -405,7 +422,7 @@ class ForecastInputs:
         self.ext_base = ext.select("Family", "FIPS", "date", *cols)
         extended = FC.extend_external(self.ext_base, cols, tl.forecast_end)
         self.ext = materialize(FC.serving_derivatives(extended, self.econ_cols))
-        self.static = materialize(L.entity_static(fp))
+        self.static = static_lookup(spark, sf)
         self.national = materialize(FC.national_frozen(L.national_trailing(fp)))
         self.bounds = materialize(L.guardrail_bounds(fp))
 
@@ -559,7 +576,7 @@ def q_guardrail_bounds(spark, sf):
                                doubles=["county_alltime_share", "county_recent_share", "state_share",
                                         "county_active_months"]))
 def q_entity_static(spark, sf):
-    return rounded(L.entity_static(full_panel(spark, sf)), 9)
+    return rounded(static_lookup(spark, sf), 9)
 
 
 @register("national_serving", fin(sql_with("nat_f", "SELECT * FROM nat_f"),
@@ -974,7 +991,9 @@ def fitted(spark, sf, *roles: str, refit: bool = True) -> ServedModels:
         learners = MD.named_learners(families_of(fi), roles)
         train, _ = M.split(fi.panel, fi.tl.train_cutoff, fi.tl.val_start, fi.tl.val_end)
         cutoff = fi.tl.last if refit else fi.tl.train_cutoff
-        models = MD.fit_all(fi.panel if refit else train, fi.features, learners)
+        # what is served knows the shares as of the last month: the refit learns from the same ones
+        full = S.with_shares(fi.panel, fi.static, ["Family", "FIPS", "State"])
+        models = MD.fit_all(full if refit else train, fi.features, learners)
         root = write_bundles(spark, models, shared_path(spark, "bundles"), cutoff)
         return load_bundles(spark, root, list(learners))
     return stage(spark, sf, f"fitted-{'-'.join(roles)}-{refit}", build)

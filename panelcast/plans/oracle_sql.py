@@ -114,6 +114,28 @@ LEFT JOIN (SELECT Family, sum(Sales_QTY) AS ftot,
 LEFT JOIN (SELECT Family, State, sum(Sales_QTY) AS stot
            FROM panel, tl WHERE date <= tl.cutoff GROUP BY Family, State) s USING (Family, State)""")
 
+register_sql("static_last", ("panel", "tl"), SQL["static"][1].replace("tl.cutoff", "tl.last_month"))
+# The shares as of every month c: each month adds up the rows up to it anew.
+register_sql("shares_any", ("panel",), """SELECT m.Family, m.FIPS, m.State, m.c AS as_of,
+  coalesce(CASE WHEN f.ftot > 0 THEN e.etot / f.ftot END, 0.0) AS county_alltime_share,
+  coalesce(CASE WHEN f.frec > 0 THEN e.erec / f.frec END, 0.0) AS county_recent_share,
+  coalesce(CASE WHEN f.ftot > 0 THEN s.stot / f.ftot END, 0.0) AS state_share,
+  CAST(coalesce(e.eactive, 0) AS DOUBLE) AS county_active_months,
+  CAST(coalesce(e.eactive, 0) < 6 AS INTEGER) AS county_is_sparse
+FROM (SELECT DISTINCT Family, FIPS, State, date AS c FROM panel) m
+LEFT JOIN (SELECT c.c, p.Family, p.FIPS, sum(Sales_QTY) AS etot,
+                  sum(CASE WHEN date >= CAST(c.c - INTERVAL 36 MONTH AS DATE) THEN Sales_QTY END) AS erec,
+                  count(*) FILTER (WHERE Sales_QTY > 0) AS eactive
+           FROM panel p JOIN (SELECT DISTINCT Family, date AS c FROM panel) c ON p.Family = c.Family AND p.date <= c.c
+           GROUP BY ALL) e USING (c, Family, FIPS)
+LEFT JOIN (SELECT c.c, p.Family, sum(Sales_QTY) AS ftot,
+                  sum(CASE WHEN date >= CAST(c.c - INTERVAL 36 MONTH AS DATE) THEN Sales_QTY END) AS frec
+           FROM panel p JOIN (SELECT DISTINCT Family, date AS c FROM panel) c ON p.Family = c.Family AND p.date <= c.c
+           GROUP BY ALL) f USING (c, Family)
+LEFT JOIN (SELECT c.c, p.Family, p.State, sum(Sales_QTY) AS stot
+           FROM panel p JOIN (SELECT DISTINCT Family, date AS c FROM panel) c ON p.Family = c.Family AND p.date <= c.c
+           GROUP BY ALL) s USING (c, Family, State)""")
+
 # ---------------------------------------------------------------- stage 2: external tables
 
 ZFILL = "CASE WHEN length(trim({s})) < 5 THEN lpad(trim({s}), 5, '0') ELSE trim({s}) END"
@@ -230,14 +252,21 @@ FROM (SELECT Family, ModelRole, ModelName, count(*) AS n, sum(pow(a - p, 2)) AS
             FROM val_pred GROUP BY ALL) m GROUP BY ALL) g""")
 
 # Model registry: one version per (family, role) for each month that ends twelve months of the panel.
-register_sql("reg_pred", ("full_panel", "tl"), "\nUNION ALL\n".join(
-    f"""SELECT r.run_end, f.date, f.Family, f.Sales_QTY AS Actual_QTY, greatest({m.sql('f')}, 0.0) AS Predicted_QTY,
+register_sql("reg_rows", ("full_panel", "tl", "shares_any"), """SELECT r.run_end, f.* REPLACE (
+  coalesce(s.county_alltime_share, 0.0) AS county_alltime_share, coalesce(s.county_recent_share, 0.0) AS county_recent_share,
+  coalesce(s.state_share, 0.0) AS state_share, coalesce(s.county_active_months, 0.0) AS county_active_months,
+  coalesce(s.county_is_sparse, 1) AS county_is_sparse)
+FROM full_panel f
+JOIN (SELECT CAST(tl.last_month - to_months(k) AS DATE) AS run_end
+      FROM tl, (SELECT min(date) AS first_month FROM full_panel) p, range(0, 10000) t(k)
+      WHERE k <= date_diff('month', p.first_month, tl.last_month) - 11) r
+  ON f.date <= r.run_end AND f.date >= CAST(r.run_end - INTERVAL 11 MONTH AS DATE)
+LEFT JOIN shares_any s ON s.Family = f.Family AND s.FIPS = f.FIPS AND s.State = f.State
+  AND s.as_of = CAST(r.run_end - INTERVAL 12 MONTH AS DATE)""")
+register_sql("reg_pred", ("reg_rows",), "\nUNION ALL\n".join(
+    f"""SELECT f.run_end, f.date, f.Family, f.Sales_QTY AS Actual_QTY, greatest({m.sql('f')}, 0.0) AS Predicted_QTY,
   '{role}' AS ModelRole, '{m.name}' AS ModelName
-FROM full_panel f, (SELECT CAST(tl.last_month - to_months(k) AS DATE) AS run_end
-                    FROM tl, (SELECT min(date) AS first_month FROM full_panel) p,
-                         range(0, 10000) t(k)
-                    WHERE k <= date_diff('month', p.first_month, tl.last_month) - 11) r
-WHERE f.date <= r.run_end AND f.date >= CAST(r.run_end - INTERVAL 11 MONTH AS DATE)"""
+FROM reg_rows f"""
     for role, m in (("champion", CHAMPION), ("challenger", CHALLENGER))))
 register_sql("registry", ("reg_pred",), f"""SELECT lower(Family) || '_' || ModelRole AS "group",
   strftime(run_end, '%Y-%m-%d') AS version, run_end AS created, ModelName, {_R2} AS r2,
@@ -290,10 +319,10 @@ register_sql("state", ("hist",), """SELECT Family, FIPS, list(Sales_QTY ORDER BY
   max(date) AS last_date, arg_max(Returns_QTY, date) AS last_returns FROM hist GROUP BY Family, FIPS""")
 register_sql("bounds", ("full_panel",), """SELECT Family, FIPS, CAST(month(date) AS INTEGER) AS calendar_month,
   max(Sales_QTY) AS max_qty FROM full_panel GROUP BY ALL""")
-register_sql("static_l", ("full_panel",), "SELECT Family, FIPS, "
-             + ", ".join(f"arg_min({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}"
-                         for c in ["County_Name", "State"] + STATIC_COLS)
-             + " FROM full_panel GROUP BY Family, FIPS")
+register_sql("static_l", ("full_panel", "static_last"), "SELECT n.*, " + ", ".join(f"s.{c}" for c in STATIC_COLS)
+             + """ FROM (SELECT Family, FIPS, arg_min(County_Name, date) FILTER (WHERE County_Name IS NOT NULL) AS County_Name,
+  arg_min(State, date) FILTER (WHERE State IS NOT NULL) AS State FROM full_panel GROUP BY Family, FIPS) n
+LEFT JOIN static_last s USING (Family, FIPS, State)""")
 register_sql("nat_f", ("full_panel",), """SELECT Family, min(date) AS base_date, max(date) AS national_last_date,
   coalesce(max(CASE WHEN rd = 1 THEN s END), 0.0) AS national_lag_1,
   CASE WHEN count(*) >= 12 THEN max(CASE WHEN rd = 12 THEN s END)
