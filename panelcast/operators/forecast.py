@@ -25,6 +25,8 @@ KEYS = ("Family", "FIPS")
 MONTH = "date"
 GUARDRAIL = 1.15
 LAG_RE = "fips_lag_"
+#: Months of history that a prediction can see.
+VISIBLE = 24
 
 
 # ------------------------------------------------------------ external series
@@ -239,7 +241,8 @@ def _fold(state: DataFrame, rows: DataFrame, models: dict[str, LinearModel]) ->
         for f in rec_feats:
             raw = raw + s[f"rc_{f}"] * feats[f]
         p = clip(raw, s["hi"])
-        return F.struct(F.concat(acc["h"], F.array(p)).alias("h"), F.lit(0.0).alias("ret"),
+        # no feature looks back further than the visible history: the state does not grow with the horizon
+        return F.struct(_tail(F.concat(acc["h"], F.array(p)), VISIBLE).alias("h"), F.lit(0.0).alias("ret"),
                         F.concat(acc["p"], F.array(p)).alias("p"))
 
     init = F.struct(F.col("h").alias("h"), F.col("last_returns").alias("ret"),

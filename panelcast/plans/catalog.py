@@ -771,6 +771,7 @@ def q_friendly_names(spark, sf):
 # ---------------------------------------------------------------- stage 6: requests
 
 from panelcast.operators import requests as RQ  # noqa: E402
+from panelcast.operators.served import ServedModels  # noqa: E402
 from panelcast.operators.scoring import SENSITIVITY_ROLE  # noqa: E402
 
 # Fixed what-if payload of the generated scenario requests: an alias with a
@@ -784,6 +785,10 @@ SCENARIO_CHANGES = {"CPI": {"type": "percent", "value": 10.0},
                     "RainfallIndex": {"type": "absolute", "value": 1.0}}
 
 
+def families_of(fi: ForecastInputs) -> list[str]:
+    return sorted(r[0] for r in fi.static.select("Family").distinct().collect())
+
+
 def generated_requests(fi: ForecastInputs) -> DataFrame:
     """Request texts derived from every entity of the static lookup (seven kinds each)."""
     import json
@@ -820,11 +825,12 @@ def generated_requests(fi: ForecastInputs) -> DataFrame:
 def resolved_requests(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
     req = RQ.parse_requests(raw)
     fams = fi.static.select("Family").distinct()
-    return RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams, fi.tl.last), fi.static), fi.static)
+    return RQ.with_static(RQ.resolve_entity(RQ.validate(req, fams), fi.static), fi.static)
 
 
-def scored_requests(fi: ForecastInputs, req: DataFrame) -> tuple[DataFrame, object]:
+def scored_requests(fi: ForecastInputs, req: DataFrame, models=None) -> tuple[DataFrame, object]:
     """Per (request, role) scores of resolved requests, and the serving-row builder."""
+    models = models or spec_models(fi)
     # only entities that are asked for beyond the forecast's end are extended further, each to its own month
     end = F.lit(fi.tl.forecast_end).cast("date")
     far = (req.filter(F.col("error").isNull()).groupBy("Family", "FIPS")
@@ -836,20 +842,22 @@ def scored_requests(fi: ForecastInputs, req: DataFrame) -> tuple[DataFrame, obje
     def rows_for(targets):
         return FC.serving_rows(targets, ext, fi.static, fi.national, fi.bounds)
 
-    scored = RQ.score_requests(req, state=fi.state, history=fi.history, rows_for=rows_for,
-                               static=fi.static, national=fi.national, models=model_spec(),
-                               features=fi.features, last_actual=fi.tl.last,
-                               sensitivity_role=SENSITIVITY_ROLE)
+    scored = RQ.score_requests(req, state=fi.state, history=fi.history, rows_for=rows_for, national=fi.national, models=models,
+                               last_actual=fi.tl.last, sensitivity_role=SENSITIVITY_ROLE)
     return scored, rows_for
 
 
-def score_request_table(fi: ForecastInputs, raw: DataFrame) -> DataFrame:
+def spec_models(fi: ForecastInputs) -> ServedModels:
+    return ServedModels.linear(fi.features, families_of(fi), model_spec())
+
+
+def score_request_table(fi: ForecastInputs, raw: DataFrame, models=None) -> DataFrame:
     """R7: parse, validate, resolve, score both roles, explain; one row per request."""
+    models = models or spec_models(fi)
     req = resolved_requests(fi, raw)
-    scored, rows_for = scored_requests(fi, req)
-    explained = RQ.explain_requests(req, state=fi.state, rows_for=rows_for,
-                                    model=model_spec()["champion"], features=fi.features)
-    return RQ.assemble_response(req, scored, explained, list(model_spec()))
+    scored, rows_for = scored_requests(fi, req, models)
+    explained = RQ.explain_requests(req, state=fi.state, rows_for=rows_for, models=models.only("champion"))
+    return RQ.assemble_response(req, scored, explained, models.roles)
 
 
 @register("request_scoring")
@@ -970,14 +978,9 @@ def q_ridge_forecast(spark, sf):
 # ---------------------------------------------------------------- stage 3b: fitted models served
 
 from panelcast.operators.bundles import load_bundles, write_bundles  # noqa: E402
-from panelcast.operators.served import ServedModels  # noqa: E402
 from panelcast.session import shared_path  # noqa: E402
 
 
-def families_of(fi: ForecastInputs) -> list[str]:
-    return sorted(r[0] for r in fi.static.select("Family").distinct().collect())
-
-
 def fitted(spark, sf, *roles: str, refit: bool = True) -> ServedModels:
     """The fitted models of the given roles (default: all), read back from their bundles.
 
@@ -1089,6 +1092,13 @@ def q_fitted_importance_levels(spark, sf):
     return rounded(out.withColumn("Rank", F.col("Rank").cast("double")))
 
 
+@register("fitted_request_scoring")
+def q_fitted_request_scoring(spark, sf):
+    """The generated requests answered by the refitted models: trees, moved in what-ifs by the ridge."""
+    fi = forecast_inputs(spark, sf)
+    return rounded(score_request_table(fi, generated_requests(fi), fitted(spark, sf)))
+
+
 # ---------------------------------------------------------------- stage 6b: streaming requests
 
 def stream_scorer(spark, sf):
