@@ -1099,6 +1099,14 @@ def q_fitted_request_scoring(spark, sf):
     return rounded(score_request_table(fi, generated_requests(fi), fitted(spark, sf)))
 
 
+@register("response_documents")
+def q_response_documents(spark, sf):
+    """The answers to the generated requests as JSON documents."""
+    fi = forecast_inputs(spark, sf)
+    models = spec_models(fi)
+    return RQ.response_documents(score_request_table(fi, generated_requests(fi), models), models.roles)
+
+
 # ---------------------------------------------------------------- stage 6b: streaming requests
 
 def stream_scorer(spark, sf):

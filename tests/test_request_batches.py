@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import forecast as FC
 from panelcast.operators import models as MD
+from panelcast.operators import requests as RQ
 from panelcast.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +105,23 @@ def test_fitted_models_answer_alone_as_in_a_batch(fi, spark):
             want = min(max(free + 3.0 * coef, 0.0), hi or 1e18)
             assert together["up"][f"{role}_predicted_qty"] == pytest.approx(want, abs=2e-4)
     assert len(together["other"]["feature_importance"]) == 5
+
+
+def test_documents_leave_out_what_was_not_asked_for(fi, spark):
+    fam, fips = fi.static.select("Family", "FIPS").orderBy("Family", "FIPS").first()
+    month = fi.tl.add_months(fi.tl.last, 2)
+    base = {"family": fam, "fips": fips, "month": month.month, "year": month.year}
+    raw = spark.createDataFrame([(i, json.dumps(r)) for i, r in [
+        ("plain", base), ("explain", base | {"explain": True}), ("bad", base | {"month": 13}),
+        ("scenario", base | {"scenario": True, "feature_changes": {"TAVG": {"value": 5}, "Nope": {"value": 1}}})]], "request_id string, value string")
+    models = catalog.spec_models(fi)
+    docs = {r.request_id: json.loads(r.document) for r in RQ.response_documents(catalog.score_request_table(fi, raw, models), models.roles).collect()}
+    always = {"family", "fips", "month", "year", "features_found", "county_data_quality", "county_active_months", "champion", "challenger"}
+    assert set(docs["plain"]) == always | {"feature_source"}
+    assert set(docs["plain"]["champion"]) == {"model_name", "predicted_qty"}
+    assert set(docs["explain"]) == always | {"feature_source", "feature_importance", "external_factors_share_pct"}
+    assert [set(d) for d in docs["explain"]["feature_importance"]] == [{"feature", "shap_value"}] * 5
+    assert set(docs["scenario"]) == always | {"scenario_features", "unsupported_feature_changes"}
+    assert docs["scenario"]["unsupported_feature_changes"] == ["Nope"]
+    assert set(docs["scenario"]["scenario_features"]["TAVG"]) == {"before", "after", "type", "value"}
+    assert set(docs["bad"]) == {"family", "fips", "month", "year", "error"}
