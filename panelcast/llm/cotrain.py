@@ -276,7 +276,19 @@ class Pool:
         return self.total(lambda *rows: self.views.slope(*rows, text, ratio), self.views.edges)
 
 
-_SUMS = "name string, at int, x double"
+#: Sums travel in slices of so many places: the places that are not 0 as they leave a task, all of them when added up.
+SLICE = 1 << 16
+_PARTS, _SLICES = "name int, slice int, at binary, x binary", "name int, slice int, x binary"
+
+
+def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    totals: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for name, part, at, x in zip(*(c.to_pylist() for c in batch.columns)):
+            total = totals.setdefault((name, part), np.zeros(SLICE))
+            total[np.frombuffer(at, np.uint16)] += np.frombuffer(x)
+    for (name, part), x in totals.items():
+        yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), pa.array([part], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["name", "slice", "x"])
 
 
 class TablePool(Pool):
@@ -287,28 +299,30 @@ class TablePool(Pool):
 
     def total(self, add, edges: np.ndarray) -> dict:
         sent = self.rows.sparkSession.sparkContext.broadcast((add, edges))
+        sums: dict = {}
+        add(sums, np.zeros(0, np.int32), np.zeros(1, np.int64), meta_matrix(np.zeros((0, len(edges))), [], edges))
+        names = list(sums)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             add, edges = sent.value
             sums: dict = {}
             for batch in batches:
                 if batch.num_rows:
-                    idx, lengths, numbers, names = _arrays(batch)
-                    add(sums, idx, np.concatenate([[0], np.cumsum(lengths)]), meta_matrix(numbers, names, edges))
+                    idx, lengths, numbers, found = _arrays(batch)
+                    add(sums, idx, np.concatenate([[0], np.cumsum(lengths)]), meta_matrix(numbers, found, edges))
             for name, x in sums.items():
-                at = np.flatnonzero(x)
-                for i in range(0, len(at), 100_000):
-                    some = at[i:i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(x[some])], names=["name", "at", "x"])
-
-        found = self.rows.mapInArrow(run, _SUMS).groupBy("name", "at").agg(F.sum("x").alias("x")).toArrow()
+                for part in range(0, len(x), SLICE):
+                    at = np.flatnonzero(x[part:part + SLICE])
+                    if len(at):
+                        cells = [names.index(name)], [part // SLICE], [at.astype(np.uint16).tobytes()], [x[part + at].tobytes()]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+                                                         names=["name", "slice", "at", "x"])
+
+        found = self.rows.mapInArrow(run, _PARTS).repartition("name", "slice").mapInArrow(_add_slices, _SLICES).toArrow()
+        for name, part, x in zip(*(found[c].to_pylist() for c in ("name", "slice", "x"))):
+            here = sums[names[name]][part * SLICE:(part + 1) * SLICE]
+            here += np.frombuffer(x)[:len(here)]
         sent.unpersist()
-        sums: dict = {}
-        add(sums, np.zeros(0, np.int32), np.zeros(1, np.int64), meta_matrix(np.zeros((0, len(edges))), [], edges))
-        name, at, x = found["name"].combine_chunks().dictionary_encode(), found["at"].to_numpy(), found["x"].to_numpy()
-        for i, key in enumerate(name.dictionary.to_pylist()):
-            of = name.indices.to_numpy() == i
-            sums[key][at[of]] = x[of]
         return sums
 
     def slopes(self, text: np.ndarray, ratio: np.ndarray) -> dict:
