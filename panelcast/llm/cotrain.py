@@ -406,7 +406,8 @@ def features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(bad).alias("bad"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "n_chars", "lang", "source")
     id_type = rows.schema["id"].dataType.simpleString()
-    return written(rows.mapInArrow(_features, f"id {id_type}, {_FEATURES}").join(known, "id", "left"), "features")
+    # a shuffle of both at every size: the labels may be as long as the documents
+    return written(rows.mapInArrow(_features, f"id {id_type}, {_FEATURES}").join(known.hint("merge"), "id", "left"), "features")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
