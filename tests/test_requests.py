@@ -41,3 +41,12 @@ def test_target_month_is_null_safe(spark):
     df = spark.createDataFrame([(2025, 13), (2025, 2)], "y int, m int")
     got = [r[0] for r in df.select(RQ.target_month(F.col("y"), F.col("m"))).collect()]
     assert got[0] is None and str(got[1]) == "2025-02-01"
+
+
+def test_request_plans_stay_small(spark):
+    from conftest import SF_TINY
+    from panelcast.plans import catalog as C
+
+    plans = [C.QUERIES[q](spark, SF_TINY)._jdf.queryExecution().analyzed().toString() for q in ("scenario_what_if", "response_documents")]
+    # the requests are resolved, folded and moved in steps of their own: what is left is joined from their tables
+    assert max(p.count("Join ") for p in plans) <= 8
