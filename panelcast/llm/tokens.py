@@ -8,6 +8,7 @@ space depend on all of it; texts with such runs, or with other white space, are
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from functools import lru_cache
@@ -35,9 +36,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.vocabulary <= 1 << 16 else np.dtype("<u4")
+        self.begins = self._beginnings()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _beginnings(self) -> np.ndarray | None:
+        """Whether an id begins with a space or line feed, for plain byte-level vocabularies (else None).
+
+        Their tokens spell the bytes of the text, and none reaches over a space: each one that begins with it is a piece's first.
+        """
+        parts = json.loads(self.tokenizer.to_str())
+        steps = parts.get("pre_tokenizer") or {}
+        kinds = [step.get("type") for step in steps.get("pretokenizers", [steps])]
+        prefixed = any(step.get("add_prefix_space") for step in steps.get("pretokenizers", [steps]))
+        added = any(t.get("lstrip") or t.get("rstrip") or set(t["content"]) & set(" \n") for t in parts.get("added_tokens") or [])
+        if kinds != ["ByteLevel"] or prefixed or added or parts.get("normalizer"):
+            return None
+        out = np.zeros(self.vocabulary, bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            out[i] = token[:1] in ("\u0120", "\u010a")
+        return out
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.dtype.char, e.ids).tobytes() for e in found]
@@ -58,7 +77,14 @@ class Encoder:
             self.known.update(zip(new[at:at + JOINED], self._joined(as_text[at:at + JOINED])))
 
     def _joined(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts that each begin with a space or line feed, from one encoding cut at their ends."""
+        """Ids of texts that each begin with a space or line feed, from one encoding cut where they begin or end."""
+        if self.begins is not None:
+            raw = self._whole(["".join(texts)])[0]
+            first = np.flatnonzero(self.begins[np.frombuffer(raw, self.dtype)])
+            if len(first) != len(texts):
+                return self._whole(texts)
+            cut = [*(first * self.dtype.itemsize).tolist(), len(raw)]
+            return [raw[a:b] for a, b in zip(cut, cut[1:])]
         whole = self.tokenizer.encode("".join(texts), add_special_tokens=False)
         ends = np.cumsum([len(t) for t in texts])
         last = np.array([b for _, b in whole.offsets], np.int64)

@@ -66,3 +66,13 @@ def test_alike_documents_are_neighbours():
     key = hilbert(coordinates([t.encode() for t in base + near])).astype(float)
     gap = np.abs(key[:40] - key[40:])
     assert np.median(gap) < np.median(np.abs(key[:39] - key[1:40])) / 20
+
+
+def test_joined_pieces_are_cut_by_their_first_ids():
+    from panelcast.llm.tokens import Encoder
+
+    plain, quick = Tokenizer.from_file(vocabulary(NAME)), Encoder(vocabulary(NAME))
+    assert quick.begins is not None and Encoder(vocabulary("word_bpe_49k.json")).begins is None
+    texts = ["a<|endoftext|>b <|endoftext|> c", "don't 12,5 Ġ Ċ xĠy", "\nline\nfeed end ", "éè \U0001f600\U0001f600 中文", "", " ", "two  spaces", "'s 're"]
+    for text, ids in zip(texts, quick.encode(texts)):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
