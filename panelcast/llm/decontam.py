@@ -11,7 +11,8 @@ of the words, which never separates words that are equal once A-Z is lower-cased
 
 The windows are broadcast while their counted number stays under ``BROADCAST_WINDOWS``; beyond it
 the shingles are shuffled and the survivors are joined back to the words. A window that occurs
-everywhere costs one candidate per occurrence, never a pair of documents.
+everywhere costs one candidate per occurrence, never a pair of documents. What was found is joined back to
+the documents the same way: broadcast while its counted size stays under ``BROADCAST_MARKS``, so that no text is shuffled.
 
 Defined results: null and empty texts have no words, no hits and are not contaminated; items
 without words are ignored; a window in several items counts for each; rows with equal id and text
@@ -28,6 +29,8 @@ from panelcast.llm.common import LOWER, UPPER, packed, written
 SHINGLE = 3
 #: A window is about 150 bytes: 30 MB at most.
 BROADCAST_WINDOWS = 200_000
+#: Documents with hits and the items they hold, about 50 bytes each: 20 MB at most.
+BROADCAST_MARKS = 400_000
 
 
 def words(text: Column) -> Column:
@@ -116,7 +119,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, width: int = 13, share
     of_items = (found.select("k1", "k2", "window").distinct().join(windows, "window").select("k1", "k2", "item_id").distinct()
                 .groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("items")))
     held = docs.select(packed(docs), k1, k2, F.size(words(F.col(text_col))).cast("long").alias("n_words"))
-    out = held.join(covered.join(of_items, ["k1", "k2"]), ["k1", "k2"], "left")
+    marks = written(covered.join(of_items, ["k1", "k2"]), "marks")
+    size = marks.agg(F.sum(F.size("items") + 1)).first()[0] or 0
+    out = held.join(F.broadcast(marks) if size <= BROADCAST_MARKS else marks, ["k1", "k2"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select("row", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                       ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))

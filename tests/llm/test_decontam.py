@@ -57,3 +57,21 @@ def test_whole_table(spark):
     want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()], 13)
     assert rows(find_contamination(docs, items)) == want
     assert any(r[4] for r in want)
+
+
+def test_texts_are_shuffled_only_for_many_hits(spark, monkeypatch):
+    item = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(i, f"a {item} b" if i % 3 else f"other {i}") for i in range(30)], "doc_id long, text string")
+    items = spark.createDataFrame([("x", item), ("y", f"{item} more")], "item_id string, text string")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = find_contamination(docs, items)
+        monkeypatch.setattr(decontam, "BROADCAST_MARKS", 0)
+        many = find_contamination(docs, items)
+        assert "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+        assert few.where("n_hit = 13").count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
