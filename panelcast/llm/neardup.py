@@ -6,7 +6,8 @@
    ``NODE`` classes branches again on two coordinates chosen by a hash of the node, until its
    children are small. A pair of similarity s follows a branch with probability s, so at 0.8 a tree
    loses a pair with probability below 0.25 at any depth, and all ten below 1e-6. A node whose
-   members do not part (one child holds half of them) is dense: it is cut into pieces that share a pivot.
+   members do not part (one child holds half of them) is dense: the members that share too few shingles with all
+   others to be linked with one are taken out of it, and the rest is cut into pieces that share a pivot.
 3. Small nodes are compared exhaustively on the min-wise values: a maximum spanning forest over the
    pairs that reach ``FLOOR`` (4.5 standard deviations under 0.8) gives candidate links, never more than
    members. In dense nodes, every member outside the largest cluster is compared with all members, in blocks.
@@ -137,6 +138,51 @@ def tree_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return one, None if all_dense is None else written(all_dense, "dense")
 
 
+def _pairs_of_shingles(size: int):
+    """(cls, shingle) for every distinct shingle of rows (cls, text)."""
+    schema = pa.schema([("cls", pa.int64()), ("shingle", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())
+            for some in chunks(rows, lambda r: len(r[1])):
+                h, at = shingle_hashes([t for _, t in some], size)
+                own = [np.unique(h[a:b]) for a, b in zip(at[:-1], at[1:])]
+                cls = np.repeat(np.array([c for c, _ in some], np.int64), [len(x) for x in own])
+                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.concatenate(own).view(np.int64))], schema=schema)
+
+    return run
+
+
+def _linkable(dense: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The members of dense nodes without those that can be linked with no other member; ``count`` is what is left.
+
+    Two sets have at most as many shingles in common as either one shares with any class of a dense node. Per node
+    and narrow range of sizes, the least size and the most shared shingles tell whether that is enough for a link. Who
+    is taken out shares nothing any more, so this is repeated while it takes out a tenth.
+    """
+    texts = _texts(docs, classes, dense.select("cls").distinct())
+    sizes = classes.select("cls", "n")
+    rows = written(dense.select("node", "cls").join(sizes, "cls"), "dense_sizes")
+    left = rows.count()
+    while left:
+        here = texts.join(rows.select("cls").distinct(), "cls", "left_semi")
+        once = here.mapInArrow(_pairs_of_shingles(shingle), "cls long, shingle long").groupBy("shingle").agg(
+            F.count("*").alias("times"), F.min("cls").alias("cls")).where("times = 1").groupBy("cls").agg(F.count("*").alias("once"))
+        known = rows.join(once, "cls", "left").select("node", "cls", "n", (F.col("n") - F.coalesce("once", F.lit(0))).alias("shared"))
+        known = written(known, "shared")
+        # a few hundred ranges at most, each 2 % wide
+        of_range = known.groupBy("node", F.floor(F.log("n") * 50).alias("range")).agg(F.min("n").alias("n"), F.max("shared").alias("shared"))
+        ranges = of_range.groupBy("node").agg(F.collect_list(F.struct("n", "shared")).alias("ranges"))
+        enough = F.exists("ranges", lambda r: F.least(F.col("shared"), r["shared"]) * (100 + percent) >= (F.col("n") + r["n"]) * percent)
+        rows = written(known.join(ranges, "node").where(enough).select("node", "cls", "n"), "linkable")
+        before, left = left, rows.count()
+        if left > 0.9 * before:
+            break
+    counts = rows.groupBy("node").count().where("count > 1")
+    return written(rows.join(counts, "node").select("node", "cls", "count"), "dense")
+
+
 def _pieces(dense: DataFrame) -> DataFrame:
     """Dense nodes in pieces of about NODE classes, each with the node's pivot (its least class)."""
     n = F.ceil(F.col("count") / NODE)
@@ -300,7 +346,8 @@ def find_groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: st
     held = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     features = written(held.mapInArrow(_features(shingle), _FEATURES), "features")
     classes = written(features.where("cls is not null").groupBy("cls")
-                      .agg(F.min("key").alias("key"), F.min("id").alias("id"), F.any_value("sig").alias("sig")), "classes")
+                      .agg(F.min("key").alias("key"), F.min("id").alias("id"), F.any_value("n_shingles").alias("n"),
+                           F.any_value("sig").alias("sig")), "classes")
     labels = _link(held, classes, shingle, percent)
     named = classes.select("cls", "id").join(labels, "cls", "left").select("cls", "id", F.coalesce("label", "cls").alias("label"))
     least = named.groupBy("label").agg(F.min("id").alias("component_id"))
@@ -314,6 +361,7 @@ def _link(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> Da
     """cls and label of every class that is linked with another one; linked classes have equal labels."""
     members, dense = tree_nodes(classes)
     if dense is not None:
+        dense = _linkable(dense, docs, classes, shingle, percent)
         members = members.unionByName(_pieces(dense))
     pairs = _candidates(members, classes, "forest").distinct()
     clusters = components(pairs)

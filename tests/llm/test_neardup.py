@@ -97,3 +97,18 @@ def test_components(spark):
     want = {i: 0 for i in range(41)} | {100: 100, 101: 100, 200: 200} | {300 + i: 200 for i in range(50)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_dense_members_that_cannot_be_linked_are_not_paired(spark, monkeypatch):
+    """Texts of one long common passage share nodes, but no link: pairing them all would grow with their square."""
+    monkeypatch.setattr(neardup, "NODE", 24)
+    r = random.Random(5)
+    common = " ".join(f"boiler{i}" for i in range(60))
+    rows = [(i, common + " " + " ".join(f"u{r.randrange(10 ** 6)}" for _ in range(30))) for i in range(300)]
+    rows += [(1000 + i, t) for i, t in varied(6, 1, 40, 120)]
+    paired = []
+    blocks = neardup._blocks
+    monkeypatch.setattr(neardup, "_blocks", lambda rows, half: paired.append(blocks(rows, half)) or paired[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(df, 4) == brute(rows, 4, 80)
+    assert paired[0].count() < 3 * len(rows)
