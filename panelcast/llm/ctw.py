@@ -226,22 +226,27 @@ def string_scores(strings: DataFrame, depth: int) -> DataFrame:
     A node is a context and the bits of the byte so far, with a leading one (key: context << 8 | bits). The bytes
     that follow a context are at most 256, and so are its longer contexts: no key is hot.
     """
-    parts = F.array(*[F.struct(F.lit(1 << k).bitwiseOR(F.shiftright("byte", 8 - k)).alias("bits"),
-                               F.shiftright("byte", 7 - k).bitwiseAND(F.lit(1)).alias("bit")) for k in range(8)])
-    byte = strings.select("code", "n", F.col("code").bitwiseAND(F.lit(255)).alias("byte"))
-    bits = byte.select("code", "n", F.inline(parts)).select("code", "n", "bit", (F.shiftright("code", 8) * 256 + F.col("bits")).alias("key"))
-    node = bits.groupBy("key").agg(F.sum(F.expr("if(bit = 0, n, 0)")).alias("zeros"), F.sum(F.expr("if(bit = 1, n, 0)")).alias("ones"))
+    byte, context = F.col("code").bitwiseAND(F.lit(255)), F.shiftright("code", 8)
+    seen = [F.lit(1 << k).bitwiseOR(F.shiftright("byte", 8 - k)) for k in range(8)]
+    said = [F.shiftright("byte", 7 - k).bitwiseAND(F.lit(1)) for k in range(8)]
+    parts = F.array(*[F.struct(a.alias("bits"), b.alias("bit")) for a, b in zip(seen, said)])
+    # dealt by context before a row becomes eight: they are added up where they are
+    bits = strings.select(context.alias("context"), byte.alias("byte"), "n").repartition("context").select("context", "n", F.inline(parts))
+    node = bits.groupBy("context", "bits").agg(F.sum(F.expr("if(bit = 0, n, 0)")).alias("zeros"), F.sum(F.expr("if(bit = 1, n, 0)")).alias("ones"))
+    node = node.select((F.col("context") * 256 + F.col("bits")).alias("key"), "zeros", "ones")
+    own, split = _log_kt_column(F.col("zeros").cast("double"), F.col("ones").cast("double")), F.col("split")
     levels = []
     for d in range(depth, -1, -1):
-        own = node.withColumn("own", _log_kt_column(F.col("zeros").cast("double"), F.col("ones").cast("double")))
+        # only what the rest follows from is written
+        level = written(node, f"level{d}")
+        up = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (d - 1)) - 1 if d else 0)) * 256 + F.col("key").bitwiseAND(F.lit(255))
+        level = level.select("*", up.alias("parent"), own.alias("own"))
         if d == depth:
-            own = own.select("key", "zeros", "ones", F.lit(1.0).alias("stay"), F.col("own").alias("weighted"))
+            level = level.withColumns({"stay": F.lit(1.0), "weighted": F.col("own")})
         else:
-            stay = 1 / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("split") - F.col("own")))))
-            both = F.greatest("own", "split") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("split")))) - F.lit(np.log(2))
-            own = own.select("key", "zeros", "ones", stay.alias("stay"), both.alias("weighted"))
-        up = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (d - 1)) - 1 if d else 0)) * 256 + F.col("key").bitwiseAND(F.lit(255))
-        level = written(own.withColumn("parent", up), f"level{d}")
+            stay = 1 / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), split - F.col("own")))))
+            both = F.greatest("own", "split") + F.log1p(F.exp(-F.abs(F.col("own") - split))) - F.lit(np.log(2))
+            level = level.withColumns({"stay": stay, "weighted": both})
         levels.append(level)
         node = level.groupBy(F.col("parent").alias("key")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("split"))
@@ -256,9 +261,13 @@ def string_scores(strings: DataFrame, depth: int) -> DataFrame:
         # the next level finds its parents by this key
         above = here.select(F.col("key").alias("parent"), (F.col("sum_above") + F.col("free") * F.col("stay") * F.col("one")).alias("sum_above"),
                             (F.col("free") * (1 - F.col("stay"))).alias("free"))
-    p = above.select(F.col("parent").alias("key"), F.col("sum_above").alias("p"))
-    said = bits.join(p.hint("merge"), "key").select("code", F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))).alias("value"))
-    return said.groupBy("code").agg(F.sum("value").alias("value"))
+    # a context has at most 255 nodes
+    p = above.select(F.shiftright("parent", 8).alias("context"), F.struct(F.col("parent").bitwiseAND(F.lit(255)).alias("bits"), F.col("sum_above").alias("p")).alias("node"))
+    of_context = p.groupBy("context").agg(F.map_from_entries(F.collect_list("node")).alias("nodes"))
+    found = strings.select("code", context.alias("context"), byte.alias("byte")).join(of_context.hint("merge"), "context")
+    chances = [F.element_at("nodes", a) for a in seen]
+    value = [F.log10(F.when(b == 1, x).otherwise(1 - x)) for x, b in zip(chances, said)]
+    return found.select("code", sum(value[1:], value[0]).alias("value"))
 
 
 class Words:

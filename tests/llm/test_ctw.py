@@ -126,6 +126,15 @@ def test_rare_words_and_pruning_on_a_table(spark, monkeypatch):
     assert sum(r.score for r in got if r.held_out) > 0.65 * single
 
 
+def test_levels_are_written_without_what_follows_from_them(spark, monkeypatch):
+    """Tables of the tree's levels are most of what the query writes: parents and weights follow from key, counts and split."""
+    held, written = {}, ctw.written
+    monkeypatch.setattr(ctw, "written", lambda df, name: held.setdefault(name, written(df, name)))
+    df = spark.createDataFrame(list(enumerate(TRAIN)), "doc_id long, text string")
+    assert score(df, F.lit(False), depth=2).count() == len(TRAIN)
+    assert [held[f"level{d}"].columns for d in (2, 1, 0)] == [["key", "zeros", "ones"], *[["key", "zeros", "ones", "split"]] * 2]
+
+
 def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     r = score(df, F.lit(True)).first()
