@@ -322,7 +322,7 @@ class TablePool(Pool):
         for name, part, x in zip(*(found[c].to_pylist() for c in ("name", "slice", "x"))):
             here = sums[names[name]][part * SLICE:(part + 1) * SLICE]
             here += np.frombuffer(x)[:len(here)]
-        sent.unpersist()
+        sent.destroy()  # each is up to 24 MB, which the driver would go on holding
         return sums
 
     def slopes(self, text: np.ndarray, ratio: np.ndarray) -> dict:

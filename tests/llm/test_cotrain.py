@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark import Broadcast, SparkContext
 from pyspark.sql import functions as F
 
 from panelcast.llm import cotrain
@@ -57,6 +58,19 @@ def test_every_unlabelled_document_teaches(spark):
     assert np.allclose(model.text, same.text, atol=1e-6) and np.allclose(model.meta, same.meta, atol=1e-6)
 
 
+def test_driver_keeps_no_sent_weights(spark, monkeypatch):
+    """What a pass over the unlabelled documents sends is let go of by the driver too."""
+    sent, gone = [], []
+    broadcast, destroy = SparkContext.broadcast, Broadcast.destroy
+    monkeypatch.setattr(SparkContext, "broadcast", lambda sc, value: sent.append(broadcast(sc, value)) or sent[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda b, *args: gone.append(b) or destroy(b, *args))
+    docs = spark.createDataFrame([(i, "good words" if i % 2 else "BAD!! BAD!!", "en", "s", 10) for i in range(60)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = docs.where("doc_id < 40").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    assert fit(docs, labels) is not None
+    assert len(sent) == cotrain.ROUNDS * (1 + cotrain.PASSES) and gone == sent
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, q int"
     rows = [(1, None, None, None, None, "x", 1), (2, "", "en", "s", 0, "x", 1), (None, "a b", "en", "s", 3, "x", 1), (3, "w " * 50_000, "de", None, 9, "x", 1),
